@@ -64,11 +64,7 @@ def cell_parts(cell: Column) -> tuple[Column, Column, Column]:
 
 
 def _side_of(res: Column) -> Column:
-    chain = None
-    for k in range(0, 16):
-        cond, val = res == F.lit(k), F.lit(side_km(k))
-        chain = F.when(cond, val) if chain is None else chain.when(cond, val)
-    return chain
+    return F.element_at(F.array(*[F.lit(side_km(k)) for k in range(16)]), res + 1)
 
 
 def hex_centre(cell: Column, ref_lat: float = REF_LAT) -> tuple[Column, Column]:
@@ -85,16 +81,21 @@ def hex_centre(cell: Column, ref_lat: float = REF_LAT) -> tuple[Column, Column]:
 def hex_boundary(cell: Column, ref_lat: float = REF_LAT, digits: int = 6) -> Column:
     """Closed ring ``ARRAY<ARRAY<DOUBLE>>`` in (lon, lat) order: six corners and the first again."""
     lat, lon = hex_centre(cell, ref_lat)
-    s = _side_of(cell_parts(cell)[0])
-    corners = []
-    for k in range(7):
-        angle = math.radians(30 + 60 * (k % 6))
-        dx, dy = math.cos(angle), math.sin(angle)
-        c_lon = lon + F.degrees(s * F.lit(dx) / (F.lit(EARTH_KM) * F.cos(F.radians(F.lit(ref_lat)))))
-        c_lat = lat + F.degrees(s * F.lit(dy) / F.lit(EARTH_KM))
-        scale = F.lit(float(10**digits))
-        corners.append(F.array(F.rint(c_lon * scale) / scale, F.rint(c_lat * scale) / scale))
-    return F.array(*corners)
+    scale = F.lit(float(10**digits))
+    shrink = F.lit(EARTH_KM) * F.cos(F.radians(F.lit(ref_lat)))
+
+    def ring(c: Column) -> Column:
+        corners = []
+        for k in range(7):
+            angle = math.radians(30 + 60 * (k % 6))
+            x = c["lon"] + F.degrees(c["s"] * F.lit(math.cos(angle)) / shrink)
+            y = c["lat"] + F.degrees(c["s"] * F.lit(math.sin(angle)) / F.lit(EARTH_KM))
+            corners.append(F.array(F.rint(x * scale) / scale, F.rint(y * scale) / scale))
+        return F.array(*corners)
+
+    # the one-element array lets all corners share one evaluation of the centre
+    centre = F.struct(lat.alias("lat"), lon.alias("lon"), _side_of(cell_parts(cell)[0]).alias("s"))
+    return F.transform(F.array(centre), ring)[0]
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -30,10 +30,10 @@ def _long(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame
 
 
 def _one_pass(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    agg = df.groupBy(*by).agg(*[F.percentile(F.col(c), [float(p) for p in probs]).alias(c) for c in columns])
-    cells = [F.struct(F.lit(c).alias("feature"), F.lit(float(p)).alias("prob"), F.col(c).getItem(i).alias("value"))
-             for c in columns for i, p in enumerate(probs)]
-    return agg.select(*by, F.explode(F.array(*cells)).alias("q")).select(*by, "q.feature", "q.prob", "q.value")
+    """Built-in exact percentiles, one group per feature, so that features spread over tasks."""
+    q = _long(df, by, columns).groupBy(*by, "feature").agg(F.percentile("value", [float(p) for p in probs]).alias("q"))
+    cells = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.col("q")[i].alias("value")) for i, p in enumerate(probs)])
+    return q.select(*by, "feature", F.explode(cells).alias("c")).select(*by, "feature", "c.prob", "c.value")
 
 
 def _target_frame(spark, targets: list[dict]) -> DataFrame:

@@ -36,9 +36,14 @@ def read_towers(spark: SparkSession, path: str, partitions: int | None = None) -
     return df.repartition(partitions) if partitions else df
 
 
-def read_poi_documents(spark: SparkSession, path: str, poi_type: str | None = None) -> DataFrame:
-    """JSON documents with an ``elements`` array -> POI rows."""
-    docs = spark.read.schema(S.POI_DOCUMENT).option("multiLine", True).json(path)
+def read_poi_documents(spark: SparkSession, path: str, poi_type: str | None = None,
+                       multi_line: bool = False) -> DataFrame:
+    """JSON documents with an ``elements`` array -> POI rows.
+
+    One document per line splits over tasks; ``multi_line`` reads a file as one
+    document.  Without a type to stamp, nodes are classified by their tags.
+    """
+    docs = spark.read.schema(S.POI_DOCUMENT).option("multiLine", multi_line).json(path)
     nodes = docs.select(F.explode("elements").alias("e")).select("e.*")
     return poi_rows(nodes, poi_type) if poi_type else classify_pois(nodes)
 
