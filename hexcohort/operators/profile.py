@@ -51,7 +51,7 @@ def segment_zscores(df: DataFrame, features: Sequence[str], segment: str = "segm
         z = (F.col(f"m_{c}") - F.col(f"all_m_{c}")) / population_std(c)
         cols += [(rnd(F.col(f"m_{c}"), 3) + F.lit(0.0)).alias(f"mean_{c}"),
                  (rnd(z, 3) + F.lit(0.0)).alias(f"zscore_{c}")]
-    return m.select(*cols).orderBy("segment_id")
+    return m.select(*cols)
 
 
 def archetype_scores(columns: Sequence[str], features: Sequence[str],
