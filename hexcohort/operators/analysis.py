@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexcohort import constants as K
-from hexcohort.functions.expr import clip, rnd
+from hexcohort.functions.expr import clip, literal_map, rnd
 from hexcohort.functions.joins import join_small
+from hexcohort.operators.moments import long_values
 from hexcohort.operators.profile import population_std
 from hexcohort.operators.quantiles import exact_quantiles, quantile_values
 
@@ -60,17 +61,11 @@ def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins:
 
 def feature_variance(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """``(feature, raw_variance, scaled_variance)``: sample variance before and after standard scaling."""
-    row = df.agg(*[f(c).alias(f"{t}_{c}") for c in features
-                   for t, f in (("v", F.var_samp), ("p", F.var_pop), ("m", F.avg))])
-
-    def scaled(c: str):
-        dust = F.abs(F.col(f"m_{c}")) * F.lit(1e-12)
-        return F.when(F.sqrt(f"p_{c}") <= dust, F.lit(0.0)).otherwise(
-            F.coalesce(F.try_divide(F.col(f"v_{c}"), F.col(f"p_{c}")), F.lit(0.0)))
-
-    cells = [F.struct(F.lit(c).alias("feature"), F.col(f"v_{c}").alias("raw_variance"),
-                      scaled(c).alias("scaled_variance")) for c in features]
-    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    m = long_values(df, [], features).groupBy("feature").agg(
+        F.var_samp("value").alias("raw_variance"), F.var_pop("value").alias("p"), F.avg("value").alias("m"))
+    scaled = F.when(F.sqrt("p") <= F.abs("m") * F.lit(1e-12), F.lit(0.0)).otherwise(
+        F.coalesce(F.try_divide(F.col("raw_variance"), F.col("p")), F.lit(0.0)))
+    return m.select("feature", "raw_variance", scaled.alias("scaled_variance"))
 
 
 def low_variance(df: DataFrame, features: Sequence[str], threshold: float = K.LOW_VARIANCE) -> DataFrame:
@@ -118,11 +113,8 @@ def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
 
 def radar(moments: DataFrame, dims: dict[str, str]) -> DataFrame:
     """Segment means on a 0-1 scale where the population mean sits at 0.5 (mean +- 2 deviations)."""
-    cells = []
-    for name, c in dims.items():
-        std = population_std(c)
-        mean = F.col(f"all_m_{c}")
-        v = clip((F.col(f"m_{c}") - (mean - F.lit(2.0) * std)) / (F.lit(4.0) * std + F.lit(1e-6)), 0, 1)
-        cells.append(F.struct(F.lit(name).alias("dimension"), v.alias("value"), F.lit(0.5).alias("population")))
-    return (moments.filter(F.col("segment_id") >= 0)
-            .select("segment_id", F.explode(F.array(*cells)).alias("c")).select("segment_id", "c.*"))
+    name = F.element_at(literal_map({c: n for n, c in dims.items()}), F.col("feature"))
+    std, mean = population_std(), F.col("all_m")
+    v = clip((F.col("m") - (mean - F.lit(2.0) * std)) / (F.lit(4.0) * std + F.lit(1e-6)), 0, 1)
+    return (moments.filter((F.col("segment_id") >= 0) & F.col("feature").isin(list(dims.values())))
+            .select("segment_id", name.alias("dimension"), v.alias("value"), F.lit(0.5).alias("population")))

@@ -14,14 +14,15 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexcohort import constants as K
 from hexcohort.functions.expr import rnd
 from hexcohort.functions.joins import join_small
-from hexcohort.operators.profile import segment_moments
+from hexcohort.operators.moments import complete_moments, with_totals
 from hexcohort.operators.sampling import hash_sample
 
 
@@ -39,13 +40,12 @@ def _valid(df: DataFrame, label: str) -> DataFrame:
 
 def cluster_sums(df: DataFrame, features: Sequence[str], label: str = "segment_id") -> DataFrame:
     """One row: clusters, rows, within (inertia) and between sums of squares, largest cluster."""
-    m = segment_moments(_valid(df, label).select(label, *features), features, label)
-    within = _sum([F.col(f"n_{c}") * F.col(f"v_{c}") for c in features])
-    between = _sum([F.col(f"n_{c}") * F.pow(F.col(f"m_{c}") - F.col(f"all_m_{c}"), 2) for c in features])
-    return m.agg(F.count(F.lit(1)).alias("n_clusters"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-                 F.coalesce(F.sum(within), F.lit(0.0)).alias("inertia"),
-                 F.coalesce(F.sum(between), F.lit(0.0)).alias("between"),
-                 F.coalesce(F.max("n"), F.lit(0)).alias("largest"))
+    m = with_totals(complete_moments(_valid(df, label).select(label, *features), features, label))
+    per = m.groupBy(label).agg(F.max("rows_n").alias("n"), F.sum(F.col("n") * F.col("v")).alias("w"),
+                               F.sum(F.col("n") * F.pow(F.col("m") - F.col("all_m"), 2)).alias("b"))
+    return per.agg(F.count(F.lit(1)).alias("n_clusters"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+                   F.coalesce(F.sum("w"), F.lit(0.0)).alias("inertia"), F.coalesce(F.sum("b"), F.lit(0.0)).alias("between"),
+                   F.coalesce(F.max("n"), F.lit(0)).alias("largest"))
 
 
 def calinski_harabasz(df: DataFrame, features: Sequence[str], label: str = "segment_id") -> DataFrame:
@@ -62,7 +62,9 @@ def inertia(df: DataFrame, features: Sequence[str], label: str = "segment_id") -
 
 
 def centroids(df: DataFrame, features: Sequence[str], label: str = "segment_id") -> DataFrame:
-    return _valid(df, label).groupBy(label).agg(*[F.avg(c).alias(f"c_{c}") for c in features])
+    """``(label, centre)``: mean vector per cluster as an array."""
+    vec = array_to_vector(F.array(*[F.col(c).cast("double") for c in features]))
+    return _valid(df, label).groupBy(label).agg(vector_to_array(Summarizer.mean(vec)).alias("centre"))
 
 
 def davies_bouldin(df: DataFrame, features: Sequence[str], label: str = "segment_id",
@@ -72,19 +74,18 @@ def davies_bouldin(df: DataFrame, features: Sequence[str], label: str = "segment
     Cluster pairs meet through an equi-join on blocks, so many clusters spread
     over tasks as well.
     """
+    def items(c: str) -> list[Column]:
+        return [F.col(c)[i] for i in range(len(features))]
+
     cents = centroids(df, features, label)
     rows = join_small(_valid(df, label).select(label, *features), cents, label, "inner")
-    c = [f"c_{f}" for f in features]
-    spread = rows.groupBy(label).agg(
-        F.avg(distance([F.col(f) for f in features], [F.col(x) for x in c])).alias("spread"),
-        *[F.first(x).alias(x) for x in c])
-    left = spread.select(F.col(label).alias("i"), F.col("spread").alias("s_i"),
-                         *[F.col(x).alias(f"i_{x}") for x in c],
+    spread = rows.groupBy(label).agg(F.avg(distance([F.col(f) for f in features], items("centre"))).alias("spread"),
+                                     F.first("centre").alias("centre"))
+    left = spread.select(F.col(label).alias("i"), F.col("spread").alias("s_i"), F.col("centre").alias("c_i"),
                          F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    right = spread.select(F.col(label).alias("j"), F.col("spread").alias("s_j"),
-                          *[F.col(x).alias(f"j_{x}") for x in c],
+    right = spread.select(F.col(label).alias("j"), F.col("spread").alias("s_j"), F.col("centre").alias("c_j"),
                           F.pmod(F.col(label), F.lit(blocks)).cast("int").alias("block"))
-    d = distance([F.col(f"i_{x}") for x in c], [F.col(f"j_{x}") for x in c])
+    d = distance(items("c_i"), items("c_j"))
     ratio = F.when(d > 0, (F.col("s_i") + F.col("s_j")) / d).otherwise(F.lit(0.0))
     worst = left.join(right, "block").filter(F.col("i") != F.col("j")).groupBy("i").agg(F.max(ratio).alias("r"))
     return worst.agg(F.avg("r").alias("davies_bouldin"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hexcohort import constants as K
 from hexcohort.functions.expr import argmax_label, literal_map, numeric_columns, rnd
+from hexcohort.operators.moments import grouped_moments, with_totals
 
 
 def profile_features(df: DataFrame) -> list[str]:
@@ -18,40 +19,33 @@ def profile_features(df: DataFrame) -> list[str]:
 
 
 def segment_moments(df: DataFrame, features: Sequence[str], segment: str = "segment_id") -> DataFrame:
-    """Count, mean and population variance per segment, plus the same for all rows.
+    """``(segment_id, feature, rows_n, n, m, v)`` with the ``all_*`` numbers of the whole table.
 
-    One grouped pass; the whole-table numbers are merged from the segment rows
-    (``all_*`` columns), so the big table is read once.
+    One folding pass over the table; the whole-table numbers are merged from
+    the folded rows.
     """
-    per = df.groupBy(segment).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[f(c).alias(f"{t}_{c}") for c in features for t, f in (("n", F.count), ("m", F.avg), ("v", F.var_pop))])
-    every = Window.partitionBy(F.lit(1))
-    per = per.withColumns({"all_n": F.sum("n").over(every),
-                           **{f"all_n_{c}": F.sum(f"n_{c}").over(every) for c in features},
-                           **{f"sum_{c}": F.sum(F.col(f"n_{c}") * F.col(f"m_{c}")).over(every) for c in features}})
-    per = per.withColumns({f"all_m_{c}": F.try_divide(F.col(f"sum_{c}"), F.col(f"all_n_{c}")) for c in features})
-    spread = {c: F.col(f"n_{c}") * (F.col(f"v_{c}") + F.pow(F.col(f"m_{c}") - F.col(f"all_m_{c}"), 2))
-              for c in features}
-    return per.withColumns({f"all_ss_{c}": F.sum(e).over(every) for c, e in spread.items()})
-
-
-def population_std(c: str) -> Column:
+    m = grouped_moments(df, features, segment)
+    return with_totals(m if segment == "segment_id" else m.withColumnRenamed(segment, "segment_id"))
+
+
+def population_std() -> Column:
     """Sample deviation over all rows; no spread (or rounding dust) counts as 1."""
-    std = F.sqrt(F.try_divide(F.col(f"all_ss_{c}"), F.col(f"all_n_{c}") - 1))
-    return F.when(std <= F.abs(F.col(f"all_m_{c}")) * F.lit(1e-12), F.lit(1.0)).otherwise(std)
+    std = F.sqrt(F.try_divide(F.col("all_ss"), F.col("all_n") - 1))
+    return F.when(std <= F.abs(F.col("all_m")) * F.lit(1e-12), F.lit(1.0)).otherwise(std)
 
 
 def segment_zscores(df: DataFrame, features: Sequence[str], segment: str = "segment_id") -> DataFrame:
     """Size, percent, mean and z-score per segment (noise left out, counted in the total)."""
-    m = segment_moments(df, features, segment).filter(F.col(segment) >= 0)
-    cols = [F.col(segment).alias("segment_id"), F.col("n").alias("n_subscribers"),
-            rnd(F.col("n").cast("double") / F.col("all_n").cast("double") * F.lit(100.0), 1).alias("pct_of_total")]
-    for c in features:
-        z = (F.col(f"m_{c}") - F.col(f"all_m_{c}")) / population_std(c)
-        cols += [(rnd(F.col(f"m_{c}"), 3) + F.lit(0.0)).alias(f"mean_{c}"),
-                 (rnd(z, 3) + F.lit(0.0)).alias(f"zscore_{c}")]
-    return m.select(*cols)
+    m = segment_moments(df, features, segment).filter(F.col("segment_id") >= 0)
+    z = (F.col("m") - F.col("all_m")) / population_std()
+    values = F.struct((rnd(F.col("m"), 3) + F.lit(0.0)).alias("mean"), (rnd(z, 3) + F.lit(0.0)).alias("zscore"))
+    # one map per segment: at most one entry per feature
+    wide = m.withColumn("values", values).groupBy("segment_id").agg(
+        F.max("rows_n").alias("n_subscribers"), F.max("all_rows").alias("all_rows"),
+        F.map_from_entries(F.collect_list(F.struct("feature", "values"))).alias("f"))
+    pct = rnd(F.col("n_subscribers").cast("double") / F.col("all_rows").cast("double") * F.lit(100.0), 1)
+    return wide.select("segment_id", "n_subscribers", pct.alias("pct_of_total"),
+                       *[F.col("f")[c][k].alias(f"{k}_{c}") for c in features for k in ("mean", "zscore")])
 
 
 def archetype_scores(columns: Sequence[str], features: Sequence[str],

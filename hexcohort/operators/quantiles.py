@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hexcohort.operators.moments import long_values
 from hexcohort.sources.scratch import small_table
 
 SLOTS = 512
@@ -24,9 +25,7 @@ ONE_PASS_CELLS = 2_000_000
 
 
 def _long(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
-    return (df.select(*by, F.explode(pairs).alias("p")).select(*by, "p.feature", "p.value")
-            .filter(F.col("value").isNotNull()))
+    return long_values(df, by, columns).filter(F.col("value").isNotNull())
 
 
 def _one_pass(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:

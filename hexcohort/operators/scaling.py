@@ -14,6 +14,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hexcohort.operators.moments import column_stats
 from hexcohort.operators.quantiles import medians, quantile_values
 
 SCALERS = ("standard", "minmax", "robust")
@@ -47,20 +48,16 @@ class MedianImpute(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         return ImputeModel(columns=list(med), fills=[float(v) for v in med.values()])
 
 
-def scaler_stats(df: DataFrame, columns: list[str], method: str) -> tuple[list[float], list[float]]:
-    """(offset, divisor) per column, from one aggregation."""
+def scaler_stats(df: DataFrame, columns: list[str], method: str, complete: bool = False) -> tuple[list[float], list[float]]:
+    """(offset, divisor) per column; unknown methods count as standard."""
     if method == "robust":
         q = quantile_values(df, columns, [0.25, 0.5, 0.75])
         offset = [q[c][1] for c in columns]
         spread = [q[c][2] - q[c][0] for c in columns]
-    elif method == "minmax":
-        r = df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]).first()
-        offset = [r[f"lo_{c}"] for c in columns]
-        spread = [r[f"hi_{c}"] - r[f"lo_{c}"] for c in columns]
-    else:  # unknown names fall back to standard
-        r = df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
-        offset = [r[f"m_{c}"] for c in columns]
-        spread = [r[f"s_{c}"] for c in columns]
+    else:
+        st = column_stats(df, columns, complete)
+        offset = [st[c]["lo" if method == "minmax" else "mean"] for c in columns]
+        spread = [st[c]["hi"] - st[c]["lo"] if method == "minmax" else st[c]["std"] for c in columns]
     # a constant column leaves only rounding dust, which counts as no spread
     tiny = [10 * 2.220446049250313e-16 * max(abs(o), 1.0) for o in offset]
     return [float(o) for o in offset], [float(s) if s > t else 1.0 for s, t in zip(spread, tiny)]
@@ -121,6 +118,6 @@ class Scale(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             med = medians(dataset, cols)
             fills = [float(med.get(c, 0.0)) for c in cols]
             dataset = dataset.select(*[F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in zip(cols, fills)])
-        offsets, spreads = scaler_stats(dataset, cols, self.getOrDefault(self.method))
+        offsets, spreads = scaler_stats(dataset, cols, self.getOrDefault(self.method), bool(fills))
         return ScaleModel(columns=cols, offsets=offsets, spreads=spreads, fills=fills,
                           outputCol=self.getOrDefault(self.outputCol), prefix=self.getOrDefault(self.prefix))

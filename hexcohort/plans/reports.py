@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexcohort import constants as K
-from hexcohort.functions.expr import rnd
+from hexcohort.functions.expr import literal_map, rnd
 from hexcohort.functions.joins import join_small
 from hexcohort.operators.profile import display_label, segment_moments
 from hexcohort.operators.quantiles import exact_quantiles, quantile_values
@@ -143,9 +143,11 @@ def time_mix(df: DataFrame) -> DataFrame:
     """Mean share per part of the day, segment against all: ``(segment_id, time_window, grp, data_ratio)``."""
     cols = list(K.TIME_WINDOWS.values())
     m = segment_moments(df.select("segment_id", *cols), cols).filter(F.col("segment_id") >= 0)
-    cells = [F.struct(F.lit(w).alias("time_window"), F.lit(g).alias("grp"), F.col(p + c).alias("data_ratio"))
-             for w, c in K.TIME_WINDOWS.items() for g, p in (("Segment", "m_"), ("All Subs", "all_m_"))]
-    return m.select("segment_id", F.explode(F.array(*cells)).alias("c")).select("segment_id", "c.*")
+    window = F.element_at(literal_map({c: w for w, c in K.TIME_WINDOWS.items()}), F.col("feature"))
+    both = F.array(F.struct(F.lit("Segment").alias("grp"), F.col("m").alias("data_ratio")),
+                   F.struct(F.lit("All Subs").alias("grp"), F.col("all_m").alias("data_ratio")))
+    return m.select("segment_id", window.alias("time_window"), F.explode(both).alias("c")).select(
+        "segment_id", "time_window", "c.*")
 
 
 def segment_heatmap(df: DataFrame, features: Sequence[str] = tuple(K.HEATMAP_FEATURES)) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hexcohort import constants as K
 from hexcohort.functions.expr import out
+from hexcohort.functions.joins import join_small
 from hexcohort.operators import metrics
 from hexcohort.operators.dbscan import dbscan, hdb_flat, project_km
 from hexcohort.operators.kmeans import fit_kmeans, pca_2d, tune_k
@@ -14,7 +15,7 @@ from hexcohort.operators.profile import segment_dimension
 from hexcohort.plans.feature_pipeline import fit_features
 from hexcohort.plans.scoring import Scorer, scorer_from
 from hexcohort.registry import sql as Q
-from hexcohort.registry.core import query
+from hexcohort.registry.core import query, stored_subscribers
 from hexcohort.sources.derive import subscribers
 
 # Measured on five raw columns of comparable size, with the labels given.
@@ -46,12 +47,12 @@ def calinski(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("davies_bouldin", Q.sub(**_CENT) + f"SELECT {Q.out('d')} AS davies_bouldin FROM db")
 def davies(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.davies_bouldin(subscribers(spark, sf), _M).select(out(F.col("davies_bouldin")).alias("davies_bouldin"))
+    return metrics.davies_bouldin(stored_subscribers(spark, sf), _M).select(out(F.col("davies_bouldin")).alias("davies_bouldin"))
 
 
 @query("silhouette", Q.sub(**_CENT, **_SIL) + f"SELECT c AS n_sampled, {Q.out('s')} AS silhouette FROM sil")
 def silhouette(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.silhouette(subscribers(spark, sf), _M).withColumn("silhouette", out(F.col("silhouette")))
+    return metrics.silhouette(stored_subscribers(spark, sf), _M).withColumn("silhouette", out(F.col("silhouette")))
 
 
 _METRICS = (f"SELECT {Q.rnd('s', 4)} AS silhouette, {Q.rnd('d', 4)} AS davies_bouldin, {Q.rnd(_CH, 2)} AS calinski_harabasz, k AS n_clusters, "
@@ -60,7 +61,7 @@ _METRICS = (f"SELECT {Q.rnd('s', 4)} AS silhouette, {Q.rnd('d', 4)} AS davies_bo
 
 @query("cluster_metrics", Q.sub(**_CENT, **_SIL) + _METRICS + " FROM sil, db, within, betw")
 def all_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.cluster_metrics(subscribers(spark, sf), _M)
+    return metrics.cluster_metrics(stored_subscribers(spark, sf), _M)
 
 
 @query("quality_gate", Q.sub(**_CENT, **_SIL) + _METRICS + f", {Q.rnd('s', 4)} >= 3e-1 AS promote FROM sil, db, within, betw")
@@ -84,58 +85,71 @@ def adjusted_rand(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("kmeans_segments")
 def kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
-    _, table = fit_features(subscribers(spark, sf).drop("segment_id"))
+    _, table = fit_features(stored_subscribers(spark, sf).drop("segment_id"))
     return fit_kmeans(table, n_init=3, max_iter=100).transform(table).select("subscriber_id", "segment_id")
 
 
 @query("tune_k")
 def search_k(spark: SparkSession, sf: str) -> DataFrame:
-    _, table = fit_features(subscribers(spark, sf).drop("segment_id"))
+    _, table = fit_features(stored_subscribers(spark, sf).drop("segment_id"))
     return tune_k(table, max_iter=50)
 
 
 @query("pca_2d")
 def projection(spark: SparkSession, sf: str) -> DataFrame:
-    _, table = fit_features(subscribers(spark, sf))
+    _, table = fit_features(stored_subscribers(spark, sf))
     return pca_2d(table, keep=("subscriber_id", "segment_id", "true_persona_name"))
 
 
 # Density clustering of home positions, radius in kilometres.
-_EPS, _MIN = 2.5, 10
-_POS = "SELECT subscriber_id, 6371.0088e0*radians(home_lon)*cos(radians(-6.2e0)) AS x, 6371.0088e0*radians(home_lat) AS y FROM sub"
+_EPS, _MIN, _SIZE = 2.0, 10, 50
+_POS = "SELECT subscriber_id, 6371.0088e0*radians(work_lon)*cos(radians(-6.2e0)) AS x, 6371.0088e0*radians(work_lat) AS y FROM sub"
+_GRAPH = {
+    "p": _POS,
+    "nb": f"SELECT a.subscriber_id AS i, b.subscriber_id AS j FROM p a JOIN p b ON abs(a.x-b.x) <= {_EPS} AND abs(a.y-b.y) <= {_EPS} AND sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) <= {_EPS}",
+    "core": f"SELECT i FROM nb GROUP BY i HAVING count(*) >= {_MIN}",
+    "ok": "SELECT DISTINCT nb.i FROM nb JOIN core ON nb.j = core.i",
+    "ce": "SELECT nb.i, nb.j FROM nb JOIN core a ON a.i = nb.i JOIN core b ON b.i = nb.j"}
+_COMPONENTS = ("WITH RECURSIVE " + Q.sub(**_GRAPH)[5:] + ", cc(i, root) AS (SELECT i, i FROM core UNION SELECT ce.j, cc.root FROM cc JOIN ce ON ce.i = cc.i WHERE ce.j >= cc.root), "
+               "comp AS (SELECT i, min(root) AS c FROM cc GROUP BY 1) ")
 
 
-@query("dbscan_geo", Q.sub(p=_POS, nb=f"SELECT a.subscriber_id AS i, b.subscriber_id AS j FROM p a JOIN p b ON abs(a.x-b.x) <= {_EPS} AND abs(a.y-b.y) <= {_EPS} AND sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) <= {_EPS}",
-                           core=f"SELECT i FROM nb GROUP BY i HAVING count(*) >= {_MIN}", ok="SELECT DISTINCT nb.i FROM nb JOIN core ON nb.j = core.i")
-       + "SELECT p.subscriber_id, ok.i IS NULL AS is_noise FROM p LEFT JOIN ok ON ok.i = p.subscriber_id")
+def _work_km(spark: SparkSession, sf: str) -> DataFrame:
+    return project_km(subscribers(spark, sf).select("subscriber_id", "work_lat", "work_lon"), "work_lat", "work_lon")
+
+
+@query("dbscan_geo", Q.sub(**_GRAPH) + "SELECT p.subscriber_id, ok.i IS NULL AS is_noise FROM p LEFT JOIN ok ON ok.i = p.subscriber_id")
 def dbscan_geo(spark: SparkSession, sf: str) -> DataFrame:
-    pts = project_km(subscribers(spark, sf).select("subscriber_id", "home_lat", "home_lon"))
-    found = dbscan(pts, ["x_km", "y_km"], _EPS, _MIN)
+    found = dbscan(_work_km(spark, sf), ["x_km", "y_km"], _EPS, _MIN)
     return found.select("subscriber_id", (F.col("segment_id") < 0).alias("is_noise"))
 
 
-@query("dbscan_segments")
+@query("dbscan_segments", _COMPONENTS + "SELECT (SELECT count(DISTINCT c) FROM comp) AS n_clusters, (SELECT count(*) FROM p) - (SELECT count(*) FROM ok) AS n_noise")
 def dbscan_segments(spark: SparkSession, sf: str) -> DataFrame:
-    pts = project_km(subscribers(spark, sf).select("subscriber_id", "home_lat", "home_lon"))
-    return dbscan(pts, ["x_km", "y_km"], _EPS, _MIN).groupBy("segment_id").agg(F.count(F.lit(1)).alias("n"))
+    found = dbscan(_work_km(spark, sf), ["x_km", "y_km"], _EPS, _MIN)
+    sizes = found.groupBy("segment_id").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.count_if(F.col("segment_id") >= 0).alias("n_clusters"),
+                     F.coalesce(F.sum(F.when(F.col("segment_id") < 0, F.col("n"))), F.lit(0)).alias("n_noise"))
 
 
-@query("hdb_flat")
+@query("hdb_flat", _COMPONENTS + f", big AS (SELECT c, count(*) AS n FROM comp GROUP BY 1 HAVING count(*) >= {_SIZE}) "
+       "SELECT p.subscriber_id, coalesce(big.n, -1) AS cluster_size FROM p LEFT JOIN comp ON comp.i = p.subscriber_id LEFT JOIN big ON big.c = comp.c")
 def hdb(spark: SparkSession, sf: str) -> DataFrame:
-    pts = project_km(subscribers(spark, sf).select("subscriber_id", "home_lat", "home_lon"))
-    return hdb_flat(pts, ["x_km", "y_km"], 50, _MIN, _EPS).select("subscriber_id", "segment_id")
+    found = hdb_flat(_work_km(spark, sf), ["x_km", "y_km"], _SIZE, _MIN, _EPS).select("subscriber_id", "segment_id")
+    sizes = found.filter("segment_id >= 0").groupBy("segment_id").agg(F.count(F.lit(1)).alias("n"))
+    return join_small(found, sizes, "segment_id").select("subscriber_id", F.coalesce("n", F.lit(-1)).alias("cluster_size"))
 
 
 # --- scoring with centroids taken from the given labels -----------------------------
 def labelled_scorer(spark: SparkSession, sf: str) -> Scorer:
     """Feature numbers, per-segment centroids and segment metadata learned from the labelled table."""
-    subs = subscribers(spark, sf)
+    subs = stored_subscribers(spark, sf)
     model, _ = fit_features(subs)
     scorer = scorer_from(model, None, segment_dimension(subs))
     exprs = scorer.scale.scaled()
     table = model.transform(subs).select("segment_id", *[e.alias(c) for c, e in exprs.items()])
     cents = metrics.centroids(table, scorer.features).orderBy("segment_id").collect()   # one row per segment
-    scorer.centers = [[r[f"c_{c}"] for c in scorer.features] for r in cents]
+    scorer.centers = [list(r["centre"]) for r in cents]
     return scorer
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hexcohort.functions.hexgrid import hex_cell
 from hexcohort.operators.profile import segment_dimension
 from hexcohort.sources.derive import subscribers
+from hexcohort.sources.scratch import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +29,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def stored_subscribers(spark: SparkSession, sf: str) -> DataFrame:
+    """Subscribers written once, for queries that read the table several times."""
+    return materialize(subscribers(spark, sf), "subscribers")
+
+
 def sub_cells(spark: SparkSession, sf: str, res: int = RES) -> DataFrame:
     """Subscribers with their home cell."""
     return subscribers(spark, sf).withColumn("home_h3", hex_cell(F.col("home_lat"), F.col("home_lon"), res))
