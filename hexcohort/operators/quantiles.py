@@ -78,8 +78,8 @@ def _read(long: DataFrame, targets: list[dict]) -> dict[int, float]:
 
 def _refined(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str], groups: list,
              read_limit: int, slots: int) -> list[tuple]:
-    key_of = {r["g"]: tuple(r[b] for b in by) for r in groups}
-    long = _long(df, ["g"], columns)
+    key_of = {r["g_"]: tuple(r[b] for b in by) for r in groups}
+    long = _long(df, ["g_"], columns).withColumnRenamed("g_", "g")
     stats = long.groupBy("g", "feature").agg(F.count("value").alias("n"), F.min("value").alias("lo"),
                                              F.max("value").alias("hi")).collect()
     targets, wanted, ids = [], [], {}
@@ -111,22 +111,22 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     data = df.select(*by, *columns)
     limit = max(1, one_pass_cells // max(1, len(columns)))
     g = F.to_json(F.struct(*[F.col(b) for b in by])) if by else F.lit("all")
-    data = data.withColumn("g", g)
+    data = data.withColumn("g_", g)
     # A group above the limit holds more than `limit` rows, so their number is at most rows / limit.
-    big, fits = small_table(data.groupBy("g", *by).agg(F.count(F.lit(1)).alias("rows_"))
+    big, fits = small_table(data.groupBy("g_", *by).agg(F.count(F.lit(1)).alias("rows_"))
                             .filter(F.col("rows_") > limit), 1_000_000)
     if not fits:
         raise ValueError("too many very large groups for exact quantiles")
     if not big:
         return _one_pass(data, columns, probs, by)
-    names = [r["g"] for r in big]
-    rows = _refined(data.filter(F.col("g").isin(names)), columns, probs, by, big, read_limit, slots)
+    names = [r["g_"] for r in big]
+    rows = _refined(data.filter(F.col("g_").isin(names)), columns, probs, by, big, read_limit, slots)
     fields = ", ".join([f"`{b}` {df.schema[b].dataType.simpleString()}" for b in by]
                        + ["feature string", "prob double", "value double"])
     large = df.sparkSession.createDataFrame(rows, fields)
     if not by:
         return large
-    return _one_pass(data.filter(~F.col("g").isin(names)), columns, probs, by).unionByName(large)
+    return _one_pass(data.filter(~F.col("g_").isin(names)), columns, probs, by).unionByName(large)
 
 
 def medians(df: DataFrame, columns: Sequence[str], **kw) -> dict[str, float]:
