@@ -12,6 +12,8 @@ def spark(tmp_path_factory):
          .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
          .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.showConsoleProgress", "false")
+         # tiny tables: interpreting beats compiling a class per stage
+         .config("spark.sql.codegen.wholeStage", "false").config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
          .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
