@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,18 +14,32 @@ from hexcohort import constants as K
 from hexcohort.functions.expr import clip, literal_map, rnd
 from hexcohort.functions.joins import join_small
 from hexcohort.operators.moments import long_values
+from hexcohort.operators.numbering import number_rows
 from hexcohort.operators.profile import population_std
 from hexcohort.operators.quantiles import exact_quantiles, quantile_values
 
 
-def correlation_matrix(df: DataFrame, features: Sequence[str] = tuple(K.CORRELATION_FEATURES)) -> DataFrame:
-    """Pearson correlation of every feature pair (i < j), pairwise complete, in one pass."""
+def correlation_matrix(df: DataFrame, features: Sequence[str] = tuple(K.CORRELATION_FEATURES),
+                       complete: bool | None = None) -> DataFrame:
+    """Pearson correlation of every feature pair (i < j), pairwise complete.
+
+    Without missing values (looked up unless told) the matrix comes from Spark
+    ML, which folds whole rows; otherwise every pair is its own aggregate.
+    """
     cols = [c for c in features if c in df.columns]
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [F.struct(F.lit(i).alias("pos"), F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                      F.nanvl(F.col(f"p{i}"), F.lit(None).cast("double")).alias("corr"))
-             for i, (a, b) in enumerate(pairs)]
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    schema = "pos int, feature_a string, feature_b string, corr double"
+    if complete is None:
+        gap = F.greatest(*[F.col(c).isNull().cast("int") for c in cols], F.lit(0))
+        complete = df.agg(F.max(gap).alias("g")).first()["g"] == 0
+    if complete:
+        vec = df.select(array_to_vector(F.array(*[F.col(c).cast("double") for c in cols])).alias("v"))
+        m = Correlation.corr(vec, "v").first()[0].toArray()      # features x features
+        rows = [(n, cols[i], cols[j], None if math.isnan(m[i, j]) else float(m[i, j])) for n, (i, j) in enumerate(pairs)]
+        return df.sparkSession.createDataFrame(rows, schema)
+    row = df.agg(*[F.corr(cols[i], cols[j]).alias(f"p{n}") for n, (i, j) in enumerate(pairs)])
+    cells = [F.struct(F.lit(n).alias("pos"), F.lit(cols[i]).alias("feature_a"), F.lit(cols[j]).alias("feature_b"),
+                      F.nanvl(F.col(f"p{n}"), F.lit(None).cast("double")).alias("corr")) for n, (i, j) in enumerate(pairs)]
     return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
@@ -106,9 +123,8 @@ def histogram(df: DataFrame, feature: str, group: str, bins: int = 40) -> DataFr
 
 def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
     """Codes 0..k-1 in alphabetical order of the distinct values."""
-    codes = (df.select(column).filter(F.col(column).isNotNull()).distinct()
-             .withColumn(name, (F.dense_rank().over(Window.orderBy(column)) - 1).cast("int")))
-    return join_small(df, codes, column)
+    codes = number_rows(df.select(column).filter(F.col(column).isNotNull()).distinct(), name, [column])
+    return join_small(df, codes.withColumn(name, F.col(name).cast("int")), column)
 
 
 def radar(moments: DataFrame, dims: dict[str, str]) -> DataFrame:

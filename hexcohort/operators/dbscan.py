@@ -22,11 +22,12 @@ from pyspark.sql import functions as F
 from hexcohort import constants as K
 from hexcohort.operators.components import connected_components
 from hexcohort.operators.numbering import number_rows
-from hexcohort.sources.scratch import materialize
+from hexcohort.sources.scratch import materialize, small_table
 
 LEAF = 32          # a box with at most this many distinct points is split into points
 FAN = 4            # pieces per dimension when a box is split
 GROUP = 3          # dimensions split at a time
+HOT = 1_000_000    # copies of one point from which on it is joined by broadcast
 
 
 def _axes(d: int) -> list[list[int]]:
@@ -252,11 +253,27 @@ def _core_graph(pts, cells, sparse_pts, hits, min_samples: int):
     return sparse, nodes, links
 
 
-def _labels(df: DataFrame, features: Sequence[str], per_point: DataFrame, label: str) -> DataFrame:
-    """Labels back on the rows; rows with a missing coordinate are noise."""
+def _labels(df: DataFrame, features: Sequence[str], pts: DataFrame, per_point: DataFrame, label: str) -> DataFrame:
+    """Labels back on the rows; rows with a missing coordinate are noise and need no join.
+
+    Points with very many copies are few, so they are broadcast; the rest meet
+    in a shuffle that no single point can dominate.
+    """
+    known = sum((F.col(f).isNull().cast("int") for f in features), F.lit(0)) == 0
     xs = F.array(*[F.col(f).cast("double") + F.lit(0.0) for f in features])
-    return (df.withColumn("x_", xs).join(per_point.select(F.col("x").alias("x_"), "seg_"), "x_", "left")
-            .withColumn(label, F.coalesce("seg_", F.lit(-1)).cast("int")).drop("x_", "seg_"))
+    rows = df.filter(known).withColumn("x_", xs)
+    found = per_point.select(F.col("x").alias("x_"), "seg_")
+    hot = pts.filter(F.col("w") >= HOT).select(F.col("x").alias("x_"))
+    hot_rows, fits = small_table(hot, 1_000_000)          # at most rows / HOT of them
+    if hot_rows and fits:
+        keys = df.sparkSession.createDataFrame(hot_rows, hot.schema)
+        hot_found = F.broadcast(keys.join(found, "x_", "left"))
+        joined = rows.join(hot_found, "x_", "inner").unionByName(
+            rows.join(F.broadcast(keys), "x_", "left_anti").join(found, "x_", "left"))
+    else:
+        joined = rows.join(found, "x_", "left")
+    joined = joined.withColumn(label, F.coalesce("seg_", F.lit(-1)).cast("int")).drop("x_", "seg_")
+    return joined.unionByName(df.filter(~known).withColumn(label, F.lit(-1)))
 
 
 def _cluster(df: DataFrame, features: Sequence[str], eps: float, min_samples: int, min_size: int, border: bool,
@@ -281,7 +298,7 @@ def _cluster(df: DataFrame, features: Sequence[str], eps: float, min_samples: in
                    .unionByName(loose.join(mates, "cell").select("pid", "x", "node")))
         edge = options.join(node_seg, "node").groupBy("pid", "x").agg(F.min("seg_").alias("seg_"))
         per_point = per_point.unionByName(edge.select("x", "seg_"))
-    return _labels(df, features, per_point, label)
+    return _labels(df, features, pts, per_point, label)
 
 
 def dbscan(df: DataFrame, features: Sequence[str], eps: float = K.DBSCAN_PARAMS["eps"],

@@ -37,14 +37,31 @@ def visit_entropy(events: DataFrame, user: str = "user_id", place: str = "event_
     return group_entropy(events, user, place, "mobility_entropy")
 
 
+def _daily_km(pings: DataFrame, user: str) -> DataFrame:
+    """Kilometres per user and day along the order of the pings.
+
+    Steps are summed per minute first and the minutes then chained by their end
+    points (at most 1,440 a day), so a very busy user is spread over many tasks.
+    """
+    m = pings.select(user, F.date_trunc("minute", "t").alias("minute"), "t", "la", "lo")
+    inside = Window.partitionBy(user, "minute").orderBy("t", "la", "lo")
+    step = haversine_km(F.lag("la").over(inside), F.lag("lo").over(inside), F.col("la"), F.col("lo"))
+    point = F.struct("t", "la", "lo")
+    minutes = (m.withColumn("km", F.coalesce(step, F.lit(0.0))).groupBy(user, "minute")
+               .agg(F.sum("km").alias("km"), F.min(point).alias("first"), F.max(point).alias("last")))
+    chain = Window.partitionBy(user, F.to_date("minute")).orderBy("minute")
+    before = F.lag("last").over(chain)
+    hop = haversine_km(before["la"], before["lo"], F.col("first.la"), F.col("first.lo"))
+    return (minutes.select(user, F.to_date("minute").alias("day"), (F.col("km") + F.coalesce(hop, F.lit(0.0))).alias("km"))
+            .groupBy(user, "day").agg(F.sum("km").alias("km")))
+
+
 def home_work(pings: DataFrame, user: str = "user_id", ts: str = "ts", lat: str = "lat", lon: str = "lon",
               res: int = 8) -> DataFrame:
     """Home and work cell, time shares, radius and daily distance from positioned events.
 
     Home is the modal cell at night, work the modal cell between 9 and 17 on
     weekdays away from home.  Pings are folded to (user, cell) counts first.
-    The daily distance follows the order of a user's pings within a day, so its
-    window is split by user and day.
     """
     h = F.hour(ts)
     night = (h >= 22) | (h < 6)
@@ -71,11 +88,7 @@ def home_work(pings: DataFrame, user: str = "user_id", ts: str = "ts", lat: str
     far = (cells.join(base.select(user, "home_h3"), user)
            .select(user, haversine_km(h_lat, h_lon, *hex_centre(F.col("cell"))).alias("d"))
            .groupBy(user).agg(F.max("d").alias("travel_radius_km")))
-    day = Window.partitionBy(user, F.to_date("t")).orderBy("t")
-    step = haversine_km(F.lag("la").over(day), F.lag("lo").over(day), F.col("la"), F.col("lo"))
-    daily = (p.select(user, F.to_date("t").alias("day"), F.coalesce(step, F.lit(0.0)).alias("km"))
-             .groupBy(user, "day").agg(F.sum("km").alias("km"))
-             .groupBy(user).agg(F.avg("km").alias("avg_daily_distance_km")))
+    daily = (_daily_km(p, user).groupBy(user).agg(F.avg("km").alias("avg_daily_distance_km")))
     w_lat, w_lon = hex_centre(F.col("work_h3"))
     return (base.join(far, user).join(daily, user)
             .withColumn("home_work_distance_km", haversine_km(h_lat, h_lon, w_lat, w_lon)))

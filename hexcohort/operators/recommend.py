@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from hexcohort.functions.expr import literal_map, rnd
 from hexcohort.functions.joins import join_small
 from hexcohort.operators.density import dominant_value
 from hexcohort.operators.numbering import number_rows
+from hexcohort.sources.scratch import materialize
 
 
 def _strings(values: Sequence[str]) -> Column:
@@ -101,23 +104,101 @@ def interaction_matrix(df: DataFrame, segment: str = "segment_id") -> DataFrame:
 
 
 def fit_als(interactions: DataFrame, factors: int = 32, iterations: int = 30, reg: float = 0.1,
-            seed: int = 42) -> tuple[ALSModel, DataFrame]:
-    """Implicit ALS over subscriber x plan; more factors than plans carry no information.
+            seed: int = 42, blocks: int | None = None) -> tuple[ALSModel, DataFrame]:
+    """Implicit ALS of Spark ML for catalogs of many plans.
 
-    Returns the model and the (subscriber_id, user) numbering.
+    Returns the model and the (subscriber_id, user) numbering.  ``plan_id`` must
+    be in the catalog.  With few plans use :func:`fit_narrow`: here one plan's
+    ratings sit in one block.
     """
     users = number_rows(interactions.select("subscriber_id").distinct(), "user").select(
         "subscriber_id", F.col("user").cast("int").alias("user"))
     item = F.try_element_at(literal_map({p: i for i, p in enumerate(K.PLAN_IDS)}), F.col("plan_id"))
     data = (interactions.join(users, "subscriber_id")
             .select("user", item.cast("int").alias("item"), F.col("weight").cast("float").alias("rating")))
-    als = ALS(userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=True,
-              rank=min(factors, len(K.PLAN_IDS)), maxIter=iterations, regParam=reg, seed=seed)
+    parts = blocks or int(interactions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    als = ALS(userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=True, rank=min(factors, len(K.PLAN_IDS)),
+              maxIter=iterations, regParam=reg, seed=seed, numUserBlocks=max(10, parts))
     return als.fit(data), users
 
 
+def preference_rows(df: DataFrame) -> DataFrame:
+    """``(subscriber_id, weights)``: catalog-wide weight array from the ``interactions`` column."""
+    return df.select("subscriber_id", F.transform("interactions", lambda i: i["weight"].cast("double")).alias("weights"))
+
+
+def _user_factors(w: np.ndarray, items: np.ndarray, reg: float) -> np.ndarray:
+    """Best user vectors for rows of weights (a weight is the confidence of a preference of 1)."""
+    rank = items.shape[1]
+    outer = np.einsum("ir,is->irs", items, items)
+    extra = np.einsum("ui,irs->urs", np.where(w > 0, w - 1.0, 0.0), outer)
+    lhs = items.T @ items + extra + reg * np.eye(rank)
+    return np.linalg.solve(lhs, (w @ items)[:, :, None])[:, :, 0]
+
+
+def fit_narrow(prefs: DataFrame, factors: int = 32, iterations: int = 30, reg: float = 0.1,
+               seed: int = 42) -> tuple[np.ndarray, DataFrame]:
+    """Implicit alternating least squares for a small catalog, exact for any number of subscribers.
+
+    Subscribers with equal weights have equal factors, so rows are folded to
+    distinct weight patterns with their counts; there are few of them whatever
+    the number of subscribers, and a popular plan is no hot spot.  A round
+    solves the patterns task by task and adds up one small system per plan;
+    only these sums reach the driver.  Returns plan factors and the patterns.
+    """
+    patterns = materialize(prefs.groupBy("weights").agg(F.count(F.lit(1)).alias("n")), "patterns")
+    n_items = len(K.PLAN_IDS)
+    rank = min(factors, n_items)
+    items = np.random.default_rng(seed).normal(0.0, 0.1, (n_items, rank))
+    for _ in range(iterations):
+        def sums(batches, items=items):
+            gram = np.zeros((rank, rank))
+            lhs, rhs = np.zeros((n_items, rank, rank)), np.zeros((n_items, rank))
+            for pdf in batches:
+                if not len(pdf):
+                    continue
+                w, n = np.array(pdf["weights"].tolist(), dtype=float), pdf["n"].to_numpy(dtype=float)
+                x = _user_factors(w, items, reg)
+                gram += np.einsum("u,ur,us->rs", n, x, x)
+                lhs += np.einsum("u,ui,ur,us->irs", n, np.where(w > 0, w - 1.0, 0.0), x, x, optimize=True)
+                rhs += np.einsum("u,ui,ur->ir", n, w, x)
+            flat = np.concatenate([gram.ravel(), lhs.ravel(), rhs.ravel()])
+            yield pd.DataFrame({"pos": np.arange(len(flat)), "v": flat})
+
+        total = patterns.mapInPandas(sums, "pos int, v double").groupBy("pos").agg(F.sum("v").alias("v")).collect()
+        flat = np.zeros(rank * rank * (n_items + 1) + n_items * rank)
+        for r in total:
+            flat[r["pos"]] = r["v"]
+        gram = flat[:rank * rank].reshape(rank, rank)
+        lhs = flat[rank * rank:rank * rank * (n_items + 1)].reshape(n_items, rank, rank)
+        rhs = flat[rank * rank * (n_items + 1):].reshape(n_items, rank)
+        items = np.linalg.solve(gram + lhs + reg * np.eye(rank), rhs[:, :, None])[:, :, 0]
+    return items, patterns
+
+
+def narrow_top_n(items: np.ndarray, patterns: DataFrame, prefs: DataFrame, subscribers: DataFrame, n: int = 3,
+                 reg: float = 0.1) -> DataFrame:
+    """``(subscriber_id, cf_plans)`` for a narrow catalog; unknown subscribers get the first catalog plans."""
+    names = list(K.PLAN_IDS)
+
+    def best(batches):
+        for pdf in batches:
+            w = np.array(pdf["weights"].tolist(), dtype=float).reshape(len(pdf), len(names))
+            order = np.argsort(-(_user_factors(w, items, reg) @ items.T), axis=1, kind="stable")[:, :n]
+            yield pd.DataFrame({"weights": pdf["weights"], "cf_plans": [[names[i] for i in row] for row in order]})
+
+    top = patterns.mapInPandas(best, "weights array<double>, cf_plans array<string>")
+    known = join_small(prefs, top, "weights").select("subscriber_id", "cf_plans")
+    return _with_fallback(subscribers, known, n)
+
+
+def _with_fallback(subscribers: DataFrame, known: DataFrame, n: int) -> DataFrame:
+    return (subscribers.select("subscriber_id").join(known, "subscriber_id", "left")
+            .withColumn("cf_plans", F.coalesce("cf_plans", _strings(K.PLAN_IDS[:n]))))
+
+
 def als_top_n(model: ALSModel, users: DataFrame, subscribers: DataFrame, n: int = 3) -> DataFrame:
-    """``(subscriber_id, cf_plans)``; a subscriber the model never saw gets the first catalog plans.
+    """``(subscriber_id, cf_plans)`` from the Spark ML model; unknown subscribers get the first catalog plans.
 
     The item side has one factor per catalog plan, so it is read once and each
     user row scores all plans on its own: no user x item join.
@@ -130,8 +211,7 @@ def als_top_n(model: ALSModel, users: DataFrame, subscribers: DataFrame, n: int
     top = F.transform(F.slice(F.array_sort(F.array(*scores)), 1, n), lambda x: x["plan"])
     recs = (model.userFactors.withColumnRenamed("id", "user").join(users, "user")
             .select("subscriber_id", top.alias("cf_plans")))
-    return (subscribers.select("subscriber_id").join(recs, "subscriber_id", "left")
-            .withColumn("cf_plans", F.coalesce("cf_plans", _strings(K.PLAN_IDS[:n]))))
+    return _with_fallback(subscribers, recs, n)
 
 
 def merge_plans(rule: Column, cf: Column, n: int = 3) -> Column:

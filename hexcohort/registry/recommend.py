@@ -98,5 +98,6 @@ def als_topn(spark: SparkSession, sf: str) -> DataFrame:
     """Three plans per subscriber from implicit factorisation; one in ten was never seen in training."""
     subs = subscribers(spark, sf).select("subscriber_id", "segment_id", "true_persona_name")
     seen = F.substring("subscriber_id", 5, 20).cast("bigint") % 10 != 0
-    model, users = R.fit_als(R.interaction_matrix(subs.filter(seen)), iterations=10)
-    return R.als_top_n(model, users, subs).select("subscriber_id", F.array_join("cf_plans", ",").alias("plans"))
+    prefs = R.preference_rows(R.with_interactions(subs.filter(seen)))
+    items, patterns = R.fit_narrow(prefs)
+    return R.narrow_top_n(items, patterns, prefs, subs).select("subscriber_id", F.array_join("cf_plans", ",").alias("plans"))

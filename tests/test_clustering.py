@@ -110,6 +110,14 @@ def test_density_clusters_match_brute_force(spark, d, eps, m, leaf):
         assert got[i] == (number[lab[i]] if core[i] else min(reach, default=-1))
 
 
+def test_points_with_many_copies_take_the_broadcast_way(spark, monkeypatch):
+    import hexcohort.operators.dbscan as D
+    df = spark.createDataFrame([(0.0, 0.0)] * 30 + [(0.1, 0.0), (9.0, 9.0), (None, 1.0)], "a double, b double")
+    want = sorted(map(str, dbscan(df, ["a", "b"], 0.5, 3).collect()))
+    monkeypatch.setattr(D, "HOT", 10)
+    assert sorted(map(str, dbscan(df, ["a", "b"], 0.5, 3).collect())) == want and len(want) == 33
+
+
 def test_flat_hierarchy_drops_border_and_small(spark):
     r = np.random.default_rng(9)
     x = np.vstack([r.normal(0, 0.3, (80, 2)), r.normal(5, 0.2, (15, 2)), r.uniform(-3, 8, (30, 2))])

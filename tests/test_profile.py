@@ -113,12 +113,7 @@ def test_precision(spark):
     assert r["n_evaluated"] == 2 and r["precision"] == pytest.approx((1 + 1 / 3) / 2)
 
 
-def test_factorisation_prefers_persona_plans(segmented):
-    inter = R.interaction_matrix(segmented)
-    assert inter.filter("weight < 1 OR weight > 5").isEmpty()
-    model, users = R.fit_als(inter, iterations=5)
-    extra = segmented.select("subscriber_id").unionByName(segmented.sparkSession.createDataFrame([("new",)], "subscriber_id string"))
-    got = R.als_top_n(model, users, extra)
+def check_recommended(got, segmented):
     assert got.filter(F.size(F.array_distinct("cf_plans")) != 3).isEmpty() and got.count() == 501
     assert got.filter("subscriber_id = 'new'").first()["cf_plans"] == K.PLAN_IDS[:3]
     hit = got.join(R.with_interactions(segmented), "subscriber_id").select(F.size(F.array_intersect(
@@ -126,12 +121,41 @@ def test_factorisation_prefers_persona_plans(segmented):
     assert hit > 2.0
 
 
+@pytest.fixture(scope="module")
+def everyone(segmented):
+    return segmented.select("subscriber_id").unionByName(segmented.sparkSession.createDataFrame([("new",)], "subscriber_id string"))
+
+
+def test_ml_factorisation_prefers_persona_plans(segmented, everyone):
+    inter = R.interaction_matrix(segmented)
+    assert inter.filter("weight < 1 OR weight > 5").isEmpty()
+    check_recommended(R.als_top_n(*R.fit_als(inter, iterations=5), everyone), segmented)
+
+
+def test_narrow_factorisation_equals_dense_least_squares(segmented, everyone):
+    prefs = R.preference_rows(R.with_interactions(segmented)).cache()
+    items, patterns = R.fit_narrow(prefs, factors=4, iterations=4)
+    check_recommended(R.narrow_top_n(items, patterns, prefs, everyone), segmented)
+    w = np.array([r["weights"] for r in prefs.collect()])
+    y = np.random.default_rng(42).normal(0.0, 0.1, (8, 4))
+    for _ in range(4):
+        x = np.array([np.linalg.solve(y.T @ y + (y.T * np.where(c > 0, c - 1, 0)) @ y + 0.1 * np.eye(4), y.T @ c) for c in w])
+        y = np.array([np.linalg.solve(x.T @ x + (x.T * np.where(c > 0, c - 1, 0)) @ x + 0.1 * np.eye(4), x.T @ c) for c in w.T])
+    assert np.allclose(items, y, rtol=1e-6, atol=1e-9)
+
+
 # --- analysis -------------------------------------------------------------------------
 def test_correlations(segmented):
     cols = ["data_usage_gb", "call_minutes_monthly", "sms_monthly"]
-    m = {(r["feature_a"], r["feature_b"]): r["corr"] for r in correlation_matrix(segmented, cols).collect()}
     src = segmented_frame()[cols].corr()
-    assert len(m) == 3 and all(v == pytest.approx(src.loc[a, b]) for (a, b), v in m.items())
+    for complete in (None, False):
+        m = {(r["feature_a"], r["feature_b"]): r["corr"] for r in correlation_matrix(segmented, cols, complete).collect()}
+        assert len(m) == 3 and all(v == pytest.approx(src.loc[a, b]) for (a, b), v in m.items())
+    holes = segmented.withColumn("sms_monthly", F.when(F.col("sms_monthly") > 50, F.col("sms_monthly")))
+    pdf = segmented_frame()[cols]
+    want = pdf.assign(sms_monthly=pdf.sms_monthly.where(pdf.sms_monthly > 50)).corr()
+    got = {(r["feature_a"], r["feature_b"]): r["corr"] for r in correlation_matrix(holes, cols).collect()}
+    assert all(v == pytest.approx(want.loc[a, b]) for (a, b), v in got.items())
     top = top_correlations(segmented, cols, 2).collect()
     assert len(top) == 2 and top[0]["abs_corr"] >= top[1]["abs_corr"]
 
