@@ -140,11 +140,12 @@ def test_missing_coordinate_is_noise(spark):
     assert (None, -1) in got and got.count((0.0, 0)) == 5
 
 
-def test_components_on_a_long_path(spark):
+@pytest.mark.parametrize("finish", [None, 0, 12])
+def test_components_on_a_long_path(spark, finish):
     n = 40
     nodes = spark.createDataFrame([(f"n{i:03d}",) for i in range(n)] + [("z1",), ("z2",)], "node string")
     edges = spark.createDataFrame([(f"n{i:03d}", f"n{(i + 1):03d}") for i in range(n - 1)] + [("z2", "z1")], "a string, b string")
-    got = dict(connected_components(nodes, edges).collect())
+    got = dict(connected_components(nodes, edges, finish=finish).collect())
     assert {got[f"n{i:03d}"] for i in range(n)} == {"n000"} and got["z1"] == got["z2"] == "z1"
 
 
