@@ -31,7 +31,7 @@ def segment_density(df: DataFrame, cell: str = "home_h3", segment: str = "segmen
     Everything comes from one grouped aggregation over per-segment counts: one
     shuffle of partially folded rows, whatever share of them one cell holds.
     """
-    ids = segments if segments is not None else segment_ids(df, segment)
+    ids = (segments if segments is not None else segment_ids(df, segment)) or [0]   # no label: no rows, same shape
     counted = (
         df.filter((F.col(segment) >= 0) & F.col(cell).isNotNull())
         .groupBy(cell)

@@ -97,15 +97,15 @@ def stream_time_buckets(spark: SparkSession, sf: str) -> DataFrame:
     e.write.parquet(src)
     out_, ckpt = scratch_path(spark, "buckets"), scratch_path(spark, "ckpt")
     stream = spark.readStream.schema(e.schema).parquet(src)
-    agg = time_bucket_stream(stream, "1 day", "1 hour")
+    agg = time_bucket_stream(stream, "1 day", "7 days")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_}/batch={number}")
 
-    (agg.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", ckpt)
+    # update mode: a batch carries the windows it changed, closed windows leave the state
+    (agg.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", ckpt)
      .trigger(availableNow=True).start().awaitTermination())
-    done = spark.read.parquet(out_)
-    last = done.agg(F.max("batch").alias("b"))
-    return done.join(F.broadcast(last), F.col("batch") == F.col("b")).select(
-        F.unix_seconds("window_start").alias("window_start"), "user_id",
-        *[out(F.col(f"{p}_data_ratio")).alias(f"{p}_data_ratio") for p in _PARTS])
+    shares = [f"{p}_data_ratio" for p in _PARTS]
+    last = spark.read.parquet(out_).groupBy("window_start", "user_id").agg(F.max_by(F.struct(*shares), "batch").alias("s"))
+    return last.select(F.unix_seconds("window_start").alias("window_start"), "user_id",
+                       *[out(F.col(f"s.{c}")).alias(c) for c in shares])

@@ -4,7 +4,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import sample_frame
+from frames import sample_frame
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F

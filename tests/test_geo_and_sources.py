@@ -4,7 +4,7 @@ import gzip
 import json
 
 import pytest
-from conftest import sample_frame
+from frames import sample_frame
 from pyspark.sql import functions as F
 
 from hexcohort import schema as S

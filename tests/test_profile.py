@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import segmented_frame
+from frames import segmented_frame
 from pyspark.sql import functions as F
 
 from hexcohort import constants as K

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import sample_frame
+from frames import sample_frame
 
 from hexcohort.operators.quality import Validator, request_errors, subscriber_rules
 from hexcohort.plans.scoring import fill_defaults, split_requests

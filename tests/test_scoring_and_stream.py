@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import sample_frame
+from frames import sample_frame
 from pyspark.sql import functions as F
 
 from hexcohort.operators.kmeans import fit_kmeans
