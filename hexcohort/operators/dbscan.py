@@ -16,6 +16,8 @@ import itertools
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ from hexcohort.sources.scratch import materialize, small_table
 LEAF = 32          # a box with at most this many distinct points is split into points
 FAN = 4            # pieces per dimension when a box is split
 GROUP = 3          # dimensions split at a time
+WIDE = 4           # dimensions up to which expressions are written out
 HOT = 1_000_000    # copies of one point from which on it is joined by broadcast
 
 
@@ -63,25 +66,32 @@ class _Grid:
         """Box name after ``level`` splits."""
         return F.concat_ws("/", F.col("cell"), *[self.piece(k) for k in range(level)])
 
+    def _squares(self, term) -> Column:
+        """Sum of squares over the dimensions; many of them as a loop, so that the code stays small."""
+        if self.d <= WIDE:
+            parts = [term(F.lit(j)) * term(F.lit(j)) for j in range(self.d)]
+            return sum(parts[1:], parts[0])
+        return F.aggregate(F.sequence(F.lit(0), F.lit(self.d - 1)), F.lit(0.0), lambda acc, j: acc + term(j) * term(j))
+
     def gap2(self, a: str, b: str) -> Column:
         """Squared smallest distance between two boxes."""
-        terms = []
-        for j in range(self.d):
-            g = F.greatest(F.lit(0.0), F.col(f"{b}lo")[j] - F.col(f"{a}hi")[j], F.col(f"{a}lo")[j] - F.col(f"{b}hi")[j])
-            terms.append(g * g)
-        return sum(terms[1:], terms[0])
+        return self._squares(lambda j: F.greatest(F.lit(0.0), F.get(f"{b}lo", j) - F.get(f"{a}hi", j),
+                                                  F.get(f"{a}lo", j) - F.get(f"{b}hi", j)))
 
     def span2(self, a: str, b: str) -> Column:
         """Squared largest distance between two boxes."""
-        terms = []
-        for j in range(self.d):
-            g = F.greatest(F.abs(F.col(f"{b}hi")[j] - F.col(f"{a}lo")[j]), F.abs(F.col(f"{a}hi")[j] - F.col(f"{b}lo")[j]))
-            terms.append(g * g)
-        return sum(terms[1:], terms[0])
+        return self._squares(lambda j: F.greatest(F.abs(F.get(f"{b}hi", j) - F.get(f"{a}lo", j)),
+                                                  F.abs(F.get(f"{a}hi", j) - F.get(f"{b}lo", j))))
 
-    def bounds(self) -> list[Column]:
-        return [F.array(*[F.min(self.x(j)) for j in range(self.d)]).alias("lo"),
-                F.array(*[F.max(self.x(j)) for j in range(self.d)]).alias("hi")]
+    def bounds(self, lo: str = "x", hi: str = "x") -> list[Column]:
+        """Bounding box of the rows of a group as ``lo`` and ``hi`` arrays."""
+        if self.d <= WIDE:
+            mins = F.array(*[F.min(F.col(lo)[j]) for j in range(self.d)])
+            maxs = F.array(*[F.max(F.col(hi)[j]) for j in range(self.d)])
+        else:
+            mins = vector_to_array(Summarizer.min(array_to_vector(lo)))
+            maxs = vector_to_array(Summarizer.max(array_to_vector(hi)))
+        return [mins.alias("lo"), maxs.alias("hi")]
 
 
 def _points(df: DataFrame, features: Sequence[str], grid: _Grid) -> DataFrame:
@@ -110,10 +120,8 @@ def _nearby_cells(cells: DataFrame, grid: _Grid) -> DataFrame:
     keyed = materialize(keyed, "cells")
 
     def boxes(i: int) -> DataFrame:
-        mins = F.array(*[F.min(F.col("lo")[j]) for j in range(grid.d)])
-        maxs = F.array(*[F.max(F.col("hi")[j]) for j in range(grid.d)])
         first = [F.first(c).alias(f"b{n}") for n, c in enumerate(splits[0])] if i == 1 else []
-        return keyed.groupBy(f"k{i - 1}", f"k{i}").agg(mins.alias("lo"), maxs.alias("hi"), *first)
+        return keyed.groupBy(f"k{i - 1}", f"k{i}").agg(*grid.bounds("lo", "hi"), *first)
 
     def side(i: int, tag: str, parent: bool) -> DataFrame:
         cols = [F.col(f"k{i}").alias(f"{tag}k"), F.col("lo").alias(f"{tag}lo"), F.col("hi").alias(f"{tag}hi")]
