@@ -8,6 +8,7 @@ from frames import sample_frame
 from pyspark.sql import functions as F
 
 from hexcohort import schema as S
+from hexcohort.functions.joins import join_small
 from hexcohort.functions.hexgrid import haversine_km, hex_boundary, hex_cell, hex_centre, side_km
 from hexcohort.operators.mobility_events import home_work
 from hexcohort.operators.poi_density import add_poi_density
@@ -111,3 +112,15 @@ def test_home_and_work_from_positions(spark):
     assert (r["home_h3"], r["work_h3"]) == (home, work)
     assert r["pct_time_at_home"] == 25 / 40 and r["pct_time_at_work"] == 15 / 40 and r["n_frequent_locations"] == 2
     assert r["home_work_distance_km"] == pytest.approx(15.7, abs=1.0) and r["avg_daily_distance_km"] > 25
+
+
+def test_join_small_gives_the_same_rows_by_broadcast_and_by_salt(spark):
+    df = spark.range(300).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5).cast("int").alias("k"))
+    dim = spark.createDataFrame([(0, "zero"), (1, "one"), (2, "two")], "k int, name string")
+    for how in ("left", "inner"):
+        fast = join_small(df, dim, "k", how)
+        salted = join_small(df, dim, "k", how, max_rows=1)
+        plan = salted._jdf.queryExecution().optimizedPlan().toString()
+        assert "salt_" in plan
+        assert sorted(map(tuple, fast.select("id", "k", "name").collect()), key=str) == \
+            sorted(map(tuple, salted.select("id", "k", "name").collect()), key=str)
