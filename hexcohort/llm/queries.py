@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexcohort.llm import hosts, licenses, mixing, packing, quality, secrets, sql, token_files
+from hexcohort.llm import hosts, licenses, mixing, packing, quality, repeats, secrets, sql, token_files
 from hexcohort.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,7 +45,12 @@ def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judged(pages).select("page_id", "host", "path", "rule", "verdict", "bad_low")
 
 
+def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.without_repeats(read(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_ledger, op2_license_scan, op3_poisson_mixture, op4_cost_packing, op5_secret_scan, op6_token_files,
-    op7_host_reputation)}
+    op7_host_reputation, op10_repeated_windows)}
 SQL: dict[str, str] = sql.SQL

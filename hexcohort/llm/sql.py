@@ -147,4 +147,17 @@ SELECT f.page_id, f.host, f.path, f.rule, coalesce(f.given, CASE WHEN round(l.ra
 FROM fixed AS f LEFT JOIN low AS l ON f.host = l.host
 """
 
-SQL = {"op1_quality_ledger": OP1, "op2_license_scan": OP2, "op3_poisson_mixture": OP3, "op5_secret_scan": OP5, "op7_host_reputation": OP7}
+OP10 = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS w FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d WHERE len(words) >= 13)),
+owners AS (SELECT w, min(doc_id) AS owner FROM windows GROUP BY w HAVING count(DISTINCT doc_id) > 1),
+gone AS (SELECT doc_id, list_distinct(flatten(list([i, i + 1, i + 2, i + 3, i + 4, i + 5, i + 6, i + 7, i + 8, i + 9, i + 10, i + 11, i + 12]))) AS places
+         FROM windows JOIN owners USING (w) WHERE doc_id > owner GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM (SELECT d.doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d)
+         LEFT JOIN (SELECT doc_id, unnest(places) AS i, 1 AS hit FROM gone) USING (doc_id, i) WHERE hit IS NULL GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(len(gone.places), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN gone ON d.doc_id = gone.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
+
+SQL = {"op10_repeated_windows": OP10, "op1_quality_ledger": OP1, "op2_license_scan": OP2, "op3_poisson_mixture": OP3, "op5_secret_scan": OP5, "op7_host_reputation": OP7}
