@@ -5,35 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexcohort.sources.scratch import materialize, small_table
+from hexcohort.sources.scratch import materialize
 
 
-FINISH = 100_000    # links few enough to be settled at once
-
-
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64, finish: int | None = None) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """``(node, comp)`` where ``comp`` is the smallest node name of the component.
 
     ``nodes(node)`` lists every node, ``edges(a, b)`` each link once in any
     direction.  A round hangs every root below its smallest neighbouring root,
     follows the hooks to their ends, and contracts the links to the new roots;
     each step is written out, so lineage stays short.  Taking one minimum per
-    root folds on the map side, which takes the weight off hub nodes.  Once no
-    more than ``finish`` links are left between roots, that small rest is
-    settled in one go.
+    root folds on the map side, which takes the weight off hub nodes.  Each
+    round at least halves the roots that still have links, so the number of
+    rounds grows with the logarithm of the graph.
     """
-    finish = FINISH if finish is None else finish
     comp = materialize(nodes.select("node", F.col("node").alias("comp")), "cc")
     links = edges.select("a", "b").filter(F.col("a") != F.col("b"))
     links = materialize(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc")
     for _ in range(max_rounds):
-        rest, small = small_table(links, finish)
-        if not rest:
+        if links.isEmpty():
             return comp
-        if small:
-            roots = comp.sparkSession.createDataFrame(_settle(rest), "comp string, up string")
-            return materialize(comp.join(F.broadcast(roots), "comp", "left")
-                               .select("node", F.coalesce("up", "comp").alias("comp")), "cc")
         hook = materialize(links.filter(F.col("b") < F.col("a")).groupBy(F.col("a").alias("root"))
                            .agg(F.min("b").alias("up")), "cc")
         hook = _flatten(hook)
@@ -46,27 +37,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     raise RuntimeError("components did not settle")
 
 
-def _settle(links: list) -> list[tuple[str, str]]:
-    """(root, smallest root of its component) for a bounded list of links."""
-    up: dict[str, str] = {}
-
-    def find(x: str) -> str:
-        path = []
-        while up.get(x, x) != x:
-            path.append(x)
-            x = up[x]
-        for p in path:
-            up[p] = x
-        return x
-
-    for a, b in links:
-        ra, rb = find(a), find(b)
-        lo, hi = min(ra, rb), max(ra, rb)
-        up[hi] = lo
-        up.setdefault(lo, lo)
-    return [(x, find(x)) for x in list(up)]
-
-
 def _flatten(hook: DataFrame) -> DataFrame:
     """Follow the hooks (always to a smaller name) until every root points at its last one."""
     while True:
