@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexcohort.llm import hosts, licenses, mixing, near_dup, packing, quality, repeats, secrets, sql, token_files
+from hexcohort.llm import hosts, licenses, mixing, near_dup, packing, quality, repeats, secrets, sql, token_files, vptree
 from hexcohort.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op9_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = repeats.without_repeats(read(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -56,5 +60,5 @@ def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_ledger, op2_license_scan, op3_poisson_mixture, op4_cost_packing, op5_secret_scan, op6_token_files,
-    op7_host_reputation, op8_near_duplicates, op10_repeated_windows)}
+    op7_host_reputation, op8_near_duplicates, op9_vantage_points, op10_repeated_windows)}
 SQL: dict[str, str] = sql.SQL

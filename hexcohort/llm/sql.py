@@ -160,4 +160,13 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(len(gone
 FROM d LEFT JOIN gone ON d.doc_id = gone.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
-SQL = {"op10_repeated_windows": OP10, "op1_quality_ledger": OP1, "op2_license_scan": OP2, "op3_poisson_mixture": OP3, "op5_secret_scan": OP5, "op7_host_reputation": OP7}
+OP9 = """
+WITH v AS (SELECT DISTINCT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+d AS (SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i])), lambda a, b: a + b)) AS score FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+      WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d) WHERE rank <= 10
+"""
+
+SQL = {"op9_vantage_points": OP9, "op10_repeated_windows": OP10, "op1_quality_ledger": OP1, "op2_license_scan": OP2, "op3_poisson_mixture": OP3, "op5_secret_scan": OP5, "op7_host_reputation": OP7}
