@@ -1,132 +1,120 @@
 """Exact quantiles that never gather a large group in one task.
 
-Small groups use the built-in exact percentile.  A group with more rows than
-``one_pass_cells`` allows is narrowed down instead: each round counts the values
-of the current interval in 512 slots (partial aggregation, no value leaves its
-task) and keeps the slot that holds the wanted rank.  Three or four rounds take
-10^11 rows to a slot of a few thousand values, which are then read exactly.
-Linear interpolation between neighbouring ranks in both ways.
+Values are read long, ``(group, feature, value)``.  Where no group is large the
+built-in exact percentile does it in one pass.  A large group is narrowed down:
+a round takes approximate quantiles of the interval that holds a wanted rank as
+cuts (a sketch per task, merged), counts the values between and on the cuts,
+and keeps the part with the rank.  Cuts are values that occur and are compared
+only, so infinities, ties and any spread of magnitudes are narrowed alike: a
+round leaves about one value in ``slots``.  Once few values are left they are
+read exactly.  All state (ranks, intervals) is a table; linear interpolation
+between neighbouring ranks in both ways.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexcohort.operators.moments import long_values
-from hexcohort.sources.scratch import small_table
+from hexcohort.sources.scratch import materialize
 
-SLOTS = 512
+SLOTS = 64
 READ_LIMIT = 10_000
-ONE_PASS_CELLS = 2_000_000
+ONE_PASS = 200_000
 
 
 def _long(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     return long_values(df, by, columns).filter(F.col("value").isNotNull())
 
 
-def _one_pass(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+def _one_pass(long: DataFrame, probs: Sequence[float], key: Sequence[str]) -> DataFrame:
     """Built-in exact percentiles, one group per feature, so that features spread over tasks."""
-    q = _long(df, by, columns).groupBy(*by, "feature").agg(F.percentile("value", [float(p) for p in probs]).alias("q"))
+    q = long.groupBy(*key).agg(F.percentile("value", [float(p) for p in probs]).alias("q"))
     cells = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.col("q")[i].alias("value")) for i, p in enumerate(probs)])
-    return q.select(*by, "feature", F.explode(cells).alias("c")).select(*by, "feature", "c.prob", "c.value")
+    return q.select(*key, F.explode(cells).alias("c")).select(*key, "c.prob", "c.value")
 
 
-def _target_frame(spark, targets: list[dict]) -> DataFrame:
-    rows = [(t["id"], t["g"], t["feature"], t["lo"], t["hi"], t["rank"] - t["base"]) for t in targets]
-    return F.broadcast(spark.createDataFrame(
-        rows, "id int, g string, feature string, lo double, hi double, rest long"))
+def _matched(left: DataFrame, right: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """Join on the key columns, NULL matching NULL; the right side's key columns are dropped."""
+    if not key:
+        return left.withColumn("one_", F.lit(1)).join(right.withColumn("one_", F.lit(1)), "one_", how).drop("one_")
+    renamed = right.withColumnsRenamed({k: f"{k}_r" for k in key})
+    cond = [F.col(k).eqNullSafe(F.col(f"{k}_r")) for k in key]
+    return left.join(renamed, cond, how).drop(*[f"{k}_r" for k in key])
 
 
-def _narrow(long: DataFrame, targets: list[dict], read_limit: int, slots: int) -> None:
-    """Shrink every target's interval in place until it is one value or small enough to read."""
-    spark = long.sparkSession
+def _ranks(sizes: DataFrame, probs: Sequence[float], key: Sequence[str]) -> DataFrame:
+    """``(*key, prob, pos, rank)``: the one or two ranks that each probability needs."""
+    each = sizes.select(*key, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
+    each = each.withColumn("pos", (F.col("n") - 1) * F.col("prob"))
+    ranks = F.array_distinct(F.array(F.floor("pos").cast("long"), F.ceil("pos").cast("long")))
+    return each.select(*key, "n", "prob", "pos", F.explode(ranks).alias("rank"))
+
+
+def _narrowed(long: DataFrame, targets: DataFrame, key: Sequence[str], read_limit: int, slots: int) -> DataFrame:
+    """``targets(*key, rank, n, before, lo, hi)`` with every interval one value or small enough to read."""
+    done = None
+    spot = [*key, "lo", "hi"]
+    within = F.col("value").between(F.col("lo"), F.col("hi"))
+    cuts = [(i + 1) / slots for i in range(slots - 1)]
     while True:
-        active = [t for t in targets if t["n"] > read_limit and t["lo"] < t["hi"]]
-        if not active:
-            return
-        inside = (long.join(_target_frame(spark, active), ["g", "feature"])
-                  .filter(F.col("value").between(F.col("lo"), F.col("hi"))))
-        slot = F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(slots))),
-                       F.lit(slots - 1))
-        counts = inside.groupBy("id", "rest", slot.alias("slot")).agg(
-            F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        run = F.sum("n").over(Window.partitionBy("id").orderBy("slot"))
-        picked = (counts.withColumn("upto", run)
-                  .filter((F.col("rest") < F.col("upto")) & (F.col("rest") >= F.col("upto") - F.col("n")))
-                  .select("id", "lo", "hi", "n", (F.col("upto") - F.col("n")).alias("before")).collect())
-        by_id = {t["id"]: t for t in active}
-        for r in picked:
-            t = by_id[r["id"]]
-            t.update(lo=r["lo"], hi=r["hi"], n=r["n"], base=t["base"] + r["before"])
-
-
-def _read(long: DataFrame, targets: list[dict]) -> dict[int, float]:
-    found = {t["id"]: t["lo"] for t in targets if t["lo"] == t["hi"]}
-    rest = [t for t in targets if t["id"] not in found]
-    if rest:
-        inside = (long.join(_target_frame(long.sparkSession, rest), ["g", "feature"])
-                  .filter(F.col("value").between(F.col("lo"), F.col("hi"))))
-        rows = inside.groupBy("id", "rest").agg(F.array_sort(F.collect_list("value")).alias("v")).select(
-            "id", F.col("v")[F.col("rest").cast("int")].alias("x")).collect()
-        found.update({r["id"]: r["x"] for r in rows})
-    return found
-
-
-def _refined(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str], groups: list,
-             read_limit: int, slots: int) -> list[tuple]:
-    key_of = {r["g_"]: tuple(r[b] for b in by) for r in groups}
-    long = _long(df, ["g_"], columns).withColumnRenamed("g_", "g")
-    stats = long.groupBy("g", "feature").agg(F.count("value").alias("n"), F.min("value").alias("lo"),
-                                             F.max("value").alias("hi")).collect()
-    targets, wanted, ids = [], [], {}
-    for s in stats:
-        for p in probs:
-            pos = (s["n"] - 1) * float(p)
-            k0, k1 = math.floor(pos), math.ceil(pos)
-            for k in (k0, k1):
-                if (s["g"], s["feature"], k) not in ids:
-                    ids[(s["g"], s["feature"], k)] = len(targets)
-                    targets.append({"id": len(targets), "g": s["g"], "feature": s["feature"], "rank": k,
-                                    "lo": s["lo"], "hi": s["hi"], "n": s["n"], "base": 0})
-            wanted.append((s["g"], s["feature"], float(p), pos, k0, k1))
-    _narrow(long, targets, read_limit, slots)
-    value = _read(long, targets)
-    rows = []
-    for g, feature, p, pos, k0, k1 in wanted:
-        v0, v1 = value[ids[(g, feature, k0)]], value[ids[(g, feature, k1)]]
-        x = v0 if k0 == k1 else (k1 - pos) * v0 + (pos - k0) * v1
-        rows.append((*key_of[g], feature, p, x))
-    return rows
+        settled = (F.col("n") <= read_limit) | (F.col("lo") == F.col("hi"))
+        done = targets.filter(settled) if done is None else done.unionByName(targets.filter(settled))
+        targets = targets.filter(~settled)
+        if targets.isEmpty():
+            return done
+        spots = targets.select(*spot, "before").distinct()
+        sketched = (_matched(long, spots, key, "inner").filter(within).groupBy(*spot, "before")
+                    .agg(F.array_distinct(F.percentile_approx("value", cuts, 100 * slots)).alias("cuts")))
+        place = F.size(F.filter("cuts", lambda c: c < F.col("value"))) * 2 + F.array_contains("cuts", F.col("value")).cast("int")
+        counts = (_matched(long, materialize(sketched, "cuts"), key, "inner").filter(within)
+                  .groupBy(*spot, "before", place.alias("slot"))
+                  .agg(F.count(F.lit(1)).alias("held"), F.min("value").alias("from"), F.max("value").alias("to")))
+        upto = F.col("before") + F.sum("held").over(Window.partitionBy(*spot).orderBy("slot"))
+        parts = counts.select(*spot, "from", "to", "held", upto.alias("upto"))
+        hit = (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("held"))
+        targets = materialize(_matched(targets.drop("n", "before"), parts, spot, "inner").filter(hit)
+                              .select(*key, "rank", F.col("held").alias("n"), (F.col("upto") - F.col("held")).alias("before"),
+                                      F.col("from").alias("lo"), F.col("to").alias("hi")), "ranks")
+
+
+def _refined(long: DataFrame, sizes: DataFrame, probs: Sequence[float], key: Sequence[str], read_limit: int,
+             slots: int) -> DataFrame:
+    ranks = materialize(_ranks(sizes, probs, key), "ranks")
+    start = _matched(ranks.select(*key, "rank").distinct(), sizes, key, "inner").withColumn("before", F.lit(0).cast("long"))
+    found = materialize(_narrowed(long, start.select(*key, "rank", "n", "before", "lo", "hi"), key, read_limit, slots), "ranks")
+    spots = found.filter(F.col("lo") != F.col("hi")).select(*key, "lo", "hi").distinct()
+    inside = _matched(long, spots, key, "inner").filter(F.col("value").between(F.col("lo"), F.col("hi")))
+    lists = inside.groupBy(*key, "lo", "hi").agg(F.array_sort(F.collect_list("value")).alias("values"))
+    read = _matched(found, lists, [*key, "lo", "hi"], "left")
+    at = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(
+        F.try_element_at("values", (F.col("rank") - F.col("before") + 1).cast("int")))
+    values = read.select(*key, "rank", at.alias("value"))
+    pairs = (_matched(ranks, values, [*key, "rank"], "inner").groupBy(*key, "prob", "pos")
+             .agg(F.min_by("value", "rank").alias("low"), F.max_by("value", "rank").alias("high"),
+                  F.min("rank").alias("k0"), F.max("rank").alias("k1")))
+    mixed = (F.col("k1") - F.col("pos")) * F.col("low") + (F.col("pos") - F.col("k0")) * F.col("high")
+    return pairs.select(*key, "prob", F.when(F.col("k0") == F.col("k1"), F.col("low")).otherwise(mixed).alias("value"))
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                    one_pass_cells: int = ONE_PASS_CELLS, read_limit: int = READ_LIMIT,
-                    slots: int = SLOTS) -> DataFrame:
-    """Long table ``(*by, feature, prob, value)`` of exact quantiles per group."""
+                    one_pass: int = ONE_PASS, read_limit: int = READ_LIMIT, slots: int = SLOTS) -> DataFrame:
+    """Long table ``(*by, feature, prob, value)`` of exact quantiles per group; any number of groups of any size."""
     by = list(by)
-    data = df.select(*by, *columns)
-    limit = max(1, one_pass_cells // max(1, len(columns)))
-    g = F.to_json(F.struct(*[F.col(b) for b in by])) if by else F.lit("all")
-    data = data.withColumn("g_", g)
-    # A group above the limit holds more than `limit` rows, so their number is at most rows / limit.
-    big, fits = small_table(data.groupBy("g_", *by).agg(F.count(F.lit(1)).alias("rows_"))
-                            .filter(F.col("rows_") > limit), 1_000_000)
-    if not fits:
-        raise ValueError("too many very large groups for exact quantiles")
-    if not big:
-        return _one_pass(data, columns, probs, by)
-    names = [r["g_"] for r in big]
-    rows = _refined(data.filter(F.col("g_").isin(names)), columns, probs, by, big, read_limit, slots)
-    fields = ", ".join([f"`{b}` {df.schema[b].dataType.simpleString()}" for b in by]
-                       + ["feature string", "prob double", "value double"])
-    large = df.sparkSession.createDataFrame(rows, fields)
-    if not by:
-        return large
-    return _one_pass(data.filter(~F.col("g_").isin(names)), columns, probs, by).unionByName(large)
+    key = [*by, "feature"]
+    long = _long(df.select(*by, *columns), by, columns)
+    sizes = materialize(long.groupBy(*key).agg(F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")),
+                        "sizes")
+    large = sizes.filter(F.col("n") > one_pass)
+    if large.isEmpty():
+        return _one_pass(long, probs, key)
+    long = materialize(long, "long")
+    marked = _matched(long, large.select(*key, F.lit(True).alias("is_large")), key, "left")
+    small = _one_pass(marked.filter(F.col("is_large").isNull()), probs, key)
+    return small.unionByName(_refined(long, large, probs, key, read_limit, slots))
 
 
 def medians(df: DataFrame, columns: Sequence[str], **kw) -> dict[str, float]:
