@@ -2,87 +2,160 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexcohort import constants as K
-from hexcohort.functions.expr import clip, literal_map, rnd
+from hexcohort.functions.expr import clip, rnd
 from hexcohort.operators.metrics import cluster_metrics
 
+#: Rows from which k-means++ takes its first centroids, and the movement below which a start has settled.
+SEED_ROWS, TOLERANCE = 4096, 1e-4
+
 
 @dataclass
 class Segmentation:
-    """A fitted k-means with segment ids ordered by centroid, so that refits keep their numbers."""
+    """Fitted centroids, ordered by their coordinates, so that refits keep their numbers."""
 
-    model: KMeansModel
     centers: list[list[float]]     # by segment id
     inertia: float
-    renumber: dict[int, int]       # model prediction -> segment id
+    features: str = "features"
 
     def transform(self, df: DataFrame, label: str = "segment_id") -> DataFrame:
-        raw = self.model.transform(df)
-        p = self.model.getPredictionCol()
-        return raw.withColumn(label, F.element_at(literal_map(self.renumber), F.col(p)).cast("int")).drop(p)
-
-
-def _ordered(model: KMeansModel) -> tuple[list[list[float]], dict[int, int]]:
-    raw = [[float(v) for v in c] for c in model.clusterCenters()]
-    order = sorted(range(len(raw)), key=lambda i: raw[i])
-    return [raw[i] for i in order], {old: new for new, old in enumerate(order)}
-
-
-def _fit(vectors: DataFrame, k: int, n_init: int, max_iter: int, seed: int, features: str) -> Segmentation:
-    best = None
-    for run in range(n_init):
-        model = KMeans(featuresCol=features, k=k, maxIter=max_iter, seed=seed + run).fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    centers, renumber = _ordered(best)
-    return Segmentation(best, centers, float(best.summary.trainingCost), renumber)
+        """Adds the number of the nearest centroid (the first one on ties); one array literal, whatever their number."""
+        rows = F.array(*[F.array(*[F.lit(v) for v in c]) for c in self.centers])
+        x = vector_to_array(self.features)
+
+        def squared(c: Column) -> Column:
+            return F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, v: t + v)
+
+        near = df.withColumn("off_", F.transform(rows, squared))
+        return near.withColumn(label, (F.array_position("off_", F.array_min("off_")) - 1).cast("int")).drop("off_")
+
+
+def _first_centers(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++ over the sample."""
+    rng = np.random.default_rng(seed)
+    centers = [sample[rng.integers(len(sample))]]
+    off = ((sample - centers[0]) ** 2).sum(1)
+    while len(centers) < k:
+        chance = off / off.sum() if off.sum() > 0 else None
+        centers.append(sample[rng.choice(len(sample), p=chance)])
+        off = np.minimum(off, ((sample - centers[-1]) ** 2).sum(1))
+    return np.array(centers)
+
+
+def _pass(vectors: DataFrame, starts: dict[int, np.ndarray], width: int) -> dict[int, tuple[np.ndarray, float]]:
+    """One Lloyd step of every start in a single pass over all rows: new centroids, and the cost of the old ones."""
+    shared = vectors.sparkSession.sparkContext.broadcast(starts)      # starts x k x features numbers
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        sums = {s: np.zeros((len(c), width + 2)) for s, c in own.items()}
+        for b in batches:
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            xx, rows = (x * x).sum(1), np.concatenate([x, np.ones((len(x), 1))], axis=1)
+            for s, c in own.items():
+                off = np.maximum(xx[:, None] - 2 * x @ c.T + (c * c).sum(1), 0)
+                near = off.argmin(1)
+                member = np.eye(len(c))[near]
+                sums[s][:, :-1] += member.T @ rows
+                sums[s][:, -1] += member.T @ off[np.arange(len(x)), near]
+        for s, m in sums.items():
+            yield pa.RecordBatch.from_pydict({"start": [s] * len(m), "cluster": list(range(len(m))), "m": m.tolist()})
+
+    parts = vectors.mapInArrow(run, "start long, cluster long, m array<double>")
+    cells = parts.groupBy("start", "cluster").agg(F.array(*[F.sum(F.col("m")[i]) for i in range(width + 2)]).alias("m")).collect()
+    shared.destroy()
+    out: dict[int, tuple[np.ndarray, float]] = {}
+    for s, old in starts.items():
+        centers, cost = old.copy(), 0.0
+        for r in cells:
+            if r["start"] == s:
+                cost += r["m"][-1]
+                if r["m"][-2] > 0:          # an empty cluster stays where it is
+                    centers[r["cluster"]] = np.array(r["m"][:-2]) / r["m"][-2]
+        out[s] = centers, cost
+    return out
+
+
+def _fit(vectors: DataFrame, ks: Sequence[int], n_init: int, max_iter: int, seed: int, tol: float, features: str) -> dict[int, Segmentation]:
+    """The best of ``n_init`` starts for each k; all starts of all k move together, a pass per step."""
+    sample = np.array([r["x"] for r in vectors.orderBy(F.xxhash64("x"), "x").limit(SEED_ROWS).collect()])
+    width = sample.shape[1]
+    plan = [(k, i) for k in ks for i in range(n_init)]
+    starts = {s: _first_centers(sample, k, seed + i) for s, (k, i) in enumerate(plan)}
+    settled: dict[int, np.ndarray] = {}
+    for _ in range(max_iter):
+        if not starts:
+            break
+        moved = _pass(vectors, starts, width)
+        still = {}
+        for s, (centers, _) in moved.items():
+            if np.sqrt(((centers - starts[s]) ** 2).sum(1)).max() <= tol:
+                settled[s] = centers
+            else:
+                still[s] = centers
+        starts = still
+    settled |= starts
+    costs = {s: cost for s, (_, cost) in _pass(vectors, settled, width).items()}
+    found = {}
+    for k in ks:
+        best = min((s for s in settled if plan[s][0] == k), key=lambda s: (costs[s], s))
+        found[k] = Segmentation(sorted(settled[best].tolist()), costs[best], features)
+    return found
+
+
+def _stored(df: DataFrame, features: str) -> DataFrame:
+    return df.select(vector_to_array(features).alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit_kmeans(df: DataFrame, k: int = K.KMEANS_PARAMS["n_clusters"], n_init: int = K.KMEANS_PARAMS["n_init"],
                max_iter: int = K.KMEANS_PARAMS["max_iter"], seed: int = K.KMEANS_PARAMS["seed"],
-               features: str = "features") -> Segmentation:
-    """Parallel k-means++ from ``n_init`` seeds; the run with the lowest cost wins.
+               features: str = "features", tol: float = TOLERANCE) -> Segmentation:
+    """Lloyd's iteration over all rows from ``n_init`` k-means++ starts; the one with the lowest cost wins.
 
-    Only the vector column is kept in memory, spilling to disk, for all runs.
+    Starts are seeded from at most ``SEED_ROWS`` rows (the first ones by hash); everything after uses every row.
     """
-    vectors = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = _stored(df, features)
     try:
-        return _fit(vectors, k, n_init, max_iter, seed, features)
+        return _fit(vectors, [k], n_init, max_iter, seed, tol, features)[k]
     finally:
         vectors.unpersist()
 
 
-def tune_k(df: DataFrame, k_range: tuple[int, int] = K.K_RANGE, n_init: int = 1, max_iter: int = 100, seed: int = 42,
-           features: str = "features", key: str = "subscriber_id", sample_size: int = 5000) -> DataFrame:
-    """Every k of the range with inertia and all measures; ``is_best`` marks the top silhouette.
+def tune_k(df: DataFrame, k_range: tuple[int, int] = K.K_RANGE, n_init: int = K.KMEANS_PARAMS["n_init"],
+           max_iter: int = K.KMEANS_PARAMS["max_iter"], seed: int = K.KMEANS_PARAMS["seed"],
+           features: str = "features") -> DataFrame:
+    """Every k of the range with inertia and all measures over all rows; ``is_best`` marks the top silhouette.
+
+    Each k is fitted with the settings of the final training.
 
     The range holds a handful of whole numbers, so trying all of them covers
-    what a sampled search would.  The vectors are kept for the whole sweep.
+    what a sampled search would, and all their starts share each pass.
     """
     width = len(df.select(features).first()[0])
     cols = [f"x{i}" for i in range(width)]
-    vectors = df.select(key, features).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors, kept = _stored(df, features), df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = []
-        for k in range(k_range[0], k_range[1] + 1):
-            seg = _fit(vectors, k, n_init, max_iter, seed, features)
+        for k, seg in _fit(vectors, range(k_range[0], k_range[1] + 1), n_init, max_iter, seed, TOLERANCE, features).items():
             arr = vector_to_array(features)
-            labelled = seg.transform(vectors).select(key, "segment_id", *[arr[i].alias(c) for i, c in enumerate(cols)])
-            m = cluster_metrics(labelled, cols, key=key, sample_size=sample_size).first()
+            labelled = seg.transform(kept).select("segment_id", *[arr[i].alias(c) for i, c in enumerate(cols)])
+            m = cluster_metrics(labelled, cols).first()
             rows.append((k, seg.inertia, m["silhouette"], m["davies_bouldin"], m["calinski_harabasz"]))
     finally:
         vectors.unpersist()
+        kept.unpersist()
     best = max(rows, key=lambda r: (r[2], -r[0]))[0]
     return df.sparkSession.createDataFrame(
         [(*r, r[0] == best) for r in rows],

@@ -1,9 +1,10 @@
 """Cluster quality: inertia, Calinski-Harabasz, Davies-Bouldin, silhouette, sizes.
 
 The sums of squares come from per-cluster moments, one pass over the rows.
-Davies-Bouldin needs the centroids first, so a second pass.  The Euclidean
-silhouette is a sampling measure (5,000 rows unless told otherwise); the
-squared-distance silhouette of Spark ML covers all rows in linear time.
+Davies-Bouldin needs the centroids first, so a second pass.  The silhouette
+covers every row in linear time: it uses squared distances, whose mean over a
+cluster follows from the cluster's centre and spread.  The Euclidean silhouette
+of a seeded sample is an operator of its own.
 """
 
 from __future__ import annotations
@@ -91,8 +92,21 @@ def davies_bouldin(df: DataFrame, features: Sequence[str], label: str = "segment
     return worst.agg(F.avg("r").alias("davies_bouldin"))
 
 
-def silhouette(df: DataFrame, features: Sequence[str], label: str = "segment_id", key: str = "subscriber_id",
-               sample_size: int = 5000, seed: int = 42) -> DataFrame:
+def silhouette(df: DataFrame, features: Sequence[str], label: str = "segment_id") -> DataFrame:
+    """Squared-distance silhouette over every row: one row ``(n_rows, silhouette)``; -1 below two clusters.
+
+    A row alone in its cluster counts as 0.
+    """
+    valid = _valid(df, label).select(array_to_vector(F.array(*[F.col(f).cast("double") for f in features])).alias("features"),
+                                     F.col(label).cast("double").alias("prediction"))
+    sizes = valid.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+    n_clusters, n_rows = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    value = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(valid) if n_clusters >= 2 else -1.0
+    return df.sparkSession.createDataFrame([(n_rows, float(value))], "n_rows long, silhouette double")
+
+
+def silhouette_sample(df: DataFrame, features: Sequence[str], label: str = "segment_id", key: str = "subscriber_id",
+                      sample_size: int = 5000, seed: int = 42) -> DataFrame:
     """Euclidean silhouette of a seeded sample, one row ``(n_sampled, silhouette)``.
 
     At most ``sample_size`` rows are read and shared with the tasks; each task
@@ -132,15 +146,7 @@ def silhouette(df: DataFrame, features: Sequence[str], label: str = "segment_id"
     return idx.mapInPandas(widths, "s double").agg(F.count("s").alias("n_sampled"), F.avg("s").alias("silhouette"))
 
 
-def silhouette_all_rows(df: DataFrame, features: Sequence[str], label: str = "segment_id") -> float:
-    """Squared-Euclidean silhouette over every row (linear time)."""
-    v = _valid(df, label).select(array_to_vector(F.array(*features)).alias("features"),
-                                 F.col(label).cast("double").alias("prediction"))
-    return ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(v)
-
-
-def cluster_metrics(df: DataFrame, features: Sequence[str], label: str = "segment_id",
-                    key: str = "subscriber_id", sample_size: int = 5000) -> DataFrame:
+def cluster_metrics(df: DataFrame, features: Sequence[str], label: str = "segment_id") -> DataFrame:
     """One row with every measure; fixed sentinels when there is nothing to compare."""
     noise = df.agg(F.count_if(F.col(label) == -1).alias("n_noise"))
     base = cluster_sums(df, features, label)
@@ -149,7 +155,7 @@ def cluster_metrics(df: DataFrame, features: Sequence[str], label: str = "segmen
     ch = F.when(F.col("inertia") == 0, F.lit(1.0)).otherwise(F.try_divide(
         F.col("between") * (n - k).cast("double"), F.col("inertia") * (k - 1).cast("double")))
     db = davies_bouldin(df, features, label).scalar()
-    sil = silhouette(df, features, label, key, sample_size).select("silhouette").scalar()
+    sil = silhouette(df, features, label).select("silhouette").scalar()
     return base.select(
         F.when(enough, rnd(sil, 4)).otherwise(F.lit(-1.0)).alias("silhouette"),
         F.when(enough, rnd(db, 4)).otherwise(F.lit(999.0)).alias("davies_bouldin"),

@@ -17,6 +17,7 @@ from hexcohort.plans.scoring import Scorer, scorer_from
 from hexcohort.registry import sql as Q
 from hexcohort.registry.core import query, stored_subscribers
 from hexcohort.sources.derive import subscribers
+from hexcohort.sources.scratch import materialize
 
 # Measured on five raw columns of comparable size, with the labels given.
 _M = ["pct_time_at_home", "pct_time_at_work", "evening_data_ratio", "weekend_data_ratio", "poi_mall_score"]
@@ -28,10 +29,15 @@ _CENT = {"v": "SELECT * FROM sub WHERE segment_id >= 0",
          "betw": "SELECT sum(cn*(" + "+".join(f"(c_{c}-t_{c})*(c_{c}-t_{c})" for c in _M) + ")) AS b, count(*) AS k, sum(cn) AS n, max(cn) AS big FROM cent, tot",
          "spread": f"SELECT segment_id, avg(sqrt({_SQ})) AS s, " + ", ".join(f"any_value(c_{c}) AS c_{c}" for c in _M) + " FROM v JOIN cent USING (segment_id) GROUP BY 1",
          "db": "SELECT avg(r) AS d FROM (SELECT a.segment_id, max((a.s+b.s)/sqrt(" + "+".join(f"(a.c_{c}-b.c_{c})*(a.c_{c}-b.c_{c})" for c in _M) + ")) AS r FROM spread a JOIN spread b ON a.segment_id <> b.segment_id GROUP BY 1)"}
-_SIL = {"smp": f"SELECT * FROM v ORDER BY {Q.hash_order()} LIMIT 5000",
+_SMP = {"smp": f"SELECT * FROM v ORDER BY {Q.hash_order()} LIMIT 500",
         "pd": "SELECT a.subscriber_id, a.segment_id AS own, b.segment_id AS other, sum(sqrt(" + "+".join(f"(a.{c}-b.{c})*(a.{c}-b.{c})" for c in _M) + ")) AS t, count(*) AS n FROM smp a, smp b GROUP BY 1, 2, 3",
         "ab": "SELECT subscriber_id, max(CASE WHEN own = other THEN t/greatest(n-1, 1) END) AS a, max(CASE WHEN own = other THEN n END) AS n, min(CASE WHEN own <> other THEN t/n END) AS b FROM pd GROUP BY 1",
         "sil": "SELECT avg(CASE WHEN n > 1 THEN (b-a)/greatest(a, b) ELSE 0e0 END) AS s, count(*) AS c FROM ab"}
+# all rows, squared distances: the mean over a cluster of n with spread w is |x-c|^2 + w/n, without the row itself (n|x-c|^2+w)/(n-1)
+_SIL = {"wc": f"SELECT segment_id, cast(count(*) AS DOUBLE) AS n, sum({_SQ}) AS w FROM v JOIN cent USING (segment_id) GROUP BY 1",
+        "pd": f"SELECT v.subscriber_id, v.segment_id AS own, wc.segment_id AS other, wc.n, wc.w, {_SQ} AS d FROM v, cent JOIN wc ON wc.segment_id = cent.segment_id",
+        "ab": "SELECT subscriber_id, max(CASE WHEN own = other THEN n END) AS n, max(CASE WHEN own = other THEN (n*d+w)/greatest(n-1, 1) END) AS a, min(CASE WHEN own <> other THEN d+w/n END) AS b FROM pd GROUP BY 1",
+        "sil": "SELECT avg(CASE WHEN n > 1 AND greatest(a, b) > 0 THEN (b-a)/greatest(a, b) ELSE 0e0 END) AS s, count(*) AS c FROM ab"}
 _CH = "b*cast(n-k AS DOUBLE)/(w*cast(k-1 AS DOUBLE))"
 
 
@@ -50,11 +56,17 @@ def davies(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.davies_bouldin(stored_subscribers(spark, sf), _M).select(out(F.col("davies_bouldin")).alias("davies_bouldin"))
 
 
-@query("silhouette", Q.sub(**_CENT, **_SIL) + f"SELECT c AS n_sampled, {Q.out('s')} AS silhouette FROM sil")
+@query("silhouette", Q.sub(**_CENT, **_SIL) + f"SELECT c AS n_rows, {Q.out('s')} AS silhouette FROM sil")
 def silhouette(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.silhouette(stored_subscribers(spark, sf), _M).withColumn("silhouette", out(F.col("silhouette")))
 
 
+@query("silhouette_sample", Q.sub(**_CENT, **_SMP) + f"SELECT c AS n_sampled, {Q.out('s')} AS silhouette FROM sil")
+def silhouette_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """The sample is the feature here; 500 rows cut the test tables as well."""
+    return metrics.silhouette_sample(stored_subscribers(spark, sf), _M, sample_size=500).withColumn("silhouette", out(F.col("silhouette")))
+
+
 _METRICS = (f"SELECT {Q.rnd('s', 4)} AS silhouette, {Q.rnd('d', 4)} AS davies_bouldin, {Q.rnd(_CH, 2)} AS calinski_harabasz, k AS n_clusters, "
             f"(SELECT count(*) FROM sub WHERE segment_id = -1) AS n_noise, {Q.rnd('cast(big AS DOUBLE)/cast(n AS DOUBLE)', 3)} AS largest_cluster_pct")
 
@@ -86,13 +98,14 @@ def adjusted_rand(spark: SparkSession, sf: str) -> DataFrame:
 @query("kmeans_segments")
 def kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
     _, table = fit_features(stored_subscribers(spark, sf).drop("segment_id"))
-    return fit_kmeans(table, n_init=3, max_iter=100).transform(table).select("subscriber_id", "segment_id")
+    table = materialize(table, "features")
+    return fit_kmeans(table).transform(table).select("subscriber_id", "segment_id")
 
 
 @query("tune_k")
 def search_k(spark: SparkSession, sf: str) -> DataFrame:
     _, table = fit_features(stored_subscribers(spark, sf).drop("segment_id"))
-    return tune_k(table, max_iter=50)
+    return tune_k(materialize(table, "features"))
 
 
 @query("pca_2d")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hexcohort.operators.components import connected_components
 from hexcohort.operators.dbscan import dbscan, hdb_flat
 from hexcohort.operators.kmeans import assign, fit_kmeans, pca_2d, tune_k
-from hexcohort.operators.metrics import adjusted_rand, cluster_metrics, quality_gate, silhouette_all_rows
+from hexcohort.operators.metrics import adjusted_rand, cluster_metrics, quality_gate, silhouette, silhouette_sample
 from hexcohort.operators.numbering import number_rows
 
 
@@ -59,7 +59,7 @@ def test_kmeans_finds_blobs_and_numbers_them_by_centroid(four):
     assert adjusted_rand(out, "segment_id", "truth").first()[0] == pytest.approx(1.0)
     scored = assign(four, [F.col("f0"), F.col("f1")], seg.centers, "again").join(out.select("subscriber_id", "segment_id"), "subscriber_id")
     assert scored.filter("again != segment_id OR confidence < 0 OR confidence > 1").isEmpty()
-    assert silhouette_all_rows(out, ["f0", "f1"]) > 0.9
+    assert silhouette(out, ["f0", "f1"]).first()["silhouette"] > 0.9
 
 
 def test_without_centroids_segment_is_zero(four):
