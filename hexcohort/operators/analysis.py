@@ -55,14 +55,15 @@ def top_correlations(df: DataFrame, features: Sequence[str] = tuple(K.CORRELATIO
 def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins: int = 10) -> DataFrame:
     """``(feature, mi)`` by counts over quantile bins of the feature and the label.
 
-    The bin limits are exact quantiles; the rows are folded to (feature, bin,
+    The bin limits are exact quantiles, each a value of the feature or strictly
+    between two neighbouring ones, so no rounding decides a bin; the rows are folded to (feature, bin,
     label) counts before anything is shuffled.
     """
     probs = [i / bins for i in range(1, bins)]
     limits = quantile_values(df, features, probs)
     cells = []
     for c in features:
-        over = [F.when(F.col(c) > F.lit(round(v, 9)), 1).otherwise(0) for v in limits[c] if v is not None]
+        over = [F.when(F.col(c) > F.lit(v), 1).otherwise(0) for v in limits[c] if v is not None]
         b = sum(over, F.lit(0))
         cells.append(F.struct(F.lit(c).alias("feature"), F.when(F.col(c).isNotNull(), b).alias("bin")))
     joint = (df.select(F.col(label).alias("label"), F.explode(F.array(*cells)).alias("c"))

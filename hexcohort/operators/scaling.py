@@ -30,7 +30,8 @@ class ImputeModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.na.fill(dict(zip(self.getOrDefault(self.columns), self.getOrDefault(self.fills))))
+        fills = zip(self.getOrDefault(self.columns), self.getOrDefault(self.fills))
+        return dataset.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in fills})
 
 
 class MedianImpute(Estimator, DefaultParamsReadable, DefaultParamsWritable):

@@ -7,8 +7,10 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from hexcohort import constants as K
+from hexcohort.functions.hexgrid import hex_cell
 from hexcohort.operators.dbscan import dbscan, hdb_flat
 from hexcohort.operators.density import segment_density
 from hexcohort.operators.kmeans import Segmentation, fit_kmeans, tune_k
@@ -39,8 +41,11 @@ def run(subs: DataFrame, pois: DataFrame | None = None, algorithm: str = "kmeans
         eps: float | None = None, min_samples: int | None = None, check: bool = True) -> Result:
     """Segment a subscriber table with ``kmeans``, ``dbscan`` or ``hdbscan``.
 
-    The feature table is written once; every later step reads it.
+    The feature table is written once; every later step reads it.  A missing
+    ``home_h3`` is derived from the home position.
     """
+    if "home_h3" not in subs.columns and {"home_lat", "home_lon"} <= set(subs.columns):
+        subs = subs.withColumn("home_h3", hex_cell(F.col("home_lat"), F.col("home_lon"), 8))
     if check and not subscriber_rules(subs).is_valid():
         raise ValueError("subscriber table failed validation")
     model, table = fit_features(subs, pois, scaler)

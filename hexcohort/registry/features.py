@@ -70,6 +70,15 @@ def median_impute(spark: SparkSession, sf: str) -> DataFrame:
     return model.transform(holed).select("subscriber_id", *[out(F.col(c)).alias(c) for c in _HOLES])
 
 
+@query("median_impute_whole", Q.sub(h="SELECT subscriber_id, CASE WHEN cast(substr(subscriber_id,5) AS BIGINT)%3 <> 0 THEN cast(floor(data_usage_gb) AS INT) END AS whole FROM sub")
+       + f"SELECT subscriber_id, {Q.out('coalesce(cast(whole AS DOUBLE), (SELECT median(whole) FROM h))')} AS whole FROM h")
+def median_impute_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole numbers whose median may lie between two of them."""
+    kept = F.when(F.substring("subscriber_id", 5, 20).cast("long") % 3 != 0, F.floor("data_usage_gb").cast("int"))
+    holed = subscribers(spark, sf).select("subscriber_id", kept.alias("whole"))
+    return MedianImpute(columns=["whole"]).fit(holed).transform(holed).select("subscriber_id", out(F.col("whole")).alias("whole"))
+
+
 _SCALED = {
     "standard": ("avg({c})", "CASE WHEN stddev_pop({c}) <= 1e-12 THEN 1e0 ELSE stddev_pop({c}) END"),
     "minmax": ("min({c})", "CASE WHEN max({c})-min({c}) = 0 THEN 1e0 ELSE max({c})-min({c}) END"),

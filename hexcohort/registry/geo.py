@@ -124,6 +124,17 @@ def poi_density(spark: SparkSession, sf: str) -> DataFrame:
     return poi_counts(pois(spark, sf), RES)
 
 
+_WITH_SHOPS = "SELECT * REPLACE (CASE WHEN osm_id % 7 = 0 THEN 'shop' ELSE poi_type END AS poi_type) FROM poi"
+
+
+@query("poi_density_types", Q.with_(poi=Q.POI, shops=_WITH_SHOPS, pc=Q.hexed("shops", "latitude", "longitude", RES, "home_h3"))
+       + _POI_COUNTS.replace(" FROM pc", ", count(*) FILTER (poi_type='shop') AS h3_poi_shop_count FROM pc"))
+def poi_density_types(spark: SparkSession, sf: str) -> DataFrame:
+    """A type beyond the usual ten gets a column as well."""
+    kind = F.when(F.col("osm_id") % 7 == 0, F.lit("shop")).otherwise(F.col("poi_type"))
+    return poi_counts(pois(spark, sf).withColumn("poi_type", kind), RES)
+
+
 @query("poi_density_join", Q.sub(poi=Q.POI, pc=_POI_CELLS, cells=_CELLS, counts=_POI_COUNTS)
        + "SELECT subscriber_id, home_h3, " + ", ".join(f"cast(coalesce(h3_poi_{t}_count, 0) AS DOUBLE) AS h3_poi_{t}_count" for t in K.POI_TYPES)
        + " FROM cells LEFT JOIN counts USING (home_h3)")
@@ -180,11 +191,11 @@ def poi_classify(spark: SparkSession, sf: str) -> DataFrame:
     return classify_pois(node.withColumn("tags", tags)).select("osm_id", "poi_type", "name")
 
 
-@query("poi_union", Q.with_(poi=Q.POI) + "SELECT poi_type, count(*) AS n FROM poi WHERE poi_type IN ('mall', 'park', 'office') GROUP BY poi_type")
+@query("poi_union", Q.with_(poi=Q.POI) + "SELECT poi_type, count(*) AS n FROM poi GROUP BY poi_type")
 def poi_union(spark: SparkSession, sf: str) -> DataFrame:
     """Tables of single types written apart and read back as one by a glob."""
     root = scratch_path(spark, "poi_parts")
-    for t in ("mall", "park", "office"):
+    for t in K.POI_TYPES:
         sinks.write_parquet(pois(spark, sf).filter(F.col("poi_type") == t), f"{root}/osm_pois_{t}")
     return reports.value_counts(read_optional(spark, f"{root}/osm_pois_*"), "poi_type")
 

@@ -303,7 +303,7 @@ def top_correlations(spark: SparkSession, sf: str) -> DataFrame:
 
 def _mi_sql(features: list[str]) -> dict[str, str]:
     probs = [i / 10 for i in range(1, 10)]
-    lim = "SELECT " + ", ".join(f"list_transform(quantile_cont({c}, {probs}), lambda v: round_even(v*1e9,0)/1e9) AS l_{c}" for c in features) + " FROM sub"
+    lim = "SELECT " + ", ".join(f"quantile_cont({c}, {probs}) AS l_{c}" for c in features) + " FROM sub"
     long = " UNION ALL ".join(f"SELECT '{c}' AS feature, len(list_filter(l_{c}, lambda v: {c} > v)) AS bin, {_PERSONA} AS label FROM sub, lim" for c in features)
     joint = "SELECT feature, bin, label, cast(count(*) AS DOUBLE) AS n FROM long GROUP BY 1, 2, 3"
     mi = (f"SELECT feature, {Q.out('sum(n/a*ln(n*a/(b*l)))')} AS mi FROM (SELECT feature, n, sum(n) OVER (PARTITION BY feature) AS a, sum(n) OVER (PARTITION BY feature, bin) AS b, "
@@ -316,6 +316,16 @@ def mi_features(spark: SparkSession, sf: str) -> DataFrame:
     return _out(analysis.mutual_information(subscribers(spark, sf), K.CLUSTERING_FEATURES, _PERSONA), "mi")
 
 
+_TINY = "data_usage_gb"
+
+
+@query("mi_small_values", Q.sub(**_mi_sql([_TINY])) + "SELECT 'tiny' AS feature, mi FROM mi")
+def mi_small_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Scaling a feature does not change what it tells: limits are taken as they are."""
+    tiny = subscribers(spark, sf).withColumn("tiny", F.col(_TINY) * F.lit(1e-11))
+    return _out(analysis.mutual_information(tiny, ["tiny"], _PERSONA), "mi")
+
+
 @query("mi_topk", Q.sub(**_mi_sql(K.CLUSTERING_FEATURES)) + "SELECT * FROM mi ORDER BY mi DESC, feature LIMIT 15")
 def mi_topk(spark: SparkSession, sf: str) -> DataFrame:
     return mi_features(spark, sf).orderBy(F.desc("mi"), "feature").limit(15)

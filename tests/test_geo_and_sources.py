@@ -124,3 +124,19 @@ def test_join_small_gives_the_same_rows_by_broadcast_and_by_salt(spark):
         assert "salt_" in plan
         assert sorted(map(tuple, fast.select("id", "k", "name").collect()), key=str) == \
             sorted(map(tuple, salted.select("id", "k", "name").collect()), key=str)
+
+
+def test_equal_rows_use_all_salts(spark):
+    df = spark.range(200_000, numPartitions=4).select(F.lit("a").alias("k"), F.lit(1).alias("v"))
+    dim = spark.createDataFrame([("a", "x"), ("b", "y")], "k string, name string")
+    salted = join_small(df, dim, "k", max_rows=1)
+    assert salted.count() == 200_000 and salted.filter("name = 'x'").count() == 200_000
+    mix = F.pmod(F.monotonically_increasing_id(), F.lit(32))
+    assert df.select(mix.alias("s")).distinct().count() == 32
+
+
+def test_salted_join_of_a_table_with_nothing_but_its_key(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
+    dim = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    rows = sorted(map(tuple, join_small(df, dim, "k", max_rows=1).collect()), key=str)
+    assert rows == [("a", 1), ("a", 1), (None, None)]
