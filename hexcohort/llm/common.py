@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +25,32 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Arrow batches are cut by bytes, so that a Python worker's memory does not follow the row length."""
+    """Readies a session for Python tasks.
+
+    Arrow batches are cut by bytes, so that a worker's memory does not follow the row length, and workers get this package.
+    """
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's source to the executors, once per application: they need not have it installed."""
+    app, package = spark.sparkContext.applicationId, Path(__file__).parent.parent
+    if app in _shipped or not package.is_dir():
+        return
+    folder = tempfile.mkdtemp()         # the driver's own; Spark serves the file from there
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, str(f.relative_to(package.parent)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, each with underscores added until no column of ``df`` (any case) has it."""
     taken, out = {c.lower() for c in df.columns}, []
