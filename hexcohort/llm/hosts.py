@@ -32,6 +32,8 @@ RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/"
 LIMIT, Z = 0.5, 1.0
 #: Bounds of a fitted strength (pseudo-counts).
 WEAKEST, STRONGEST = 1.0, 1000.0
+#: Units with outcomes below which nothing is known of their spread; the prior is then the weakest.
+FEWEST = 3
 
 
 def host_of(url: Column) -> Column:
@@ -83,17 +85,20 @@ def strength() -> Column:
     found = F.sum((bad - n * m) * (bad - n * m))
     binomial, extra = F.sum(n * v), F.sum(n * (n - 1) * v)
     rho = (found - binomial) / extra
-    k = F.when(extra > 0, F.when(rho > 0, 1 / rho - 1).otherwise(F.lit(STRONGEST))).otherwise(F.lit(WEAKEST))
+    k = F.when((extra > 0) & (F.count_if(n > 0) >= FEWEST), F.when(rho > 0, 1 / rho - 1).otherwise(F.lit(STRONGEST))).otherwise(F.lit(WEAKEST))
     return F.least(F.greatest(k, F.lit(WEAKEST)), F.lit(STRONGEST))
 
 
-def _shrunk(units: DataFrame, key: str, n: str, bad: str) -> DataFrame:
-    """Units with prior ``mean`` get ``rate`` and ``weight`` (posterior mean and pseudo-count) of their posterior."""
+def _shrunk(units: DataFrame, n: str, bad: str) -> DataFrame:
+    """Units with prior ``mean`` get ``rate`` and ``weight`` (posterior mean and pseudo-count) of their posterior.
+
+    ``known`` is the weight behind the prior mean: a unit cannot inherit more certainty than the level above has.
+    """
     units = units.withColumnsRenamed({n: "n", bad: "bad"})
     fitted = units.agg(strength().alias("k")).scalar()       # one number
-    return (units.withColumn("k", fitted)
+    return (units.withColumn("k", F.least(fitted, F.col("known")))
             .withColumn("rate", (F.col("k") * F.col("mean") + F.col("bad")) / (F.col("k") + F.col("n")))
-            .withColumn("weight", F.col("k") + F.col("n")).drop("n", "bad", "k", "mean"))
+            .withColumn("weight", F.col("k") + F.col("n")).drop("n", "bad", "k", "mean", "known"))
 
 
 def reputation(outcomes: DataFrame) -> DataFrame:
@@ -105,10 +110,12 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     suffixes = domains.groupBy("suffix").agg(F.sum("n_d").alias("n_s"), F.sum("b_d").alias("b_s"))
     # one outcome of each kind more than found keeps the top mean inside (0, 1)
     whole = suffixes.agg(((F.coalesce(F.sum("b_s"), F.lit(0.0)) + 1) / (F.coalesce(F.sum("n_s"), F.lit(0.0)) + 2)).alias("mean"))
-    top = _shrunk(suffixes.withColumn("mean", whole.scalar()), "suffix", "n_s", "b_s")
-    middle = _shrunk(domains.join(top.select("suffix", F.col("rate").alias("mean")), "suffix"), "domain", "n_d", "b_d")
-    low = hosts.drop("suffix").join(middle.select("domain", F.col("rate").alias("mean")), "domain")
-    return _shrunk(low, "host", "n_h", "b_h").select("host", "rate", "weight")
+    all_known = suffixes.agg(F.coalesce(F.sum("n_s"), F.lit(0.0)) + 2).scalar()
+    top = _shrunk(suffixes.withColumn("mean", whole.scalar()).withColumn("known", all_known), "n_s", "b_s")
+    above = [F.col("rate").alias("mean"), F.col("weight").alias("known")]
+    middle = _shrunk(domains.join(top.select("suffix", *above), "suffix"), "n_d", "b_d")
+    low = hosts.drop("suffix").join(middle.select("domain", *above), "domain")
+    return _shrunk(low, "n_h", "b_h").select("host", "rate", "weight")
 
 
 def low_end(rate: Column, weight: Column, z: float = Z) -> Column:

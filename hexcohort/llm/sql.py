@@ -117,11 +117,11 @@ FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 
 def _shrunk(level: str, units: str, key: str) -> str:
     """Posterior mean and weight of each unit from its counts n, bad and its prior mean."""
-    return f"""{level}_fit AS (SELECT least(greatest(CASE WHEN extra > 0 THEN CASE WHEN found > binomial
+    return f"""{level}_fit AS (SELECT least(greatest(CASE WHEN extra > 0 AND units >= 3 THEN CASE WHEN found > binomial
         THEN extra / (found - binomial) - 1 ELSE 1000 END ELSE 1 END, 1), 1000) AS k FROM (
-        SELECT sum((bad - n * mean) * (bad - n * mean)) AS found, sum(n * mean * (1 - mean)) AS binomial,
+        SELECT count(*) FILTER (n > 0) AS units, sum((bad - n * mean) * (bad - n * mean)) AS found, sum(n * mean * (1 - mean)) AS binomial,
           sum(n * (n - 1) * mean * (1 - mean)) AS extra FROM {units})),
-  {level} AS (SELECT {key}, (k * mean + bad) / (k + n) AS rate, k + n AS weight FROM {units}, {level}_fit)"""
+  {level} AS (SELECT {key}, (least(k, known) * mean + bad) / (least(k, known) + n) AS rate, least(k, known) + n AS weight FROM {units}, {level}_fit)"""
 
 
 OP7 = rf"""
@@ -136,11 +136,11 @@ fixed AS (SELECT u.*, r.verdict AS given FROM ruled AS u LEFT JOIN rules AS r ON
 hosts AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix,
             count(given)::DOUBLE AS n, count(*) FILTER (given = 'block')::DOUBLE AS bad FROM fixed GROUP BY host),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix),
-suffix_units AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM hosts) AS mean FROM domains GROUP BY suffix),
+suffix_units AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM hosts) AS mean, (SELECT sum(n) + 2 FROM hosts) AS known FROM domains GROUP BY suffix),
 {_shrunk('top', 'suffix_units', 'suffix')},
-domain_units AS (SELECT d.*, t.rate AS mean FROM domains AS d JOIN top AS t ON d.suffix = t.suffix),
+domain_units AS (SELECT d.*, t.rate AS mean, t.weight AS known FROM domains AS d JOIN top AS t ON d.suffix = t.suffix),
 {_shrunk('middle', 'domain_units', 'domain')},
-host_units AS (SELECT h.host, h.n, h.bad, m.rate AS mean FROM hosts AS h JOIN middle AS m ON h.domain = m.domain),
+host_units AS (SELECT h.host, h.n, h.bad, m.rate AS mean, m.weight AS known FROM hosts AS h JOIN middle AS m ON h.domain = m.domain),
 {_shrunk('low', 'host_units', 'host')}
 SELECT f.page_id, f.host, f.path, f.rule, coalesce(f.given, CASE WHEN round(l.rate - 1.0 * sqrt(l.rate * (1 - l.rate) / (l.weight + 1)), 6) > 0.5
     THEN 'block' ELSE 'allow' END) AS verdict, round(l.rate - 1.0 * sqrt(l.rate * (1 - l.rate) / (l.weight + 1)), 6) AS bad_low
