@@ -42,17 +42,20 @@ def signatures(text: np.ndarray, element: np.ndarray, count: np.ndarray, n_texts
     owner, seed, width, room = map(np.concatenate, (owner, seed, width, room))
     time = np.zeros(len(owner))
     while len(owner):
-        seed = seed + _STEP
-        a = mix(seed)
+        # a few processes left: several of their points at once
+        steps = max(1, min(64, 8192 // len(owner)))
+        seeds = seed + (np.arange(1, steps + 1, dtype=np.uint64) * _STEP)[:, None]
+        a = mix(seeds)
         b = mix(a ^ _LEVEL)
-        time = time - np.log1p((a >> np.uint64(11)) * -(2.0 ** -53)) / width
+        times = time - np.cumsum(np.log1p((a >> np.uint64(11)) * -(2.0 ** -53)), axis=0) / width
         level = (b >> np.uint64(32)) * (width * 2.0 ** -32)
         part = ((b & np.uint64(0xFFFFFFFF)) * np.uint64(size)) >> np.uint64(32)
         hit = level < room
-        np.minimum.at(held, owner[hit] * size + part[hit].astype(np.int64), time[hit])
-        last = held.reshape(n_texts, size).max(axis=1)
-        on = time < last[owner]
-        owner, seed, width, room, time = owner[on], seed[on], width[on], room[on], time[on]
+        np.minimum.at(held, (owner * size + part.astype(np.int64))[hit], times[hit])
+        first = np.flatnonzero(np.diff(owner, prepend=-1))            # texts stand together in each group of levels
+        last = np.repeat(held.reshape(n_texts, size)[owner[first]].max(axis=1), np.diff(np.append(first, len(owner))))
+        on = times[-1] < last
+        owner, seed, width, room, time = owner[on], seeds[-1][on], width[on], room[on], times[-1][on]
     return held.reshape(n_texts, size)
 
 

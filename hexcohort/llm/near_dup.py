@@ -42,7 +42,7 @@ BANDS, ROWS = 48, 8
 #: a probability of one in a billion.
 MARKS, LEAST_EQUAL = 128, 75
 #: Rounds of links to one member, and members of a bucket that are compared at a time.
-STARS, BLOCK = 3, 1024
+STARS, BLOCK = 2, 1024
 
 
 def shingles(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes | None]]:
