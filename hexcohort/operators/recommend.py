@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from hexcohort import constants as K
 from hexcohort.functions.expr import literal_map, rnd
 from hexcohort.functions.joins import join_small
-from hexcohort.operators.density import dominant_value
 from hexcohort.operators.numbering import number_rows
 from hexcohort.sources.scratch import materialize
 
@@ -66,45 +65,17 @@ def scored_recommendations(dim: DataFrame, n: int = 3) -> DataFrame:
         F.replace(reason, F.lit("{name}"), shown).alias("reason"))
 
 
-def _hash(*parts: Column) -> Column:
-    """28 bits of a portable hash."""
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 7), 16, 10).cast("bigint")
+def given_interactions(rows: DataFrame, catalog: Sequence[str] = K.PLAN_IDS) -> DataFrame:
+    """``(subscriber_id, plan_id, weight)``, one row per pair, from any number of given rows of these columns.
 
-
-def segment_personas(df: DataFrame, segment: str = "segment_id", persona: str = "true_persona_name") -> DataFrame:
-    """Most common persona per segment (alphabetical on ties)."""
-    return dominant_value(df, segment, persona, "persona")
-
-
-def with_interactions(df: DataFrame, segment: str = "segment_id", persona: str = "true_persona_name") -> DataFrame:
-    """Adds ``interactions``: one (plan_id, weight) per catalog plan.
-
-    Plans of the segment's persona weigh 3-5, others 0-1, drawn by a hash of
-    subscriber and plan; an unknown persona prefers the first three plans of
-    the catalog.
+    Plans outside the catalog and weights that sum to 0 or less are left out.
     """
-    if persona in df.columns:
-        df = join_small(df, segment_personas(df, segment, persona), segment)
-    else:
-        df = df.withColumn("persona", F.lit(None).cast("string"))
-    primary = F.coalesce(plans_by_name(F.coalesce("persona", F.lit(""))), _strings(K.PLAN_IDS[:3]))
-    cells = []
-    for p in K.PLAN_IDS:
-        h = _hash(F.col("subscriber_id"), F.lit(p))
-        weight = F.when(F.array_contains(primary, p), F.lit(3) + h % 3).otherwise(h % 2).cast("int")
-        cells.append(F.struct(F.lit(p).alias("plan_id"), weight.alias("weight")))
-    return df.withColumn("interactions", F.array(*cells))
-
-
-def interaction_matrix(df: DataFrame, segment: str = "segment_id") -> DataFrame:
-    """Long (subscriber, segment, plan, weight), weight 0 left out; built row by row, no join on plans."""
-    return (with_interactions(df, segment)
-            .select("subscriber_id", segment, F.explode("interactions").alias("i"))
-            .select("subscriber_id", segment, "i.plan_id", "i.weight").filter(F.col("weight") > 0))
+    return (rows.filter(F.col("plan_id").isin(list(catalog))).groupBy("subscriber_id", "plan_id")
+            .agg(F.sum("weight").cast("double").alias("weight")).filter(F.col("weight") > 0))
 
 
 def fit_als(interactions: DataFrame, factors: int = 32, iterations: int = 30, reg: float = 0.1,
-            seed: int = 42, blocks: int | None = None) -> tuple[ALSModel, DataFrame]:
+            seed: int = 42, blocks: int | None = None, catalog: Sequence[str] = K.PLAN_IDS) -> tuple[ALSModel, DataFrame]:
     """Implicit ALS of Spark ML for catalogs of many plans.
 
     Returns the model and the (subscriber_id, user) numbering.  ``plan_id`` must
@@ -113,18 +84,20 @@ def fit_als(interactions: DataFrame, factors: int = 32, iterations: int = 30, re
     """
     users = number_rows(interactions.select("subscriber_id").distinct(), "user").select(
         "subscriber_id", F.col("user").cast("int").alias("user"))
-    item = F.try_element_at(literal_map({p: i for i, p in enumerate(K.PLAN_IDS)}), F.col("plan_id"))
-    data = (interactions.join(users, "subscriber_id")
-            .select("user", item.cast("int").alias("item"), F.col("weight").cast("float").alias("rating")))
+    items = interactions.sparkSession.createDataFrame(list(enumerate(catalog)), "item int, plan_id string")
+    data = (join_small(interactions.join(users, "subscriber_id"), items, "plan_id", "inner")
+            .select("user", "item", F.col("weight").cast("float").alias("rating")))
     parts = blocks or int(interactions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    als = ALS(userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=True, rank=min(factors, len(K.PLAN_IDS)),
+    als = ALS(userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=True, rank=min(factors, len(catalog)),
               maxIter=iterations, regParam=reg, seed=seed, numUserBlocks=max(10, parts))
     return als.fit(data), users
 
 
-def preference_rows(df: DataFrame) -> DataFrame:
-    """``(subscriber_id, weights)``: catalog-wide weight array from the ``interactions`` column."""
-    return df.select("subscriber_id", F.transform("interactions", lambda i: i["weight"].cast("double")).alias("weights"))
+def preference_rows(interactions: DataFrame, catalog: Sequence[str] = K.PLAN_IDS) -> DataFrame:
+    """``(subscriber_id, weights)``: catalog-wide weight array from one row per (subscriber, plan)."""
+    held = F.map_from_entries(F.collect_list(F.struct("plan_id", F.col("weight").cast("double").alias("weight"))))
+    weights = F.transform(_strings(list(catalog)), lambda p: F.coalesce(F.try_element_at("held", p), F.lit(0.0)))
+    return interactions.groupBy("subscriber_id").agg(held.alias("held")).select("subscriber_id", weights.alias("weights"))
 
 
 def _user_factors(w: np.ndarray, items: np.ndarray, reg: float) -> np.ndarray:
@@ -137,7 +110,7 @@ def _user_factors(w: np.ndarray, items: np.ndarray, reg: float) -> np.ndarray:
 
 
 def fit_narrow(prefs: DataFrame, factors: int = 32, iterations: int = 30, reg: float = 0.1,
-               seed: int = 42) -> tuple[np.ndarray, DataFrame]:
+               seed: int = 42, n_items: int = len(K.PLAN_IDS)) -> tuple[np.ndarray, DataFrame]:
     """Implicit alternating least squares for a small catalog, exact for any number of subscribers.
 
     Subscribers with equal weights have equal factors, so rows are folded to
@@ -147,7 +120,6 @@ def fit_narrow(prefs: DataFrame, factors: int = 32, iterations: int = 30, reg: f
     only these sums reach the driver.  Returns plan factors and the patterns.
     """
     patterns = materialize(prefs.groupBy("weights").agg(F.count(F.lit(1)).alias("n")), "patterns")
-    n_items = len(K.PLAN_IDS)
     rank = min(factors, n_items)
     items = np.random.default_rng(seed).normal(0.0, 0.1, (n_items, rank))
     for _ in range(iterations):
@@ -177,9 +149,9 @@ def fit_narrow(prefs: DataFrame, factors: int = 32, iterations: int = 30, reg: f
 
 
 def narrow_top_n(items: np.ndarray, patterns: DataFrame, prefs: DataFrame, subscribers: DataFrame, n: int = 3,
-                 reg: float = 0.1) -> DataFrame:
+                 reg: float = 0.1, catalog: Sequence[str] = K.PLAN_IDS) -> DataFrame:
     """``(subscriber_id, cf_plans)`` for a narrow catalog; unknown subscribers get the first catalog plans."""
-    names = list(K.PLAN_IDS)
+    names = list(catalog)
 
     def best(batches):
         for pdf in batches:
@@ -189,15 +161,30 @@ def narrow_top_n(items: np.ndarray, patterns: DataFrame, prefs: DataFrame, subsc
 
     top = patterns.mapInPandas(best, "weights array<double>, cf_plans array<string>")
     known = join_small(prefs, top, "weights").select("subscriber_id", "cf_plans")
-    return _with_fallback(subscribers, known, n)
+    return _with_fallback(subscribers, known, n, catalog)
 
 
-def _with_fallback(subscribers: DataFrame, known: DataFrame, n: int) -> DataFrame:
+def _with_fallback(subscribers: DataFrame, known: DataFrame, n: int, catalog: Sequence[str]) -> DataFrame:
     return (subscribers.select("subscriber_id").join(known, "subscriber_id", "left")
-            .withColumn("cf_plans", F.coalesce("cf_plans", _strings(K.PLAN_IDS[:n]))))
+            .withColumn("cf_plans", F.coalesce("cf_plans", _strings(list(catalog[:n])))))
+
+
+#: Plans up to which each subscriber's weights fit in one row.
+NARROW = 64
+
+
+def collaborative_top_n(interactions: DataFrame, subscribers: DataFrame, n: int = 3,
+                        catalog: Sequence[str] = K.PLAN_IDS, narrow: int = NARROW, **settings) -> DataFrame:
+    """``(subscriber_id, cf_plans)`` from given interactions: the narrow way for a narrow catalog, else Spark ML."""
+    if len(catalog) <= narrow:
+        prefs = materialize(preference_rows(interactions, catalog), "preferences")
+        items, patterns = fit_narrow(prefs, n_items=len(catalog), **settings)
+        return narrow_top_n(items, patterns, prefs, subscribers, n, catalog=catalog)
+    return als_top_n(*fit_als(interactions, catalog=catalog, **settings), subscribers, n, catalog)
 
 
-def als_top_n(model: ALSModel, users: DataFrame, subscribers: DataFrame, n: int = 3) -> DataFrame:
+def als_top_n(model: ALSModel, users: DataFrame, subscribers: DataFrame, n: int = 3,
+              catalog: Sequence[str] = K.PLAN_IDS) -> DataFrame:
     """``(subscriber_id, cf_plans)`` from the Spark ML model; unknown subscribers get the first catalog plans.
 
     The item side has one factor per catalog plan, so it is read once and each
@@ -207,11 +194,11 @@ def als_top_n(model: ALSModel, users: DataFrame, subscribers: DataFrame, n: int
     scores = []
     for i, vec in sorted(items.items()):
         dot = sum((F.col("features")[j] * F.lit(v) for j, v in enumerate(vec)), F.lit(0.0))
-        scores.append(F.struct((-dot).alias("s"), F.lit(i).alias("i"), F.lit(K.PLAN_IDS[i]).alias("plan")))
+        scores.append(F.struct((-dot).alias("s"), F.lit(i).alias("i"), F.lit(catalog[i]).alias("plan")))
     top = F.transform(F.slice(F.array_sort(F.array(*scores)), 1, n), lambda x: x["plan"])
     recs = (model.userFactors.withColumnRenamed("id", "user").join(users, "user")
             .select("subscriber_id", top.alias("cf_plans")))
-    return _with_fallback(subscribers, recs, n)
+    return _with_fallback(subscribers, recs, n, catalog)
 
 
 def merge_plans(rule: Column, cf: Column, n: int = 3) -> Column:
@@ -241,11 +228,11 @@ def precision_at_k(df: DataFrame, recommended: str = "recommended", persona: str
             .agg(F.count(F.lit(1)).alias("n_evaluated"), F.coalesce(F.avg(hit), F.lit(0.0)).alias("precision")))
 
 
-def plan_coverage(recommended: DataFrame, plans: str = "recommended") -> DataFrame:
+def plan_coverage(recommended: DataFrame, plans: str = "recommended", catalog: Sequence[str] = K.PLAN_IDS) -> DataFrame:
     """Share of the catalog that is recommended to anyone."""
     return recommended.select(F.explode(plans).alias("p")).agg(
         F.count_distinct("p").alias("n_plans"),
-        (F.count_distinct("p").cast("double") / F.lit(float(len(K.PLAN_IDS)))).alias("coverage"))
+        (F.count_distinct("p").cast("double") / F.lit(float(len(catalog)))).alias("coverage"))
 
 
 def plan_matrix(dim: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from hexcohort.functions.joins import join_small
 from hexcohort.operators import recommend as R
 from hexcohort.registry import sql as Q
 from hexcohort.registry.core import dimension, query
-from hexcohort.sources.derive import subscribers
+from hexcohort.sources.derive import subscribers, table
 
 _DIM = Q.dim_ctes()
 _RULE = Q.plans_by_name("segment_name", "plans")
@@ -43,31 +43,53 @@ def plan_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return R.plan_matrix(dimension(spark, sf))
 
 
-_MODE = {"pc": "SELECT segment_id, true_persona_name AS p, count(*) AS n FROM sub GROUP BY 1, 2",
-         "pm": "SELECT segment_id, p FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY n DESC, p) AS rn FROM pc) WHERE rn = 1",
-         "cat": f"SELECT unnest({Q.strings(K.PLAN_IDS)}) AS plan_id, generate_subscripts({Q.strings(K.PLAN_IDS)}, 1) AS pos",
-         "im": "SELECT s.subscriber_id, s.segment_id, c.plan_id, c.pos, cast(CASE WHEN list_contains(" + Q.plans_by_name("pm.p", Q.strings(K.PLAN_IDS[:3]))
-               + f", c.plan_id) THEN 3 + {Q.hash28('s.subscriber_id', 'c.plan_id')} % 3 ELSE {Q.hash28('s.subscriber_id', 'c.plan_id')} % 2 END AS INT) AS weight FROM sub s JOIN pm USING (segment_id), cat c"}
+_BUY = {"cat": f"SELECT unnest({Q.strings(K.PLAN_IDS)}) AS plan_id, generate_subscripts({Q.strings(K.PLAN_IDS)}, 1) AS pos",
+        "buy": f"SELECT 'SUB_' || lpad(cast(o_custkey AS VARCHAR), 8, '0') AS subscriber_id, ({Q.strings(K.PLAN_IDS)})[cast(l_partkey % 8 AS INT) + 1] AS plan_id, "
+               "cast(count(*) AS DOUBLE) AS weight FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2",
+        "im": "SELECT s.subscriber_id, s.segment_id, c.plan_id, c.pos, coalesce(b.weight, 0) AS weight FROM sub s CROSS JOIN cat c "
+              "LEFT JOIN buy b ON b.subscriber_id = s.subscriber_id AND b.plan_id = c.plan_id"}
 
 
-@query("interaction_matrix", Q.sub(**_MODE) + "SELECT subscriber_id, segment_id, plan_id, weight FROM im WHERE weight > 0")
+def purchases(spark: SparkSession, sf: str) -> DataFrame:
+    """Given interactions: each line item is one purchase of the plan that its part stands for."""
+    plan = F.element_at(F.array(*[F.lit(p) for p in K.PLAN_IDS]), (F.col("l_partkey") % 8 + 1).cast("int"))
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey", plan.alias("plan_id")).agg(F.count(F.lit(1)).alias("weight"))
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.concat(
+        F.lit("SUB_"), F.lpad(F.col("o_custkey").cast("string"), 8, "0")).alias("subscriber_id"))
+    return lines.join(orders, "l_orderkey").select("subscriber_id", "plan_id", "weight")
+
+
+@query("interaction_matrix", Q.with_(**_BUY) + "SELECT subscriber_id, plan_id, weight FROM buy")
 def interaction_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    return R.interaction_matrix(subscribers(spark, sf))
+    return R.given_interactions(purchases(spark, sf))
+
+
+def _ruled(spark: SparkSession, sf: str) -> DataFrame:
+    df = join_small(subscribers(spark, sf).select("subscriber_id", "segment_id"),
+                    dimension(spark, sf).select("segment_id", "segment_name", "plans"), "segment_id")
+    return df.select("subscriber_id", R.rule_plans(F.col("segment_name"), F.col("plans")).alias("rule"))
 
 
-@query("hybrid_merge", Q.sub(**_DIM, **_MODE, cf="SELECT subscriber_id, list(plan_id ORDER BY weight DESC, pos)[1:4] AS cf FROM im GROUP BY 1",
+@query("hybrid_merge", Q.sub(**_DIM, **_BUY, cf="SELECT subscriber_id, list(plan_id ORDER BY weight DESC, pos)[1:4] AS cf FROM im GROUP BY 1",
                              m=f"SELECT s.subscriber_id, coalesce({_RULE}, {Q.strings(K.FALLBACK_PLANS)})[1:3] AS rule, cf.cf FROM sub s JOIN cf USING (subscriber_id) LEFT JOIN named n USING (segment_id)")
        + "SELECT subscriber_id, array_to_string(list_concat(rule, list_filter(cf, lambda x: NOT list_contains(rule, x)))[1:5], ',') AS plans FROM m")
 def hybrid_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Rule plans filled up to five from each subscriber's strongest interactions."""
-    subs = R.with_interactions(subscribers(spark, sf).select("subscriber_id", "segment_id", "true_persona_name"))
-    pos = [F.struct((-F.col("interactions")[i]["weight"]).alias("w"), F.lit(i).alias("i"), F.lit(p).alias("p"))
-           for i, p in enumerate(K.PLAN_IDS)]
+    """Rule plans filled up to five from each subscriber's strongest given interactions."""
+    prefs = R.preference_rows(R.given_interactions(purchases(spark, sf)))
+    weights = F.coalesce("weights", F.array(*[F.lit(0.0)] * len(K.PLAN_IDS)))
+    pos = [F.struct((-weights[i]).alias("w"), F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(K.PLAN_IDS)]
     cf = F.transform(F.slice(F.array_sort(F.array(*pos)), 1, 4), lambda x: x["p"])
-    df = join_small(subs.select("subscriber_id", "segment_id", cf.alias("cf")),
-                    dimension(spark, sf).select("segment_id", "segment_name", "plans"), "segment_id")
-    return df.select("subscriber_id", F.array_join(R.merge_plans(
-        R.rule_plans(F.col("segment_name"), F.col("plans")), F.col("cf"), 5), ",").alias("plans"))
+    return _ruled(spark, sf).join(prefs, "subscriber_id", "left").select(
+        "subscriber_id", F.array_join(R.merge_plans(F.col("rule"), cf, 5), ",").alias("plans"))
+
+
+@query("hybrid_als")
+def hybrid_als(spark: SparkSession, sf: str) -> DataFrame:
+    """Rule plans filled up to five from the factors trained on the given interactions."""
+    rules = _ruled(spark, sf)
+    cf = R.collaborative_top_n(R.given_interactions(purchases(spark, sf)), rules, 4)
+    return rules.join(cf, "subscriber_id").select(
+        "subscriber_id", F.array_join(R.merge_plans(F.col("rule"), F.col("cf_plans"), 5), ",").alias("plans"))
 
 
 _REC = Q.sub(**_DIM, r=f"SELECT s.subscriber_id, coalesce({_RULE}, {Q.strings(K.FALLBACK_PLANS)})[1:3] AS rec, {Q.plans_by_name('s.true_persona_name', 'NULL')} AS truth FROM sub s LEFT JOIN named n USING (segment_id)")
@@ -95,9 +117,6 @@ def coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("als_topn")
 def als_topn(spark: SparkSession, sf: str) -> DataFrame:
-    """Three plans per subscriber from implicit factorisation; one in ten was never seen in training."""
-    subs = subscribers(spark, sf).select("subscriber_id", "segment_id", "true_persona_name")
-    seen = F.substring("subscriber_id", 5, 20).cast("bigint") % 10 != 0
-    prefs = R.preference_rows(R.with_interactions(subs.filter(seen)))
-    items, patterns = R.fit_narrow(prefs)
-    return R.narrow_top_n(items, patterns, prefs, subs).select("subscriber_id", F.array_join("cf_plans", ",").alias("plans"))
+    """Three plans per subscriber from implicit factorisation of all given interactions."""
+    top = R.collaborative_top_n(R.given_interactions(purchases(spark, sf)), subscribers(spark, sf))
+    return top.select("subscriber_id", F.array_join("cf_plans", ",").alias("plans"))
