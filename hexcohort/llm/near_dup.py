@@ -4,9 +4,9 @@ Documents are compared by the weighted Jaccard similarity of their multisets of
 ignored); similar ones (``threshold`` or more) are linked, and a class is a connected set of links.
 
 * Copies (equal word sequences) fold to their smallest id before anything else.
-* Documents that agree in a band share a bucket.  In each of a few rounds every bucket that is still in several parts
-  links its members to one of them, after the exact check: a large group of near copies is joined with about one comparison
-  per member and round.
+* Documents that agree in a band share a bucket.  First every bucket
+  links its members to its smallest one, after the exact check: a large group of near copies is joined with about one
+  comparison per member.
 * What a bucket still holds apart then is compared completely, its signatures block by block inside tasks; only pairs whose
   signatures agree well enough leave the task for the exact check.  So no link between bucket members is lost, and
   documents that merely share a passage cost no rows.
@@ -23,7 +23,6 @@ class is null, it counts as kept); an empty table gives an empty one; other colu
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +39,9 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 48, 8
 #: Components that are kept, one byte each, for an estimate.  A pair at the threshold has fewer equal ones than this with
 #: a probability of one in a billion.
-MARKS, LEAST_EQUAL = 128, 75
-#: Rounds of links to one member, and members of a bucket that are compared at a time.
-STARS, BLOCK = 2, 1024
+MARKS, LEAST_EQUAL = 96, 52
+#: Members of a bucket that are compared at a time.
+BLOCK = 1024
 
 
 def shingles(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes | None]]:
@@ -106,16 +105,14 @@ def _bytes(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, MARKS)
 
 
-def likely(pairs: DataFrame, marks: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` whose marks ``(head, marks)`` agree well enough."""
+def likely(pairs: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)``, each once, whose ``(marks_a, marks_b)`` agree well enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             equal = (_bytes(batch.column(2)) == _bytes(batch.column(3))).sum(1)
             yield batch.select([0, 1]).filter(pa.array(equal >= LEAST_EQUAL, pa.bool_()))
 
-    both = (pairs.join(marks.withColumnsRenamed({"head": "a", "marks": "marks_a"}), "a")
-            .join(marks.withColumnsRenamed({"head": "b", "marks": "marks_b"}), "b").select("a", "b", "marks_a", "marks_b"))
-    return both.mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "marks_a", "marks_b").mapInArrow(run, "a long, b long").distinct()
 
 
 def across_parts(held: DataFrame) -> DataFrame:
@@ -146,57 +143,40 @@ def across_parts(held: DataFrame) -> DataFrame:
     return spread.groupBy("key", "low", "high").applyInArrow(run, "a long, b long").distinct()
 
 
-def _open(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """``(key, head, part)`` of the buckets that hold several parts."""
-    placed = members.join(parts.withColumnsRenamed({"node": "head", "comp": "part"}), "head")
-    several = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("key")
-    return placed.join(several, "key", "left_semi")
-
-
 def classes(docs: DataFrame, threshold: float = THRESHOLD, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``(id, class_id, kept)``, one row per row of ``docs``: the smallest id of its class, and whether it is that one."""
     marked = materialize(signed(docs, text, doc_id), "signed")
     named = marked.filter(F.col("digest").isNotNull() & F.col("id").isNotNull())
-    heads = materialize(named.groupBy("digest").agg(F.min("id").alias("head")), "heads")          # copies fold here
-    own = named.join(heads.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("id") == F.col("head")))
-    rows = own.select("head", F.explode("keys").alias("key"))
+    heads = named.groupBy("digest").agg(F.min("id").alias("head"))          # copies fold here
+    own = materialize(named.join(heads, "digest").filter("id = head").select("digest", "head", "keys", "marks"), "heads")
+    rows = own.select("head", "marks", F.explode("keys").alias("key"))
     # joins that carry keys or texts are told to sort and merge, so that they work alike at every size
-    shared = rows.groupBy("key").agg(F.min("head").alias("lo"), F.max("head").alias("hi")).filter("lo < hi").select("key")
-    members = materialize(rows.join(shared.hint("merge"), "key", "left_semi"), "buckets")
+    shared = rows.groupBy("key").agg(F.min(F.struct("head", "marks")).alias("least"), F.max("head").alias("top")).filter("least.head < top")
+    members = materialize(rows.join(shared.select("key", "least").hint("merge"), "key")
+                          .select("key", "head", "marks", F.col("least.head").alias("leader"), F.col("least.marks").alias("leader_marks")), "buckets")
     nodes = members.select(F.col("head").alias("node")).distinct()
-    marks = materialize(own.select("head", "marks").join(nodes.withColumnRenamed("node", "head"), "head", "left_semi")
-                        .dropDuplicates(["head"]), "marks")
     texts = materialize(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
                         .join(nodes.withColumnRenamed("node", "id").hint("merge"), "id", "left_semi"), "texts")
 
-    parts = nodes.withColumn("comp", F.col("node"))
-    links, tried = [], []
-
-    def check(pairs: DataFrame) -> bool:
-        """Checks the pairs not tried yet; whether that gave links."""
-        nonlocal parts
-        for done in tried:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        close = materialize(likely(pairs, marks), "pairs")
-        found = materialize(checked(close, texts, threshold), "links")
-        tried.append(close)
-        if found.isEmpty():
-            return False
-        links.append(found)
-        parts = connected_components(nodes, reduce(DataFrame.union, links))
-        return True
-
-    for turn in range(STARS):
-        held = materialize(_open(members, parts), "open")
-        order = F.struct(F.xxhash64("head", F.lit(turn)).alias("h"), "head", "part") if turn else F.struct("head", "part")
-        leaders = held.groupBy("key").agg(F.min(order).alias("l")).select("key", F.col("l.head").alias("leader"), F.col("l.part").alias("its"))
-        star = held.join(leaders, "key").filter("part != its")
-        if not check(star.select(F.least("leader", "head").alias("a"), F.greatest("leader", "head").alias("b")).distinct()):
-            break
-    check(across_parts(_open(members, parts).join(marks, "head")))
-
-    heads = heads.join(parts.withColumnsRenamed({"node": "head", "comp": "part"}), "head", "left")
-    found = marked.select("id", "digest").join(heads, "digest", "left")
+    def linked(pairs: DataFrame) -> DataFrame:
+        return materialize(checked(materialize(pairs, "pairs"), texts, threshold), "links")
+
+    def parts_of(links: DataFrame) -> DataFrame:
+        ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+        return connected_components(ends, links).withColumnsRenamed({"node": "head", "comp": "part"})
+
+    links = linked(likely(members.filter("head > leader").select(
+        F.col("leader").alias("a"), F.col("head").alias("b"), F.col("leader_marks").alias("marks_a"), F.col("marks").alias("marks_b"))))
+    parts = parts_of(links)
+    placed = (members.select("key", "head", "marks").join(parts, "head", "left")
+              .select("key", "head", "marks", F.coalesce("part", "head").alias("part")))
+    several = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("key")
+    more = linked(across_parts(placed.join(several, "key", "left_semi")))
+    if not more.isEmpty():
+        parts = parts_of(links.union(more))
+
+    named_heads = own.select("digest", "head").distinct().join(parts, "head", "left")
+    found = marked.select("id", "digest").join(named_heads, "digest", "left")
     class_id = F.coalesce("part", "head", "id")
     return found.select("id", F.when(F.col("id").isNotNull(), class_id).alias("class_id"),
                         (F.col("id").isNull() | (F.col("id") == class_id)).alias("kept"))
