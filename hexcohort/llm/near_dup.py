@@ -149,11 +149,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, text: str = "text", d
     named = marked.filter(F.col("digest").isNotNull() & F.col("id").isNotNull())
     heads = named.groupBy("digest").agg(F.min("id").alias("head"))          # copies fold here
     own = materialize(named.join(heads, "digest").filter("id = head").select("digest", "head", "keys", "marks"), "heads")
-    rows = own.select("head", "marks", F.explode("keys").alias("key"))
+    marks = own.select("head", "marks").dropDuplicates(["head"])
+    rows = own.select("head", F.explode("keys").alias("key"))        # many: ids and keys only
     # joins that carry keys or texts are told to sort and merge, so that they work alike at every size
-    shared = rows.groupBy("key").agg(F.min(F.struct("head", "marks")).alias("least"), F.max("head").alias("top")).filter("least.head < top")
-    members = materialize(rows.join(shared.select("key", "least").hint("merge"), "key")
-                          .select("key", "head", "marks", F.col("least.head").alias("leader"), F.col("least.marks").alias("leader_marks")), "buckets")
+    shared = rows.groupBy("key").agg(F.min("head").alias("leader"), F.max("head").alias("top")).filter("leader < top").drop("top")
+    members = materialize(rows.join(shared.hint("merge"), "key").join(marks, "head")
+                          .join(marks.withColumnsRenamed({"head": "leader", "marks": "leader_marks"}), "leader"), "buckets")
     nodes = members.select(F.col("head").alias("node")).distinct()
     texts = materialize(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
                         .join(nodes.withColumnRenamed("node", "id").hint("merge"), "id", "left_semi"), "texts")
