@@ -47,7 +47,9 @@ def signatures(text: np.ndarray, element: np.ndarray, count: np.ndarray, n_texts
         seeds = seed + (np.arange(1, steps + 1, dtype=np.uint64) * _STEP)[:, None]
         a = mix(seeds)
         b = mix(a ^ _LEVEL)
-        times = time - np.cumsum(np.log1p((a >> np.uint64(11)) * -(2.0 ** -53)), axis=0) / width
+        late = np.log1p((a >> np.uint64(11)) * -(2.0 ** -53)) / -width
+        late[0] += time                 # one after another: the same bits however many points are taken at once
+        times = np.cumsum(late, axis=0)
         level = (b >> np.uint64(32)) * (width * 2.0 ** -32)
         part = ((b & np.uint64(0xFFFFFFFF)) * np.uint64(size)) >> np.uint64(32)
         hit = level < room

@@ -37,6 +37,21 @@ def test_signature_does_not_depend_on_the_batch():
     assert (both[1] == alone[0]).all() and np.isinf(both[2]).all()
 
 
+def test_signature_bits_are_the_same_alone_and_in_any_batch():
+    rng = np.random.default_rng(6)
+    elements = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (4, 12, 40, 150, 400)]
+    counts = [rng.integers(1, 30, len(e)) for e in elements]
+
+    def batch(n_filling):
+        other = rng.integers(0, 2**63, 20 * n_filling).astype(np.uint64)
+        text = np.concatenate([np.repeat(np.arange(5), [len(e) for e in elements]), 5 + np.repeat(np.arange(n_filling), 20)])
+        ones = np.ones(len(other), int)
+        return bagminhash.signatures(text, np.concatenate([*elements, other]), np.concatenate([*counts, ones]), 5 + n_filling, 384)[:5]
+
+    alone = np.concatenate([bagminhash.signatures(np.zeros(len(e), int), e, c, 1, 384) for e, c in zip(elements, counts)])
+    assert (alone.view(np.uint64) == batch(0).view(np.uint64)).all() and (alone.view(np.uint64) == batch(5000).view(np.uint64)).all()
+
+
 # --- near-duplicates ----------------------------------------------------------------------------------------------------
 
 def multiset(text):
