@@ -18,8 +18,8 @@ from hexcohort import constants as K
 from hexcohort.functions.expr import clip, rnd
 from hexcohort.operators.metrics import cluster_metrics
 
-#: Rows from which k-means++ takes its first centroids, and the movement below which a start has settled.
-SEED_ROWS, TOLERANCE = 4096, 1e-4
+#: The movement below which a start has settled.
+TOLERANCE = 1e-4
 
 
 @dataclass
@@ -42,16 +42,55 @@ class Segmentation:
         return near.withColumn(label, (F.array_position("off_", F.array_min("off_")) - 1).cast("int")).drop("off_")
 
 
-def _first_centers(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k-means++ over the sample."""
-    rng = np.random.default_rng(seed)
-    centers = [sample[rng.integers(len(sample))]]
-    off = ((sample - centers[0]) ** 2).sum(1)
-    while len(centers) < k:
-        chance = off / off.sum() if off.sum() > 0 else None
-        centers.append(sample[rng.choice(len(sample), p=chance)])
-        off = np.minimum(off, ((sample - centers[-1]) ** 2).sum(1))
-    return np.array(centers)
+def _first_centers(vectors: DataFrame, k: int, seeds: Sequence[int]) -> dict[int, np.ndarray]:
+    """k-means++ over all rows, once per seed: every pass draws the next centroid of each seed.
+
+    Equal vectors fold to one with a count.  A vector of weight ``count x squared distance`` gets an exponential number
+    divided by its weight, and the smallest one is drawn: that has k-means++'s chances, needs one candidate per task and
+    seed, and does not depend on how rows are spread.  The first ``j`` centroids are those of a search for ``j``.
+    """
+    folded = (vectors.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("n"))
+              .select("x", "n", F.xxhash64("x").alias("code")).persist(StorageLevel.MEMORY_AND_DISK))
+    drawn: dict[int, list[list[float]]] = {s: [] for s in seeds}
+
+    def draws(code: np.ndarray, number: int) -> np.ndarray:
+        """One exponential number per 64-bit code; another one for each ``number``."""
+        x = code ^ (np.uint64((number + 1) * 0x9E3779B97F4A7C15 % 2 ** 64))
+        for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            x = (x ^ (x >> np.uint64(33))) * np.uint64(m)
+        x = x ^ (x >> np.uint64(33))
+        return -np.log(((x >> np.uint64(12)) + 0.5) * 2.0 ** -52)
+
+    try:
+        for step in range(k):
+            shared = vectors.sparkSession.sparkContext.broadcast({s: np.array(c) for s, c in drawn.items()})
+
+            def run(batches: Iterator[pa.RecordBatch], step: int = step, shared=shared) -> Iterator[pa.RecordBatch]:
+                best: dict[int, tuple[float, list[float]]] = {}
+                for b in batches:
+                    if not b.num_rows:
+                        continue
+                    x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                    n, code = b.column(1).to_numpy(), b.column(2).to_numpy().view(np.uint64)
+                    for s, centers in shared.value.items():
+                        weight = n.copy()
+                        if len(centers):
+                            weight *= np.min([((x - c) ** 2).sum(1) for c in centers], axis=0)
+                        with np.errstate(divide="ignore"):
+                            key = draws(code, s * 100_003 + step) / weight      # infinite where a centroid is already
+                        at = int(key.argmin())
+                        best[s] = min(best.get(s, (np.inf, x[at].tolist())), (float(key[at]), x[at].tolist()))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(list(best), pa.int64()), pa.array([v for v, _ in best.values()], pa.float64()),
+                    pa.array([x for _, x in best.values()], pa.list_(pa.float64()))], names=["seed", "key", "x"])
+
+            found = folded.mapInArrow(run, "seed long, key double, x array<double>").groupBy("seed").agg(F.min(F.struct("key", "x")).alias("m"))
+            for r in found.collect():           # one row per seed
+                drawn[r["seed"]].append(list(r["m"]["x"]))
+            shared.destroy()
+    finally:
+        folded.unpersist()
+    return {s: np.array(c) for s, c in drawn.items()}
 
 
 def _pass(vectors: DataFrame, starts: dict[int, np.ndarray], width: int) -> dict[int, tuple[np.ndarray, float]]:
@@ -90,10 +129,10 @@ def _pass(vectors: DataFrame, starts: dict[int, np.ndarray], width: int) -> dict
 
 def _fit(vectors: DataFrame, ks: Sequence[int], n_init: int, max_iter: int, seed: int, tol: float, features: str) -> dict[int, Segmentation]:
     """The best of ``n_init`` starts for each k; all starts of all k move together, a pass per step."""
-    sample = np.array([r["x"] for r in vectors.orderBy(F.xxhash64("x"), "x").limit(SEED_ROWS).collect()])
-    width = sample.shape[1]
     plan = [(k, i) for k in ks for i in range(n_init)]
-    starts = {s: _first_centers(sample, k, seed + i) for s, (k, i) in enumerate(plan)}
+    first = _first_centers(vectors, max(ks), [seed + i for i in range(n_init)])
+    width = first[seed].shape[1]
+    starts = {s: first[seed + i][:k] for s, (k, i) in enumerate(plan)}
     settled: dict[int, np.ndarray] = {}
     for _ in range(max_iter):
         if not starts:
@@ -124,7 +163,7 @@ def fit_kmeans(df: DataFrame, k: int = K.KMEANS_PARAMS["n_clusters"], n_init: in
                features: str = "features", tol: float = TOLERANCE) -> Segmentation:
     """Lloyd's iteration over all rows from ``n_init`` k-means++ starts; the one with the lowest cost wins.
 
-    Starts are seeded from at most ``SEED_ROWS`` rows (the first ones by hash); everything after uses every row.
+    Seeding and everything after use every row.
     """
     vectors = _stored(df, features)
     try:

@@ -62,6 +62,17 @@ def test_kmeans_finds_blobs_and_numbers_them_by_centroid(four):
     assert silhouette(out, ["f0", "f1"]).first()["silhouette"] > 0.9
 
 
+def test_kmeans_seeds_come_from_all_rows(spark):
+    r = np.random.default_rng(5)
+    rare = np.vstack([r.normal(0, 0.1, (30_000, 2)), np.full((3, 2), 1000.0)])            # one row in 10,000
+    copies = np.vstack([np.repeat([[0.0, 0.0], [0.0, 1.0]], 20_000, axis=0), r.normal((5, 5), 0.01, (40, 2)), r.normal((9, 0), 0.01, (40, 2))])
+    for x, k, want in ((rare, 2, [[0, 0], [1000, 1000]]), (copies, 4, [[0, 0], [0, 1], [5, 5], [9, 0]])):
+        df = spark.createDataFrame(pd.DataFrame(x, columns=["f0", "f1"])).select(array_to_vector(F.array("f0", "f1")).alias("features"))
+        seg = fit_kmeans(df, k, n_init=3)
+        assert np.allclose(seg.centers, want, atol=0.01)
+        assert np.allclose(fit_kmeans(df.repartition(13), k, n_init=3).centers, seg.centers, atol=1e-9)
+
+
 def test_without_centroids_segment_is_zero(four):
     r = assign(four, [F.col("f0")], None, "s").first()
     assert r["s"] == 0 and r["confidence"] == 0.75
