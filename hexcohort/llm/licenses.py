@@ -1,6 +1,8 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block is a line.  It matches a template when it holds at least ``threshold`` of the template's distinct words.  Words are
+A block is a line.  With ``wrapped`` (as the registered query has it) every window of consecutive words is a block too,
+wherever lines end, so that a notice wrapped over several lines is found; a window is as long as the template divided by
+``threshold``.  A block matches a template when it holds at least ``threshold`` of the template's distinct words.  Words are
 ordered by how often the whole corpus uses them, rarest first, and three filters cut the work without losing a match:
 
 * prefix: with k words needed out of n, one of the template's first n - k + 1 words must be there;
@@ -65,19 +67,23 @@ class Template:
     label: str
     words: tuple[bytes, ...]     # distinct, rarest first
     needed: int
+    window: int                  # words of a block that lies across lines
 
 
 class Index:
     """Templates in one global word order, with their prefixes by word."""
 
     def __init__(self, templates: dict[str, str], threshold: float, frequency: dict[bytes, int]):
-        sets = {label: set(words_of(t)) for label, t in templates.items()}
+        listed = {label: words_of(t) for label, t in templates.items()}
+        sets = {label: set(words) for label, words in listed.items()}
         vocabulary = sorted({w for s in sets.values() for w in s}, key=lambda w: (frequency.get(w, 0), w))
         self.rank = {w: i for i, w in enumerate(vocabulary)}
         self.prefixes: dict[bytes, list[tuple[int, Template]]] = {}
+        self.templates: list[Template] = []
         for label, found in sorted(sets.items()):
             needed = sum(n < threshold * len(found) - 1e-9 for n in range(len(found) + 1))
-            t = Template(label, tuple(sorted(found, key=self.rank.__getitem__)), needed)
+            t = Template(label, tuple(sorted(found, key=self.rank.__getitem__)), needed, int(len(listed[label]) / threshold + 1e-9))
+            self.templates.append(t)
             for i, w in enumerate(t.words[:len(t.words) - needed + 1]):
                 self.prefixes.setdefault(w, []).append((i, t))
 
@@ -97,6 +103,32 @@ class Index:
                         yield t.label, overlap / len(t.words)
 
 
+    def windows(self, words: list[bytes]) -> Iterator[tuple[str, float]]:
+        """(label, largest contained share) of every template that a window of the text matches."""
+        places: dict[bytes, list[int]] = {}
+        for i, w in enumerate(words):
+            if w in self.rank:
+                places.setdefault(w, []).append(i)
+        for t in self.templates:
+            # prefix and length filter, for all windows at once
+            if not any(w in places for w in t.words[:len(t.words) - t.needed + 1]) or sum(w in places for w in t.words) < t.needed:
+                continue
+            most, inside = 0, Counter[bytes]()
+            order = sorted((i, w) for w in t.words for i in places.get(w, ()))
+            first = 0
+            for i, w in order:
+                inside[w] += 1
+                while order[first][0] <= i - t.window:
+                    gone = order[first][1]
+                    inside[gone] -= 1
+                    if not inside[gone]:
+                        del inside[gone]
+                    first += 1
+                most = max(most, len(inside))
+            if most >= t.needed:
+                yield t.label, most / len(t.words)
+
+
 def word_counts(docs: DataFrame, vocabulary: frozenset[bytes], text: str = "text") -> dict[bytes, int]:
     """How often all documents use the given words; one small row per word and batch is shuffled, one per word collected."""
     bound_batches(docs.sparkSession)
@@ -126,13 +158,14 @@ def phrase_places(words: list[bytes]) -> list[tuple[int, str]]:
     return found
 
 
-def judge(text: str, index: Index) -> tuple[int, int, int | None, int | None, str, str, float]:
+def judge(text: str, index: Index, wrapped: bool = False) -> tuple[int, int, int | None, int | None, str, str, float]:
     words = words_of(text)
     places = phrase_places(words)
     best: dict[str, float] = {}
     if not index.prefixes.keys().isdisjoint(words):
-        for line in text.split("\n"):
-            for label, share in index.matches(set(words_of(line))):
+        lines = text.split("\n")
+        for found in (*(index.matches(set(words_of(line))) for line in lines), index.windows(words) if wrapped and len(lines) > 1 else ()):
+            for label, share in found:
                 best[label] = max(share, best.get(label, 0.0))
     base = sorted({label for _, label in places})
     at = [p for p, _ in places]
@@ -141,7 +174,7 @@ def judge(text: str, index: Index) -> tuple[int, int, int | None, int | None, st
 
 
 def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] | None = None,
-         threshold: float = THRESHOLD) -> DataFrame:
+         threshold: float = THRESHOLD, wrapped: bool = False) -> DataFrame:
     """``docs`` with words, phrase places, labels and a score: 1 with a phrase, else the best matching share, else 0."""
     templates = TEMPLATES if templates is None else templates
     vocabulary = frozenset(w for t in templates.values() for w in words_of(t))
@@ -151,7 +184,7 @@ def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] | None =
     arrow = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
 
     def run(column: pa.Array) -> list[pa.Array]:
-        rows = [judge(t, index) for t in texts_of(column)]
+        rows = [judge(t, index, wrapped) for t in texts_of(column)]
         return [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(arrow)]
 
     fields = [StructField(n, k) for n, k in zip(fresh(docs, *kinds), kinds.values(), strict=True)]

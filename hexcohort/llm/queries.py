@@ -21,7 +21,7 @@ def op1_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return licenses.scan(docs).drop("text")
+    return licenses.scan(docs, wrapped=True).drop("text")
 
 
 def op3_poisson_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

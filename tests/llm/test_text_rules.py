@@ -12,6 +12,7 @@ from llm_cases import ODD
 from pyspark.sql import functions as F
 
 from hexcohort.llm import automaton, licenses, quality, secrets
+from hexcohort.llm.queries import op2_license_scan
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -175,6 +176,30 @@ def test_licenses_match_a_plain_search(spark, docs_of):
     assert licenses.scan(df.limit(0)).collect() == []
 
 
+def test_wrapped_notices_match_as_windows(spark, docs_of, tmp_path):
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that"
+    mpl = "x = 1\n/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy\n */"
+    apart = "Redistribution and use in source and binary forms, with or without\n" + "other words \n" * 9 + "modification, are permitted"
+    rows = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(docs_of([bsd, mpl, apart]), wrapped=True).collect()}
+    assert rows == {0: ("bsd", 1.0), 1: ("mpl-2.0", 1.0), 2: ("", 0.0)}
+    docs_of([bsd, mpl, apart]).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: (r["labels"], r["score"]) for r in op2_license_scan(spark, str(tmp_path)).collect()} == rows
+    rng = random.Random(8)
+    index = licenses.Index(licenses.TEMPLATES, 0.8, {})
+    vocabulary = sorted(index.rank) + [b"foo"] * 5
+    for _ in range(300):
+        words = []
+        for _ in range(rng.randint(1, 3)):
+            notice = licenses.words_of(rng.choice(list(licenses.TEMPLATES.values())))
+            words += [w for w in notice if rng.random() < 0.9] + rng.choices(vocabulary, k=rng.randint(0, 9))
+        want = {}
+        for t in index.templates:
+            most = max(len(set(words[i:i + t.window]) & set(t.words)) for i in range(len(words)))
+            if most >= t.needed:
+                want[t.label] = most / len(t.words)
+        assert dict(index.windows(words)) == want
+
+
 def test_any_word_order_gives_the_same_matches():
     block = set(licenses.words_of(licenses.TEMPLATES["gpl-3.0"]))
     words = {w for t in licenses.TEMPLATES.values() for w in licenses.words_of(t)}
