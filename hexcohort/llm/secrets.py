@@ -3,6 +3,8 @@
 Each rule is a regex for the scanner plus, where the length of a part decides, an exact check of what was matched; a match
 that fails its check is dropped but still uses up its text, as with a regex search followed by a test.
 
+The span of a private key is its BEGIN marker, as in the SQL; ``redact`` goes on to the end of the key behind it.
+
 Defined cases: a null text has no spans and stays null when redacted; an empty text has none; very long texts are read in
 one linear pass; overlapping spans of different kinds are redacted as one; rows are independent of each other.
 """
@@ -10,6 +12,7 @@ one linear pass; overlapping spans of different kinds are redacted as one; rows
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cache
@@ -72,17 +75,40 @@ def spans(text: str) -> list[Span]:
     return found
 
 
+# between the lines of a key: blanks, line ends (also written as \\n), quotes, marks of comments and of joined strings
+_GAP = r"""(?:\\[nrt]|[\s"'`>#*|,;\\]|\+(?=\s))"""
+_LONG = r"[A-Za-z0-9+/=]{16,}+"
+_FIELD = r"(?:Proc-Type|DEK-Info|Content-Domain|Key-Info):[\x20\t]*[A-Za-z0-9-]+(?:,[A-Za-z0-9]+)*"
+#: A key behind its marker: fields and runs of base64, the last run of any length.
+_BODY = re.compile(rf"(?:{_GAP}*(?:{_FIELD}|{_LONG}))+(?:{_GAP}+[A-Za-z0-9+/=]++)?")
+_MARKER = re.compile(r"-----(BEGIN|END)\x20(?:[A-Z]+\x20)*PRIVATE\x20KEY-----")
+
+
+def key_end(text: str, at: int) -> int:
+    """Where the private key ends whose BEGIN marker ends at ``at``.
+
+    Behind its END marker if what lies before that is mostly base64; without one (or with prose before it) behind the base64.
+    """
+    mark = _MARKER.search(text, at)
+    if mark and mark[1] == "END":
+        inside = text[at:mark.start()]
+        if 2 * sum(map(len, re.findall(_LONG, inside))) >= sum(map(len, inside.split())):
+            return mark.end()
+    body = _BODY.match(text, at)
+    return body.end() if body else at
+
+
 def written(found: list[Span]) -> str:
     return ",".join(f"{RULES[r].kind}:{a}:{b}" for a, r, b in found)
 
 
 def cleaned(text: str, mask: str) -> str:
-    """The text with each span (overlapping ones as one) replaced."""
+    """The text with each span (overlapping ones as one, private keys with what follows their marker) replaced."""
     parts, at, ends = [], 0, -1
-    for a, _, b in spans(text):
+    for a, rule, b in spans(text):
         if a >= ends:
             parts += [text[at:a], mask]
-        ends = max(ends, b)
+        ends = max(ends, key_end(text, b) if RULES[rule].kind == "private_key" else b)
         at = ends
     return "".join([*parts, text[at:]]) if parts else text
 
