@@ -2,7 +2,8 @@
 
 defaults -> checks -> features -> scaling -> nearest centroid -> names and
 plans.  Every lookup (centroids, names, plans, scaling numbers) is a literal in
-the projection, so scoring neither joins nor shuffles.
+the projection, so scoring neither joins nor shuffles.  Names and plans of more
+than ``MAX_SEGMENTS`` segments stay a table that is joined.
 """
 
 from __future__ import annotations
@@ -16,13 +17,17 @@ from pyspark.sql import functions as F
 
 from hexcohort import constants as K
 from hexcohort.functions.hexgrid import hex_cell
+from hexcohort.functions.joins import join_small
 from hexcohort.operators.features import mobility_columns, poi_columns, temporal_columns
 from hexcohort.operators.kmeans import assign
 from hexcohort.operators.profile import label_segments
 from hexcohort.operators.quality import request_errors
 from hexcohort.operators.scaling import ScaleModel
-from hexcohort.sources.scratch import small_table
+from hexcohort.sources.scratch import materialize, small_table
 
+#: Segments whose names and plans are inlined; more of them are joined.
+MAX_SEGMENTS = 10_000
+DIMENSION = ("segment_name", "segment_description", "plans")
 ALGORITHMS = ("kmeans", "dbscan", "hdbscan")   # order in which saved models are looked for
 
 
@@ -37,6 +42,7 @@ class Scorer:
     plans: Mapping[int, Sequence[str]] = field(default_factory=dict)
     fill: str = "median"        # or "zero": absent and missing model inputs count as 0
     res: int = 8
+    dimension: DataFrame | None = None      # names, descriptions and plans as a table, where they are too many to inline
 
     def score(self, requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         df = poi_columns(temporal_columns(mobility_columns(fill_defaults(requests), self.median_distance)))
@@ -48,6 +54,8 @@ class Scorer:
         scaled = self.scale.scaled()
         df = assign(df, [scaled[c] for c in self.features], self.centers)
         df = label_segments(df, self.names, self.descriptions, self.plans)
+        if self.dimension is not None:
+            df = joined_labels(df, self.dimension)
         return df.select("subscriber_id", "segment_id", "segment_name", "confidence", "segment_description",
                          "recommended_plans", hex_cell(F.col("home_lat"), F.col("home_lon"), self.res)
                          .alias("h3_home_cell"), *keep)
@@ -61,6 +69,10 @@ class Scorer:
         cen = [(i, [float(v) for v in c]) for i, c in enumerate(self.centers or [])]
         spark.createDataFrame(cen, "segment_id int, centre array<double>") \
             .write.mode("overwrite").parquet(f"{path}/centers_{algorithm}")
+        if self.dimension is not None:
+            # written elsewhere first: it may have been read from the same path
+            materialize(self.dimension, "segments").write.mode("overwrite").parquet(f"{path}/segments")
+            return
         ids = sorted(set(self.names) | set(self.descriptions) | set(self.plans))
         meta = [(i, self.names.get(i), self.descriptions.get(i), self.plans.get(i)) for i in ids]
         spark.createDataFrame(meta, "segment_id int, segment_name string, segment_description string, "
@@ -81,12 +93,32 @@ class Scorer:
             raise FileNotFoundError(f"no saved model below {path}")
         s = spark.read.parquet(f"{path}/settings").first()
         centers = [r["centre"] for r in spark.read.parquet(f"{path}/centers_{found}").orderBy("segment_id").collect()]
-        names, descriptions, plans = metadata(spark.read.parquet(f"{path}/segments"))
         return cls(list(s["features"]), ScaleModel.load(f"{path}/scale"), s["median_distance"], centers or None,
-                   names, descriptions, plans, s["fill"], s["res"])
+                   fill=s["fill"], res=s["res"], **lookups(spark.read.parquet(f"{path}/segments")))
 
 
-def metadata(dim: DataFrame, max_segments: int = 10_000) -> tuple[dict, dict, dict]:
+def lookups(dim: DataFrame) -> dict:
+    """The segment dimension as a scorer takes it: fixed lookups, or a table if there are more than ``MAX_SEGMENTS``."""
+    dim = dim.select("segment_id", *DIMENSION)
+    if small_table(dim.select("segment_id"), MAX_SEGMENTS)[1]:
+        return dict(zip(("names", "descriptions", "plans"), metadata(dim, MAX_SEGMENTS), strict=True))
+    return {"dimension": dim}
+
+
+def joined_labels(df: DataFrame, dim: DataFrame) -> DataFrame:
+    """Names, descriptions and plans from the dimension where it has them; ``df`` holds the fallbacks."""
+    own = [f"{c}_" for c in DIMENSION]
+    dim = dim.dropDuplicates(["segment_id"]).select("segment_id", *[F.col(c).alias(o) for c, o in zip(DIMENSION, own, strict=True)])
+    # the salt of join_small is no expression for a stream
+    df = df.join(dim, "segment_id", "left") if df.isStreaming else join_small(df, dim, "segment_id", max_rows=MAX_SEGMENTS)
+    name, description, plans = own
+    return df.withColumns({
+        "segment_name": F.coalesce(F.nullif(name, F.lit("")), "segment_name"),
+        "segment_description": F.coalesce(F.nullif(description, F.lit("")), "segment_description"),
+        "recommended_plans": F.when(F.size(plans) > 0, F.slice(plans, 1, 3)).otherwise(F.col("recommended_plans"))}).drop(*own)
+
+
+def metadata(dim: DataFrame, max_segments: int = MAX_SEGMENTS) -> tuple[dict, dict, dict]:
     """Names, descriptions and plans by segment id from the (small, checked) segment dimension."""
     rows, fits = small_table(dim.select("segment_id", "segment_name", "segment_description", "plans"), max_segments)
     if not fits:
@@ -123,6 +155,5 @@ def scorer_from(model: PipelineModel, centers: Sequence[Sequence[float]] | None,
     """Scorer from a fitted feature pipeline, centroids and the segment dimension."""
     scale = next(s for s in model.stages if isinstance(s, ScaleModel))
     mobility = next(s for s in model.stages if s.__class__.__name__ == "MobilityModel")
-    names, descriptions, plans = metadata(dim) if dim is not None else ({}, {}, {})
     return Scorer(scale.getOrDefault(scale.columns), scale, mobility.getOrDefault(mobility.medianDistance), centers,
-                  names, descriptions, plans, **kw)
+                  **(lookups(dim) if dim is not None else {}), **kw)

@@ -46,6 +46,22 @@ def test_save_and_load(spark, sample, scorer, tmp_path):
         Scorer.load(spark, str(tmp_path / "none"))
 
 
+def test_many_segments_are_joined(spark, sample, scorer, tmp_path):
+    few = spark.createDataFrame([(0, "Zero", "d0", ["a", "b", "c", "d"]), (1, "", None, [])],
+                                "segment_id int, segment_name string, segment_description string, plans array<string>")
+    many = few.union(spark.range(3, 10_100).selectExpr("cast(id AS int)", "'n' || id", "'d'", "array('p')"))
+    model, _ = fit_features(sample.drop("same_h3_zone"))
+    req = sample.drop("same_h3_zone")
+    want, got = scorer_from(model, scorer.centers, few), scorer_from(model, scorer.centers, many)
+    assert want.score(req).count() == req.count() and got.score(req).exceptAll(want.score(req)).isEmpty()
+    assert got.score(req).count() == req.count()
+    got.save(spark, str(tmp_path / "m"))
+    again = Scorer.load(spark, str(tmp_path / "m"))
+    again.save(spark, str(tmp_path / "m"))
+    assert spark.read.parquet(str(tmp_path / "m/segments")).count() == many.count()
+    assert Scorer.load(spark, str(tmp_path / "m")).score(req).exceptAll(want.score(req)).isEmpty()
+
+
 def test_scoring_plan_has_no_python_join_or_shuffle(spark, sample, scorer):
     plan = scorer.score(sample)._jdf.queryExecution().executedPlan().toString()
     for word in ("BatchEvalPython", "ArrowEvalPython", "Join", "Exchange"):
