@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexcohort.llm import hosts, licenses, mixing, near_dup, packing, quality, repeats, secrets, sql, token_files, vptree
+from hexcohort.llm import (dialogue_sql, hosts, licenses, mixing, near_dup, packing, quality, quality_model, repeats, secrets, sql,
+                           token_files, turn_repair, turn_trie, vptree)
 from hexcohort.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +59,21 @@ def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repaired(turn_repair.damaged(read(spark, sf_dir, "conversations")))
+
+
+def op12_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality_model.scored(docs, quality_model.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.nodes(turn_trie.rebuilt(turn_trie.sequences(read(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_ledger, op2_license_scan, op3_poisson_mixture, op4_cost_packing, op5_secret_scan, op6_token_files,
-    op7_host_reputation, op8_near_duplicates, op9_vantage_points, op10_repeated_windows)}
-SQL: dict[str, str] = sql.SQL
+    op7_host_reputation, op8_near_duplicates, op9_vantage_points, op10_repeated_windows,
+    op11_turn_repair, op12_quality_model, op13_turn_trie)}
+SQL: dict[str, str] = sql.SQL | {"op11_turn_repair": dialogue_sql.OP11, "op13_turn_trie": dialogue_sql.OP13}

@@ -17,7 +17,7 @@ def test_query_matches_sql(spark, name):
     if not os.path.isdir(SF):
         pytest.skip("no test tables here")
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     res = con.execute(SQL[name])
     columns = [d[0] for d in res.description]
