@@ -110,7 +110,7 @@ def hash_words(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
     coded = lists.flatten().dictionary_encode()
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
-    table = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    table = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_numpy(zero_copy_only=False)), np.uint64, len(coded.dictionary))
     words = table[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.empty(0, np.uint64)
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     # an empty text comes out as one empty word

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from hexcohort.llm.common import bound_batches, texts_of
+from hexcohort.llm.common import bound_batches
 from hexcohort.llm.tokens import crc, encoder
 
 SEQUENCE = 1024
@@ -98,7 +98,7 @@ def packed(docs: DataFrame, tokenizer_path: str, end: int, size: int = SEQUENCE,
         first = TaskContext.get().partitionId() << 40
         held, tokens = [], 0
         for b in batches:
-            offsets, ids = pieces_of.encode(texts_of(b.column(1)), end)
+            offsets, ids = pieces_of.encode(b.column(1), end)
             for i, name in enumerate(b.column(0).to_pylist()):
                 at, total = 0, int(offsets[i + 1] - offsets[i])
                 own = ids[offsets[i]:offsets[i + 1]]

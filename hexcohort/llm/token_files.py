@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexcohort.llm.common import bound_batches, texts_of
+from hexcohort.llm.common import bound_batches
 from hexcohort.llm.tokens import crc, encoder, tokenizer
 from hexcohort.sources.scratch import scratch_path
 
@@ -55,7 +55,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end: int, partition
         with (store.open_output_stream(f"{path}.ids") as ids_out, store.open_output_stream(f"{path}.offsets") as offsets_out,
               store.open_output_stream(f"{path}.docs") as docs_out):
             for b in batches:
-                offsets, ids = pieces_of.encode(texts_of(b.column(1)), end)
+                offsets, ids = pieces_of.encode(b.column(1), end)
                 ids_out.write(ids.astype(width).tobytes())
                 offsets_out.write((offsets[:-1] + tokens).astype("<u8").tobytes())
                 names = b.column(0).cast(pa.int64()).fill_null(int(NO_ID))

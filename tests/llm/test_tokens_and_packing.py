@@ -18,7 +18,8 @@ from hexcohort.llm.tokens import PieceEncoder
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 TRICKY = ["  a b  \n\n c d\te  ", "x <|endoftext|> y<|endoftext|>z", "<|startoftext|>a", " lead", "can't 'll it's d'être", "a b  b  ", "e\u0301 \u0301 e",
-          "ÀÉ ß İ ΑΣ Σ", "tail ", "a\u00a0b \u3000 c", "\x1c a \x1d", "1 234 5.6,7", "a\r\nb \r\n c"]
+          "ÀÉ ß İ ΑΣ Σ", "tail ", "a\u00a0b \u3000 c", "\x1c a \x1d", "1 234 5.6,7", "a\r\nb \r\n c", "a \0b", "\0a \0b\0 \0", "\0", "a b \0a b", "<|ENDOFTEXT|> x", "a <|endoftext| b",
+          "a\u2028b \u2009c", "x \x85 y"]
 
 
 def plain_ids(path, texts, end):
@@ -34,7 +35,7 @@ def crc(ids):
 @pytest.mark.parametrize("remembered", [800_000, 3])
 def test_pieces_give_the_ids_of_the_text(path, remembered):
     rng = random.Random(5)
-    alphabet = ["a", "b", "The", " ", " ", "  ", "\n", ".", ",", "'s", "é", "1", "日", "\t", "!!", "🙂"]
+    alphabet = ["a", "b", "The", " ", " ", "  ", "\n", ".", ",", "'s", "é", "1", "日", "\t", "!!", "🙂", "\0"]
     texts = [t or "" for t in ODD] + TRICKY + ["".join(rng.choices(alphabet, k=rng.randint(0, 30))) for _ in range(400)]
     encoder = PieceEncoder(path, remembered)
     for _ in range(2):
