@@ -112,6 +112,7 @@ def test_classes_match_brute_force(spark, docs_of):
 def test_a_large_group_of_near_copies_is_one_class_in_any_blocks(spark, docs_of, monkeypatch):
     monkeypatch.setattr(near_dup, "likely", lambda pairs: pairs.select("a", "b").limit(0))          # the complete comparison alone
     monkeypatch.setattr(near_dup, "BLOCK", 7)
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", 5000)
     rng = random.Random(3)
     base = [f"w{i}" for i in range(150)]
     texts = [edited(rng, base, 1 + i % 2) for i in range(60)] + [" ".join(base)] * 40 + [f"other text {i} with some words" for i in range(5)]
@@ -119,6 +120,51 @@ def test_a_large_group_of_near_copies_is_one_class_in_any_blocks(spark, docs_of,
     assert got == plain_classes(list(enumerate(texts)))
 
 
+def near_copies(n, seed=4):
+    """Texts around the threshold: a hundred words, one to three of them replaced by words of their own; and their links."""
+    rng = random.Random(seed)
+    places = [sorted(rng.sample(range(100), rng.choice([1, 2, 2, 3, 3]))) for _ in range(n)]
+    texts = [" ".join(f"n{i}x{p}" if p in own else f"w{p}" for p in range(100)) for i, own in enumerate(places)]
+    whole = np.array([[not any(p in own for p in range(s, s + 5)) for s in range(96)] for own in places], np.float32)
+    shared = whole @ whole.T                              # shingles without a replaced word are all that two texts share
+    return texts, shared / (192 - shared) >= 0.8
+
+
+def test_many_near_copies_around_the_threshold(spark, docs_of, monkeypatch):
+    texts, linked = near_copies(1500)
+    np.fill_diagonal(linked, False)
+    want = np.arange(len(texts))
+    while True:
+        least = np.minimum(want, np.where(linked, want[None, :], len(texts)).min(axis=1))
+        if (least == want).all():
+            break
+        want = least
+    assert 1 < len(set(want.tolist())) < 1400
+    written = []
+    joining = near_dup.joining
+
+    def counted(held, threshold):
+        links = joining(held, threshold)
+        written.append((links.count(), held.count()))
+        return links
+
+    monkeypatch.setattr(near_dup, "joining", counted)
+    got = {r["id"]: r["class_id"] for r in near_dup.classes(docs_of(texts).repartition(8)).collect()}
+    assert [got[i] for i in range(len(texts))] == want.tolist()
+    assert all(links < members for links, members in written)
+
+
+def test_equal_ids_with_other_texts_clashing_names_and_long_texts(spark, docs_of):
+    long = " ".join(f"w{i % 977}x{i % 1009}" for i in range(60_000))
+    df = docs_of([(1, "one text with quite a few words"), (1, "entirely different content under the same name"), (1, "One text WITH quite a few  words"),
+                  (2, long), (3, long + " end"), (4, "entirely different content under the same name")])
+    odd = df.selectExpr("*", "1 AS kept_id", "2 AS kept_id_", "3 AS words", "4 AS id", "5 AS digest", "6 AS class_id")
+    left = near_dup.distinct_documents(odd)
+    assert left.columns == odd.columns
+    texts = sorted((r["doc_id"], " ".join((r["text"] or "").lower().split())) for r in left.collect())
+    assert texts == sorted([(1, "one text with quite a few words"), (1, "entirely different content under the same name"), (2, long)])
+
+
 def test_rows_without_words_or_ids_and_empty_tables(spark, docs_of):
     df = docs_of([(1, None), (2, ""), (3, " \n"), (None, "some words are here now"), (5, "some words are here now"), (5, "some words are here now"),
                   (6, "Some words ARE here now")])
