@@ -42,111 +42,212 @@ class Segmentation:
         return near.withColumn(label, (F.array_position("off_", F.array_min("off_")) - 1).cast("int")).drop("off_")
 
 
-def _first_centers(vectors: DataFrame, k: int, seeds: Sequence[int]) -> dict[int, np.ndarray]:
-    """k-means++ over all rows, once per seed: every pass draws the next centroid of each seed.
+#: Rounds of oversampling, and rows drawn in each: at least so many, and so many per centroid.
+ROUNDS, DRAWN, DRAWN_PER_K = 4, 64, 16
 
-    Equal vectors fold to one with a count.  A vector of weight ``count x squared distance`` gets an exponential number
-    divided by its weight, and the smallest one is drawn: that has k-means++'s chances, needs one candidate per task and
-    seed, and does not depend on how rows are spread.  The first ``j`` centroids are those of a search for ``j``.
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+
+
+def _squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return np.maximum((x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1), 0)
+
+
+def _exponentials(code: np.ndarray, number: int) -> np.ndarray:
+    """One exponential number per 64-bit code; another one for each ``number``."""
+    x = code ^ (np.uint64((number + 1) * 0x9E3779B97F4A7C15 % 2 ** 64))
+    for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(m)
+    x = x ^ (x >> np.uint64(33))
+    return -np.log(((x >> np.uint64(12)) + 0.5) * 2.0 ** -52)
+
+
+def _candidates(folded: DataFrame, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """k-means||: candidates for first centroids drawn from all rows, and the number of rows nearest to each.
+
+    ``folded(x, n, code)`` holds distinct vectors with their counts.  A vector of weight ``n x squared distance`` to the
+    candidates so far gets an exponential number divided by its weight; those with the smallest ones are drawn.  That draws
+    by weight without a pass for the sum of weights, and does not depend on how rows are spread.  One pass for the first
+    candidate, ``ROUNDS`` for the others and one for the counts, whatever ``k``; the driver gets the drawn rows only.
     """
-    folded = (vectors.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("n"))
-              .select("x", "n", F.xxhash64("x").alias("code")).persist(StorageLevel.MEMORY_AND_DISK))
-    drawn: dict[int, list[list[float]]] = {s: [] for s in seeds}
+    context, ell = folded.sparkSession.sparkContext, max(DRAWN, DRAWN_PER_K * k)
+    found = np.empty((0, 0))
+    for step in range(ROUNDS + 1):
+        shared, wanted = context.broadcast(found), ell if step else 1
+
+        def run(batches: Iterator[pa.RecordBatch], step: int = step, shared=shared, wanted: int = wanted) -> Iterator[pa.RecordBatch]:
+            keys, rows = np.empty(0), None
+            for b in batches:
+                if b.num_rows:
+                    x, weight = _matrix(b), b.column(1).to_numpy()
+                    if len(shared.value):
+                        near = _squared(x, shared.value).min(1)
+                        weight = weight * np.where(near > 1e-12 * (x * x).sum(1), near, 0)
+                    with np.errstate(divide="ignore"):
+                        key = _exponentials(b.column(2).to_numpy().view(np.uint64), seed * 100_003 + step) / weight
+                    keys, rows = np.concatenate([keys, key]), x if rows is None else np.concatenate([rows, x])
+                    least = np.argsort(keys, kind="stable")[:wanted]
+                    least = least[np.isfinite(keys[least])]
+                    keys, rows = keys[least], rows[least]
+            if len(keys):
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(rows.tolist(), pa.list_(pa.float64()))], names=["key", "x"])
+
+        drawn = folded.mapInArrow(run, "key double, x array<double>").orderBy("key", "x").limit(wanted).collect()
+        shared.destroy()
+        if not drawn:
+            break           # every vector is a candidate
+        more = np.array([r["x"] for r in drawn])
+        found = np.concatenate([found, more]) if len(found) else more
+    shared = context.broadcast(found)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(len(shared.value))
+        for b in batches:
+            if b.num_rows:
+                held += np.bincount(_squared(_matrix(b), shared.value).argmin(1), b.column(1).to_numpy(), minlength=len(held))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(held))), pa.array(held)], names=["at", "n"])
 
-    def draws(code: np.ndarray, number: int) -> np.ndarray:
-        """One exponential number per 64-bit code; another one for each ``number``."""
-        x = code ^ (np.uint64((number + 1) * 0x9E3779B97F4A7C15 % 2 ** 64))
-        for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
-            x = (x ^ (x >> np.uint64(33))) * np.uint64(m)
-        x = x ^ (x >> np.uint64(33))
-        return -np.log(((x >> np.uint64(12)) + 0.5) * 2.0 ** -52)
+    counts = folded.mapInArrow(count, "at long, n double").groupBy("at").agg(F.sum("n").alias("n")).collect()      # one row per candidate
+    shared.destroy()
+    weights = np.zeros(len(found))
+    for r in counts:
+        weights[r["at"]] = r["n"]
+    return found, weights
+
+
+def _start(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Weighted k-means++ over the candidates, then Lloyd steps over them until they settle."""
+    rng = np.random.default_rng(seed)
+    centers = points[[rng.choice(len(points), p=weights / weights.sum())]]
+    for _ in range(min(k, len(points)) - 1):
+        chance = weights * _squared(points, centers).min(1)
+        at = rng.choice(len(points), p=chance / chance.sum()) if chance.sum() > 0 else rng.integers(len(points))
+        centers = np.concatenate([centers, points[[at]]])
+    for _ in range(100):
+        near = _squared(points, centers).argmin(1)
+        n = np.bincount(near, weights, minlength=len(centers))
+        sums = np.zeros_like(centers)
+        np.add.at(sums, near, points * weights[:, None])
+        moved = np.where(n[:, None] > 0, sums / np.maximum(n, 1e-300)[:, None], centers)
+        if np.allclose(moved, centers, rtol=0, atol=1e-9):
+            break
+        centers = moved
+    return centers
 
-    try:
-        for step in range(k):
-            shared = vectors.sparkSession.sparkContext.broadcast({s: np.array(c) for s, c in drawn.items()})
-
-            def run(batches: Iterator[pa.RecordBatch], step: int = step, shared=shared) -> Iterator[pa.RecordBatch]:
-                best: dict[int, tuple[float, list[float]]] = {}
-                for b in batches:
-                    if not b.num_rows:
-                        continue
-                    x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-                    n, code = b.column(1).to_numpy(), b.column(2).to_numpy().view(np.uint64)
-                    for s, centers in shared.value.items():
-                        weight = n.copy()
-                        if len(centers):
-                            weight *= np.min([((x - c) ** 2).sum(1) for c in centers], axis=0)
-                        with np.errstate(divide="ignore"):
-                            key = draws(code, s * 100_003 + step) / weight      # infinite where a centroid is already
-                        at = int(key.argmin())
-                        best[s] = min(best.get(s, (np.inf, x[at].tolist())), (float(key[at]), x[at].tolist()))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(list(best), pa.int64()), pa.array([v for v, _ in best.values()], pa.float64()),
-                    pa.array([x for _, x in best.values()], pa.list_(pa.float64()))], names=["seed", "key", "x"])
-
-            found = folded.mapInArrow(run, "seed long, key double, x array<double>").groupBy("seed").agg(F.min(F.struct("key", "x")).alias("m"))
-            for r in found.collect():           # one row per seed
-                drawn[r["seed"]].append(list(r["m"]["x"]))
-            shared.destroy()
-    finally:
-        folded.unpersist()
-    return {s: np.array(c) for s, c in drawn.items()}
+
+#: Bytes of distinct vectors up to which a start takes its steps inside one task.
+IN_TASK = 64 << 20
+
+
+def _folded_step(x: np.ndarray, n: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Per centroid the sum of its rows, their number and their cost."""
+    off = _squared(x, centers)
+    near = off.argmin(1)
+    member = np.eye(len(centers))[near]
+    return np.concatenate([member.T @ (x * n[:, None]), (member.T @ n)[:, None], (member.T @ (n * off[np.arange(len(x)), near]))[:, None]], axis=1)
+
+
+def _moved(sums: np.ndarray, old: np.ndarray) -> np.ndarray:
+    """New centroids; an empty cluster stays where it is."""
+    n = sums[:, -2:-1]
+    return np.where(n > 0, sums[:, :-2] / np.maximum(n, 1e-300), old)
 
 
-def _pass(vectors: DataFrame, starts: dict[int, np.ndarray], width: int) -> dict[int, tuple[np.ndarray, float]]:
+def _off(a: np.ndarray, b: np.ndarray) -> float:
+    return float(np.sqrt(((a - b) ** 2).sum(1)).max())
+
+
+def _walk_in_tasks(folded: DataFrame, starts: dict[int, np.ndarray], width: int, max_iter: int, tol: float) -> dict[int, np.ndarray]:
+    """Where each start settles; the (few) vectors go to one task per start, which takes all its steps.
+
+    The same steps as in ``_walk_together``, without a pass over the cluster for each.
+    """
+    first = {s: c.tolist() for s, c in starts.items()}           # starts x k x features numbers
+
+    def run(group: pa.Table) -> pa.Table:
+        s = group.column("start")[0].as_py()
+        x = group.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        n, centers = group.column("n").to_numpy(), np.array(first[s])
+        for _ in range(max_iter):
+            old, centers = centers, _moved(_folded_step(x, n, centers), centers)
+            if _off(old, centers) <= tol:
+                break
+        return pa.table({"start": pa.array([s], pa.int64()), "centers": pa.array([centers.tolist()], pa.list_(pa.list_(pa.float64())))})
+
+    spread = folded.select("x", "n", F.explode(F.array(*[F.lit(s).cast("long") for s in first])).alias("start"))
+    ends = spread.groupBy("start").applyInArrow(run, "start long, centers array<array<double>>").collect()      # one row per start
+    return {r["start"]: np.array(r["centers"]) for r in ends}
+
+
+def _walk_together(folded: DataFrame, starts: dict[int, np.ndarray], width: int, max_iter: int, tol: float) -> dict[int, np.ndarray]:
+    """Where each start settles; all starts move together, a pass over all rows per step.
+
+    A start that has come to where another one with as many centroids is goes the same way from there, and is dropped.
+    """
+    moving, settled = starts, {}
+    for _ in range(max_iter):
+        alone: dict[int, np.ndarray] = {}
+        for s, centers in moving.items():
+            if not _meets(centers, [c for c in (*alone.values(), *settled.values()) if len(c) == len(centers)], tol):
+                alone[s] = centers
+        if not alone:
+            return settled
+        moving = {}
+        for s, (centers, _) in _pass(folded, alone, width).items():
+            (settled if _off(centers, alone[s]) <= tol else moving)[s] = centers
+    return settled | moving
+
+
+def _pass(folded: DataFrame, starts: dict[int, np.ndarray], width: int) -> dict[int, tuple[np.ndarray, float]]:
     """One Lloyd step of every start in a single pass over all rows: new centroids, and the cost of the old ones."""
-    shared = vectors.sparkSession.sparkContext.broadcast(starts)      # starts x k x features numbers
+    shared = folded.sparkSession.sparkContext.broadcast(starts)      # starts x k x features numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         sums = {s: np.zeros((len(c), width + 2)) for s, c in own.items()}
         for b in batches:
-            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            xx, rows = (x * x).sum(1), np.concatenate([x, np.ones((len(x), 1))], axis=1)
-            for s, c in own.items():
-                off = np.maximum(xx[:, None] - 2 * x @ c.T + (c * c).sum(1), 0)
-                near = off.argmin(1)
-                member = np.eye(len(c))[near]
-                sums[s][:, :-1] += member.T @ rows
-                sums[s][:, -1] += member.T @ off[np.arange(len(x)), near]
+            if b.num_rows:
+                x, n = _matrix(b), b.column(1).to_numpy()
+                for s, c in own.items():
+                    sums[s] += _folded_step(x, n, c)
         for s, m in sums.items():
             yield pa.RecordBatch.from_pydict({"start": [s] * len(m), "cluster": list(range(len(m))), "m": m.tolist()})
 
-    parts = vectors.mapInArrow(run, "start long, cluster long, m array<double>")
+    parts = folded.mapInArrow(run, "start long, cluster long, m array<double>")
     cells = parts.groupBy("start", "cluster").agg(F.array(*[F.sum(F.col("m")[i]) for i in range(width + 2)]).alias("m")).collect()
     shared.destroy()
-    out: dict[int, tuple[np.ndarray, float]] = {}
-    for s, old in starts.items():
-        centers, cost = old.copy(), 0.0
-        for r in cells:
-            if r["start"] == s:
-                cost += r["m"][-1]
-                if r["m"][-2] > 0:          # an empty cluster stays where it is
-                    centers[r["cluster"]] = np.array(r["m"][:-2]) / r["m"][-2]
-        out[s] = centers, cost
-    return out
+    sums = {s: np.zeros((len(c), width + 2)) for s, c in starts.items()}
+    for r in cells:
+        sums[r["start"]][r["cluster"]] = r["m"]
+    return {s: (_moved(m, starts[s]), float(m[:, -1].sum())) for s, m in sums.items()}
+
+
+def _meets(centers: np.ndarray, others: list[np.ndarray], tol: float) -> bool:
+    """Whether the centroids, in any order, are where those of another start are."""
+    for o in others:
+        off = _squared(centers, o)
+        near = off.argmin(1)
+        if len(set(near.tolist())) == len(o) and off.min(1).max() <= tol * tol:
+            return True
+    return False
 
 
 def _fit(vectors: DataFrame, ks: Sequence[int], n_init: int, max_iter: int, seed: int, tol: float, features: str) -> dict[int, Segmentation]:
-    """The best of ``n_init`` starts for each k; all starts of all k move together, a pass per step."""
+    """The best of ``n_init`` starts for each k."""
     plan = [(k, i) for k in ks for i in range(n_init)]
-    first = _first_centers(vectors, max(ks), [seed + i for i in range(n_init)])
-    width = first[seed].shape[1]
-    starts = {s: first[seed + i][:k] for s, (k, i) in enumerate(plan)}
-    settled: dict[int, np.ndarray] = {}
-    for _ in range(max_iter):
-        if not starts:
-            break
-        moved = _pass(vectors, starts, width)
-        still = {}
-        for s, (centers, _) in moved.items():
-            if np.sqrt(((centers - starts[s]) ** 2).sum(1)).max() <= tol:
-                settled[s] = centers
-            else:
-                still[s] = centers
-        starts = still
-    settled |= starts
-    costs = {s: cost for s, (_, cost) in _pass(vectors, settled, width).items()}
+    folded = (vectors.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("n"))
+              .select("x", "n", F.xxhash64("x").alias("code")).persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        points, weights = _candidates(folded, max(ks), seed)
+        width = points.shape[1]
+        starts = {s: _start(points, weights, k, seed + i) for s, (k, i) in enumerate(plan)}
+        whole = folded.count() * (width + 1) * 8
+        walk = _walk_in_tasks if whole <= IN_TASK else _walk_together
+        settled = walk(folded, starts, width, max_iter, tol)
+        costs = {s: cost for s, (_, cost) in _pass(folded, settled, width).items()}
+    finally:
+        folded.unpersist()
     found = {}
     for k in ks:
         best = min((s for s in settled if plan[s][0] == k), key=lambda s: (costs[s], s))
@@ -161,9 +262,10 @@ def _stored(df: DataFrame, features: str) -> DataFrame:
 def fit_kmeans(df: DataFrame, k: int = K.KMEANS_PARAMS["n_clusters"], n_init: int = K.KMEANS_PARAMS["n_init"],
                max_iter: int = K.KMEANS_PARAMS["max_iter"], seed: int = K.KMEANS_PARAMS["seed"],
                features: str = "features", tol: float = TOLERANCE) -> Segmentation:
-    """Lloyd's iteration over all rows from ``n_init`` k-means++ starts; the one with the lowest cost wins.
+    """Lloyd's iteration over all rows from ``n_init`` starts; the one with the lowest cost wins.
 
-    Seeding and everything after use every row.
+    Starts are k-means++ draws, re-clustered, from the weighted candidates of k-means||; seeding and everything after use
+    every row.  Equal rows are one with a count.
     """
     vectors = _stored(df, features)
     try:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,6 +103,24 @@ def kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
     return fit_kmeans(table).transform(table).select("subscriber_id", "segment_id")
 
 
+@query("kmeans_fixed_point", Q.sub() + "SELECT count(*) AS n_rows, 7 AS n_segments, 0 AS n_nearer_elsewhere FROM sub")
+def kmeans_fixed_point(spark: SparkSession, sf: str) -> DataFrame:
+    """What any k-means result has to be: every row with the mean that is nearest to it, and no segment empty.
+
+    Means and distances are computed anew from the labels.
+    """
+    _, table = fit_features(stored_subscribers(spark, sf).drop("segment_id"))
+    table = materialize(table, "features")
+    labelled = fit_kmeans(table).transform(table).select("subscriber_id", "segment_id", vector_to_array("features").alias("x"))
+    width = labelled.select(F.size("x")).first()[0]
+    means = labelled.groupBy("segment_id").agg(F.array(*[F.avg(F.col("x")[i]) for i in range(width)]).alias("m")).orderBy("segment_id").collect()
+    off = [F.sqrt(F.aggregate(F.zip_with("x", F.array(*map(F.lit, r["m"])), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, v: t + v)) for r in means]
+    rows = labelled.withColumn("off", F.array(*off))
+    elsewhere = F.col("off")[F.col("segment_id")] > F.array_min("off") + 1e-3
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("segment_id").cast("int").alias("n_segments"),
+                    F.count_if(elsewhere).cast("int").alias("n_nearer_elsewhere"))
+
+
 @query("tune_k")
 def search_k(spark: SparkSession, sf: str) -> DataFrame:
     _, table = fit_features(stored_subscribers(spark, sf).drop("segment_id"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from hexcohort.operators import kmeans
 from hexcohort.operators.components import connected_components
 from hexcohort.operators.dbscan import dbscan, hdb_flat
 from hexcohort.operators.kmeans import assign, fit_kmeans, pca_2d, tune_k
@@ -73,6 +74,27 @@ def test_kmeans_seeds_come_from_all_rows(spark):
         assert np.allclose(fit_kmeans(df.repartition(13), k, n_init=3).centers, seg.centers, atol=1e-9)
 
 
+def test_kmeans_steps_in_one_task_and_by_passes_end_alike(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    x = np.vstack([r.normal(0, 1, (900, 6)), r.normal(1.5, 1, (500, 6)), np.repeat(r.normal(0, 2, (1, 6)), 600, axis=0)])
+    df = spark.createDataFrame(pd.DataFrame(x, columns=list("abcdef"))).select(array_to_vector(F.array(*"abcdef")).alias("features"))
+    small = fit_kmeans(df, 5, n_init=4)
+    monkeypatch.setattr(kmeans, "IN_TASK", 0)
+    passes = []
+    one_pass = kmeans._pass
+    monkeypatch.setattr(kmeans, "_pass", lambda *a: passes.append(1) or one_pass(*a))
+    large = fit_kmeans(df.repartition(5), 5, n_init=4)
+    assert passes and np.allclose(small.centers, large.centers, atol=1e-6) and small.inertia == pytest.approx(large.inertia)
+    distances = ((x[:, None] - np.array(small.centers)[None]) ** 2).sum(-1)
+    assert distances.min(1).sum() == pytest.approx(small.inertia)
+    assert np.allclose([x[distances.argmin(1) == i].mean(0) for i in range(5)], small.centers, atol=1e-3)
+
+
+def test_kmeans_with_fewer_distinct_rows_than_centroids(spark):
+    df = spark.createDataFrame([(0.0,)] * 30 + [(4.0,)] * 5, "a double").select(array_to_vector(F.array("a")).alias("features"))
+    assert sorted({c[0] for c in fit_kmeans(df, 3, n_init=2).centers}) == [0.0, 4.0]
+
+
 def test_without_centroids_segment_is_zero(four):
     r = assign(four, [F.col("f0")], None, "s").first()
     assert r["s"] == 0 and r["confidence"] == 0.75
