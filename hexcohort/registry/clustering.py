@@ -12,6 +12,7 @@ from hexcohort.functions.joins import join_small
 from hexcohort.operators import metrics
 from hexcohort.operators.dbscan import dbscan, hdb_flat, project_km
 from hexcohort.operators.kmeans import fit_kmeans, pca_2d, tune_k
+from hexcohort.operators.metric import dbscan_metric
 from hexcohort.operators.profile import segment_dimension
 from hexcohort.plans.feature_pipeline import fit_features
 from hexcohort.plans.scoring import Scorer, scorer_from
@@ -172,6 +173,28 @@ def hdb(spark: SparkSession, sf: str) -> DataFrame:
     return join_small(found, sizes, "segment_id").select("subscriber_id", F.coalesce("n", F.lit(-1)).alias("cluster_size"))
 
 
+# Density clustering of the 35 scaled features.
+_WIDE_EPS, _WIDE_MIN = 5.5, 10
+_WIDE = {**Q.feature_ctes(),
+         "nb": "SELECT a.subscriber_id AS i, b.subscriber_id AS j FROM scaled a JOIN scaled b ON sqrt("
+               + "+".join(f"(a.s_{c}-b.s_{c})*(a.s_{c}-b.s_{c})" for c in Q.FEATURES35) + f") <= {_WIDE_EPS}",
+         "core": f"SELECT i FROM nb GROUP BY i HAVING count(*) >= {_WIDE_MIN}",
+         "ok": "SELECT DISTINCT nb.i FROM nb JOIN core ON nb.j = core.i",
+         "ce": "SELECT nb.i, nb.j FROM nb JOIN core a ON a.i = nb.i JOIN core b ON b.i = nb.j"}
+
+
+@query("dbscan_features", "WITH RECURSIVE " + Q.sub(**_WIDE)[5:] + ", cc(i, root) AS (SELECT i, i FROM core UNION SELECT ce.j, cc.root FROM cc JOIN ce ON ce.i = cc.i WHERE ce.j >= cc.root), "
+       "comp AS (SELECT i, min(root) AS c FROM cc GROUP BY 1) "
+       "SELECT s.subscriber_id, ok.i IS NULL AS is_noise, (SELECT count(DISTINCT c) FROM comp) AS n_clusters FROM scaled s LEFT JOIN ok ON ok.i = s.subscriber_id")
+def dbscan_features(spark: SparkSession, sf: str) -> DataFrame:
+    _, table = fit_features(stored_subscribers(spark, sf))
+    x, width = vector_to_array("features"), len(Q.FEATURES35)
+    columns = table.select("subscriber_id", *[x[i].alias(f"f{i}") for i in range(width)])
+    found = materialize(dbscan_metric(materialize(columns, "features"), [f"f{i}" for i in range(width)], _WIDE_EPS, _WIDE_MIN), "clusters")
+    n = found.agg((F.coalesce(F.max("segment_id"), F.lit(-1)) + 1).cast("long").alias("n")).first()["n"]
+    return found.select("subscriber_id", (F.col("segment_id") < 0).alias("is_noise"), F.lit(n).cast("long").alias("n_clusters"))
+
+
 # --- scoring with centroids taken from the given labels -----------------------------
 def labelled_scorer(spark: SparkSession, sf: str) -> Scorer:
     """Feature numbers, per-segment centroids and segment metadata learned from the labelled table."""
