@@ -2,53 +2,84 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexcohort.functions.expr import argmax_label, rnd
+from hexcohort.functions.expr import rnd
+from hexcohort.sources.scratch import small_table
 
 
-def segment_ids(df: DataFrame, segment: str = "segment_id") -> list[int]:
-    """The labels in use, noise left out, ascending."""
-    rows = df.filter(F.col(segment) >= 0).select(segment).distinct().orderBy(segment).collect()
-    return [r[0] for r in rows]
+#: Labels up to which the wide form has a column for each.
+WIDE = 1000
 
 
-def _entropy(parts: list, total):
-    def term(n):
-        p = n / total
-        return F.when(n > 0, p * F.ln(p + F.lit(1e-10))).otherwise(F.lit(0.0))
+def cell_shares(df: DataFrame, cell: str = "home_h3", segment: str = "segment_id", min_subs: int = 5,
+                segments: Sequence[int] | None = None) -> DataFrame:
+    """Size, dominant segment, means, segment entropy and ``shares`` (a map by label) per cell, for any number of labels.
+
+    Rows fold to one per (cell, label) before they are shuffled, and these to one per cell; the plan does not grow with the
+    labels.  Noise (negative labels) and rows without cell are left out; the smallest label wins a tie.  ``segments`` limits
+    which labels are looked at, in the order in which they win ties; sizes and means still cover all.
+    """
+    means = {"m_charges": "monthly_charges", "m_data": "data_usage_gb", "m_rsrq": "home_zone_rsrq"}
+    folded = (df.filter((F.col(segment) >= 0) & F.col(cell).isNotNull()).groupBy(cell, F.col(segment).cast("int").alias("label_"))
+              .agg(F.count(F.lit(1)).alias("n_"), *[F.sum(c).alias(f"s_{m}") for m, c in means.items()],
+                   *[F.count(c).alias(f"c_{m}") for m, c in means.items()]))
+    cells = (folded.groupBy(cell).agg(
+        F.sum("n_").alias("n_subscribers"), *[F.try_divide(F.sum(f"s_{m}"), F.sum(f"c_{m}")).alias(m) for m in means],
+        F.array_sort(F.collect_list(F.struct(F.col("label_").alias("label"), F.col("n_").cast("double").alias("n")))).alias("parts"))
+        .filter(F.col("n_subscribers") >= min_subs))
+    total, best, one = F.col("n_subscribers").cast("double"), F.col("parts"), F.lit(None).cast("int")
+    if segments is not None:
+        wanted = F.array(*[F.lit(int(k)) for k in segments])
+        cells = cells.withColumn("parts", F.filter("parts", lambda e: F.array_contains(wanted, e["label"])))
+        best, one = F.transform("parts", lambda e: F.struct((-e["n"]).alias("n"), F.array_position(wanted, e["label"]).alias("at"), e["label"].alias("label"))), F.lit(segments[0])
+    else:
+        best = F.transform("parts", lambda e: F.struct((-e["n"]).alias("n"), F.lit(0).alias("at"), e["label"].alias("label")))
+
+    def term(e):
+        p = e["n"] / total
+        return p * F.ln(p + F.lit(1e-10))
+
+    entropy = -F.aggregate("parts", F.lit(0.0), lambda t, e: t + term(e)) + F.lit(0.0)
+    return cells.select(
+        cell, "n_subscribers", F.coalesce(F.array_min(best)["label"], one).cast("int").alias("dominant_segment"),
+        rnd(F.col("m_charges"), 2).alias("avg_monthly_charges"), rnd(F.col("m_data"), 2).alias("avg_data_usage_gb"),
+        rnd(F.col("m_rsrq"), 2).alias("avg_rsrq"), entropy.alias("segment_entropy"),
+        F.map_from_entries(F.transform("parts", lambda e: F.struct(e["label"], rnd(e["n"] / total, 3)))).alias("shares"))
 
-    return -reduce(lambda a, b: a + b, [term(n) for n in parts]) + F.lit(0.0)
+
+def segment_ids(df: DataFrame, segment: str = "segment_id", most: int = WIDE) -> list[int]:
+    """The labels in use, noise left out, ascending; at most ``most`` reach the driver."""
+    rows, fits = small_table(df.filter(F.col(segment) >= 0).select(segment).distinct(), most)
+    if not fits:
+        raise ValueError(f"more than {most} labels: use cell_shares, which has them in a map")
+    return sorted(r[0] for r in rows)
 
 
 def segment_density(df: DataFrame, cell: str = "home_h3", segment: str = "segment_id", min_subs: int = 5,
                     segments: list[int] | None = None) -> DataFrame:
-    """Size, dominant segment, means, segment entropy and shares per cell.
+    """``cell_shares`` with a column of shares per label (``pct_seg_0`` ...)."""
+    ids = (segments if segments is not None else segment_ids(df, segment)) or [0]   # no label: no rows, same shape
+    wide = cell_shares(df, cell, segment, min_subs, ids)
+    return wide.select(*[c for c in wide.columns if c != "shares"],
+                       *[F.coalesce(F.try_element_at("shares", F.lit(int(k))), F.lit(0.0)).alias(f"pct_seg_{k}") for k in ids])
+
 
-    Everything comes from one grouped aggregation over per-segment counts: one
-    shuffle of partially folded rows, whatever share of them one cell holds.
+def distinct_sketches(df: DataFrame, partition: Sequence[str], column: str, lg_k: int = 14) -> DataFrame:
+    """``(*partition, sketch)``: a HyperLogLog sketch of the column's values per partition (a refresh, a cell ...).
+
+    Sketches are a few kilobytes whatever they counted, and are merged by ``distinct_over``.  The relative standard error is
+    ``1.04 / sqrt(2 ** lg_k)``, 0.8 % at 14; nulls do not count.
     """
-    ids = (segments if segments is not None else segment_ids(df, segment)) or [0]   # no label: no rows, same shape
-    counted = (
-        df.filter((F.col(segment) >= 0) & F.col(cell).isNotNull())
-        .groupBy(cell)
-        .agg(F.count(segment).alias("n_subscribers"),
-             F.avg("monthly_charges").alias("m_charges"), F.avg("data_usage_gb").alias("m_data"),
-             F.avg("home_zone_rsrq").alias("m_rsrq"),
-             *[F.count_if(F.col(segment) == k).cast("double").alias(f"n_{k}") for k in ids])
-        .filter(F.col("n_subscribers") >= min_subs)
-    )
-    total = F.col("n_subscribers").cast("double")
-    parts = [F.col(f"n_{k}") for k in ids]
-    dominant = argmax_label([(str(k), F.col(f"n_{k}")) for k in ids]) if len(ids) > 1 else F.lit(str(ids[0]))
-    return counted.select(
-        cell, "n_subscribers", dominant.cast("int").alias("dominant_segment"),
-        rnd(F.col("m_charges"), 2).alias("avg_monthly_charges"), rnd(F.col("m_data"), 2).alias("avg_data_usage_gb"),
-        rnd(F.col("m_rsrq"), 2).alias("avg_rsrq"), _entropy(parts, total).alias("segment_entropy"),
-        *[rnd(F.col(f"n_{k}") / total, 3).alias(f"pct_seg_{k}") for k in ids])
+    return df.groupBy(*partition).agg(F.hll_sketch_agg(F.col(column).cast("string"), lg_k).alias("sketch"))
+
+
+def distinct_over(sketches: DataFrame, keys: Sequence[str] = (), name: str = "n_distinct") -> DataFrame:
+    """Distinct values over all partitions of ``sketches`` that share ``keys``, without the rows they came from."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name))
 
 
 def group_entropy(df: DataFrame, group: str, category: str, name: str = "entropy") -> DataFrame:

@@ -14,6 +14,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -25,6 +27,7 @@ from hexcohort.functions.expr import rnd
 from hexcohort.functions.joins import join_small
 from hexcohort.operators.moments import complete_moments, with_totals
 from hexcohort.operators.sampling import hash_sample
+from hexcohort.sources.scratch import materialize
 
 
 def _sum(terms) -> Column:
@@ -68,28 +71,104 @@ def centroids(df: DataFrame, features: Sequence[str], label: str = "segment_id")
     return _valid(df, label).groupBy(label).agg(vector_to_array(Summarizer.mean(vec)).alias("centre"))
 
 
-def davies_bouldin(df: DataFrame, features: Sequence[str], label: str = "segment_id",
-                   blocks: int = 8) -> DataFrame:
-    """Mean over clusters of the worst (spread_i + spread_j) / distance(centroid_i, centroid_j).
+#: Pivots, as the square root of the clusters allows, and clusters of a block.
+DB_PIVOTS, DB_BLOCK = 512, 1024
+#: Spreads of one class are within a factor of two of each other.
+CLASSES = 64
 
-    Cluster pairs meet through an equi-join on blocks, so many clusters spread
-    over tasks as well.
-    """
-    def items(c: str) -> list[Column]:
-        return [F.col(c)[i] for i in range(len(features))]
 
+def _gaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances by plain differences, a dimension at a time."""
+    d = np.zeros((len(x), len(y)))
+    for k in range(x.shape[1]):
+        d += (x[:, k][:, None] - y[:, k][None, :]) ** 2
+    return np.sqrt(d)
+
+
+def _worst(ids: np.ndarray, c: np.ndarray, s: np.ndarray, other_ids: np.ndarray, other_c: np.ndarray, other_s: np.ndarray) -> np.ndarray:
+    """For each cluster the largest (spread + spread) / distance to one of the others; coincident centroids count as 0."""
+    d = _gaps(c, other_c)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.where((d > 0) & (ids[:, None] != other_ids[None, :]), (s[:, None] + other_s[None, :]) / d, 0.0)
+    return ratio.max(axis=1, initial=0.0)
+
+
+def worst_ratios(spread: DataFrame, label: str, block: int = DB_BLOCK) -> DataFrame:
+    """``(label, r, compared)``: each cluster's worst ratio among all clusters of ``spread(label, spread, centre)``.
+
+    A bounded number of clusters are pivots; each cluster belongs to the cell of its nearest one,
+    which is split by the power of two of the spread.  Its ratio to the pivots is
+    a lower bound ``r`` of its worst one, so only clusters nearer than ``(s_i + s_j) / r`` can be worse.  By the triangle
+    inequality a whole cell is too far if its pivot is farther than that plus the cell's radius, or if half the difference of
+    the distances to both pivots is; ``s_j`` is at most the cell's largest spread.  What is left is compared block by block.
+    """
+    table = materialize(spread.select(F.col(label).cast("long").alias("i"), "spread", "centre").withColumn("centre", F.col("centre").cast("array<double>")), "spreads")
+    k = table.count()
+    near = table.orderBy(F.xxhash64("i"), "i").limit(int(min(DB_PIVOTS, max(1, 3 * k ** 0.5)))).collect()         # bounded
+    p_id, p_s = np.array([r["i"] for r in near], np.int64), np.array([r["spread"] for r in near], float)
+    p_c = np.array([r["centre"] for r in near], float)
+
+    def columns(b: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        centre = b.column("centre")
+        centre = centre.combine_chunks() if isinstance(centre, pa.ChunkedArray) else centre
+        return (b.column("i").to_numpy(), centre.flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1), b.column("spread").to_numpy())
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                ids, c, s = columns(b)
+                d = _gaps(c, p_c)
+                pivot = d.argmin(1)
+                cell = pivot * CLASSES + np.clip(np.frexp(s)[1] + CLASSES // 2, 0, CLASSES - 1)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell, pa.int64()), pa.array(d[np.arange(len(c)), pivot]), pa.array(_worst(ids, c, s, p_id, p_c, p_s))],
+                                                 names=["i", "spread", "centre", "cell", "own", "r"])
+
+    placed = materialize(table.mapInArrow(place, "i long, spread double, centre array<double>, cell long, own double, r double"), "placed")
+    cells = placed.groupBy("cell").agg(F.max("own").alias("radius"), F.max("spread").alias("top"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("mb"))
+    held = {r["cell"]: (r["radius"], r["top"]) for r in cells.collect()}            # pivots x classes at most
+    c_at = np.array(sorted(held), np.int64)
+    c_rad, c_top = (np.array([held[c][j] for c in c_at.tolist()], float) for j in (0, 1))
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                _, c, s = columns(b)
+                own, r = b.column("own").to_numpy(), b.column("r").to_numpy()
+                d = _gaps(c, p_c[c_at // CLASSES])
+                with np.errstate(divide="ignore"):
+                    reach = (s[:, None] + c_top[None]) / r[:, None]
+                least = np.maximum(d - c_rad[None], (d - own[:, None]) / 2)
+                q, at = np.nonzero(least <= reach * (1 + 1e-9) + 1e-12)
+                yield pa.RecordBatch.from_arrays([*(b.column(n).take(pa.array(q)) for n in ("i", "spread", "centre")), pa.array(c_at[at])],
+                                                 names=["i", "spread", "centre", "cell"])
+
+    visits = materialize(placed.mapInArrow(visit, "i long, spread double, centre array<double>, cell long"), "visits")
+    blocks = materialize(visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("vb")).join(cells.select("cell", "mb"), "cell"), "cells")
+    name = F.xxhash64("i")
+    sides = []
+    for rows, mine, theirs, flag in ((placed.select("i", "spread", "centre", "cell"), "mb", "vb", True), (visits, "vb", "mb", False)):
+        spread_out = rows.join(blocks, "cell").withColumn("x", F.pmod(name, F.col(mine)).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col(theirs) - 1)))
+        m, v = ("x", "y") if flag else ("y", "x")
+        sides.append(spread_out.select("i", "spread", "centre", "cell", F.col(m).alias("m"), F.col(v).alias("v"), F.lit(flag).alias("is_member")))
+
+    def compare(group: pa.Table) -> pa.Table:
+        flag = group.column("is_member")
+        members, visitors = columns(group.filter(flag)), columns(group.filter(pc.invert(flag)))
+        r = _worst(*visitors, *members) if len(members[0]) and len(visitors[0]) else np.zeros(len(visitors[0]))
+        return pa.table({"i": pa.array(visitors[0], pa.int64()), "r": pa.array(r, pa.float64()), "compared": pa.array(np.full(len(r), len(members[0])), pa.int64())})
+
+    found = sides[0].unionByName(sides[1]).groupBy("cell", "m", "v").applyInArrow(compare, "i long, r double, compared long")
+    known = placed.select("i", "r", F.lit(0).cast("long").alias("compared"))
+    return found.unionByName(known).groupBy(F.col("i").alias(label)).agg(F.max("r").alias("r"), F.sum("compared").alias("compared"))
+
+
+def davies_bouldin(df: DataFrame, features: Sequence[str], label: str = "segment_id") -> DataFrame:
+    """Mean over clusters of the worst (spread_i + spread_j) / distance(centroid_i, centroid_j); see ``worst_ratios``."""
     cents = centroids(df, features, label)
     rows = join_small(_valid(df, label).select(label, *features), cents, label, "inner")
-    spread = rows.groupBy(label).agg(F.avg(distance([F.col(f) for f in features], items("centre"))).alias("spread"),
-                                     F.first("centre").alias("centre"))
-    left = spread.select(F.col(label).alias("i"), F.col("spread").alias("s_i"), F.col("centre").alias("c_i"),
-                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    right = spread.select(F.col(label).alias("j"), F.col("spread").alias("s_j"), F.col("centre").alias("c_j"),
-                          F.pmod(F.col(label), F.lit(blocks)).cast("int").alias("block"))
-    d = distance(items("c_i"), items("c_j"))
-    ratio = F.when(d > 0, (F.col("s_i") + F.col("s_j")) / d).otherwise(F.lit(0.0))
-    worst = left.join(right, "block").filter(F.col("i") != F.col("j")).groupBy("i").agg(F.max(ratio).alias("r"))
-    return worst.agg(F.avg("r").alias("davies_bouldin"))
+    off = distance([F.col(f) for f in features], [F.col("centre")[i] for i in range(len(features))])
+    spread = rows.groupBy(label).agg(F.avg(off).alias("spread"), F.first("centre").alias("centre"))
+    return worst_ratios(spread, label).agg(F.avg("r").alias("davies_bouldin"))
 
 
 def silhouette(df: DataFrame, features: Sequence[str], label: str = "segment_id") -> DataFrame:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from hexcohort.functions.expr import out
 from hexcohort.operators import mobility_events as M
+from hexcohort.operators.density import distinct_over, distinct_sketches
 from hexcohort.registry import sql as Q
 from hexcohort.registry.clustering import SCORE_SQL, labelled_scorer
 from hexcohort.registry.core import query
 from hexcohort.sources.derive import subscribers, table
-from hexcohort.sources.scratch import scratch_path
+from hexcohort.sources.scratch import materialize, scratch_path
 from hexcohort.streaming import scoring as S
 from hexcohort.streaming.usage_windows import time_bucket_stream
 
@@ -109,3 +110,13 @@ def stream_time_buckets(spark: SparkSession, sf: str) -> DataFrame:
     last = spark.read.parquet(out_).groupBy("window_start", "user_id").agg(F.max_by(F.struct(*shares), "batch").alias("s"))
     return last.select(F.unix_seconds("window_start").alias("window_start"), "user_id",
                        *[out(F.col(f"s.{c}")).alias(c) for c in shares])
+
+
+@query("distinct_users_span", "SELECT count(DISTINCT user_id) AS n_users, true AS sketch_is_close FROM events")
+def distinct_users_span(spark: SparkSession, sf: str) -> DataFrame:
+    """Users of all days together from one sketch per day, next to the exact number: within four standard errors of it."""
+    events = spark.read.parquet(f"{sf}/events.parquet").select("user_id", F.to_date("ts").alias("day"))
+    sketches = materialize(distinct_sketches(events, ["day"], "user_id"), "sketches")
+    estimate = distinct_over(sketches).first()[0]
+    close = F.abs(F.lit(estimate) - F.col("n_users")) <= 4 * 1.04 / 2 ** 7 * F.col("n_users")
+    return events.agg(F.count_distinct("user_id").alias("n_users")).select("n_users", close.alias("sketch_is_close"))

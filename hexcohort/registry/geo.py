@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hexcohort import constants as K
 from hexcohort.functions.expr import out
 from hexcohort.functions.hexgrid import hex_boundary, hex_cell, side_km
-from hexcohort.operators.density import (cell_concentration, dominant_value, group_entropy, segment_density)
+from hexcohort.operators.density import cell_concentration, cell_shares, dominant_value, group_entropy, segment_density
 from hexcohort.operators.poi_density import add_poi_density, poi_counts
 from hexcohort.operators.towers import clean_towers, filter_towers, tower_density
 from hexcohort.plans import reports
@@ -37,6 +37,22 @@ def density(spark: SparkSession, sf: str) -> DataFrame:
     return _density(spark, sf).withColumn("segment_entropy", out(F.col("segment_entropy")))
 
 
+_MANY = {"cells": _CELLS, "l": "SELECT home_h3, cast(substr(subscriber_id, 5) AS BIGINT) % 300 AS k FROM cells WHERE home_h3 IS NOT NULL",
+         "cnt": "SELECT home_h3, k, count(*) AS n FROM l GROUP BY 1, 2",
+         "tot": "SELECT home_h3, sum(n) AS t, arg_min(k, -1000*n+k) AS best FROM cnt GROUP BY 1 HAVING sum(n) >= 5"}
+
+
+@query("segment_density_many", Q.sub(**_MANY) + "SELECT home_h3, cast(any_value(t) AS BIGINT) AS n_subscribers, cast(any_value(best) AS INT) AS dominant_segment, "
+       f"{Q.out('-sum(cast(n AS DOUBLE)/t*ln(cast(n AS DOUBLE)/t+1e-10))')} AS segment_entropy, "
+       f"string_agg(k || ':' || cast(round(1000*{Q.rnd('cast(n AS DOUBLE)/t', 3)}) AS INT), ',' ORDER BY k) AS shares FROM cnt JOIN tot USING (home_h3) GROUP BY 1")
+def density_of_many_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Three hundred labels, shares in thousandths."""
+    many = sub_cells(spark, sf, RES).withColumn("segment_id", F.expr("cast(cast(substr(subscriber_id, 5) AS BIGINT) % 300 AS INT)"))
+    pairs = F.transform(F.array_sort(F.map_entries("shares")), lambda e: F.concat_ws(":", e["key"].cast("string"), F.round(e["value"] * 1000).cast("int").cast("string")))
+    return cell_shares(many).select("home_h3", "n_subscribers", "dominant_segment", out(F.col("segment_entropy")).alias("segment_entropy"),
+                                    F.array_join(pairs, ",").alias("shares"))
+
+
 @query("hex_cell", Q.sub(c8=Q.hexed("sub", "home_lat", "home_lon", 8), c=Q.hexed("c8", "work_lat", "work_lon", 8, "work_h3"))
        + "SELECT subscriber_id, home_h3, work_h3 FROM c")
 def cell_ids(spark: SparkSession, sf: str) -> DataFrame:

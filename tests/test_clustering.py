@@ -10,7 +10,7 @@ from hexcohort.operators import kmeans
 from hexcohort.operators.components import connected_components
 from hexcohort.operators.dbscan import dbscan, hdb_flat
 from hexcohort.operators.kmeans import assign, fit_kmeans, pca_2d, tune_k
-from hexcohort.operators.metrics import adjusted_rand, cluster_metrics, quality_gate, silhouette, silhouette_sample
+from hexcohort.operators.metrics import adjusted_rand, cluster_metrics, quality_gate, silhouette, silhouette_sample, worst_ratios
 from hexcohort.operators.numbering import number_rows
 
 
@@ -111,6 +111,21 @@ def test_projection(four):
     assert set(out.columns) == {"subscriber_id", "x", "y"} and len(out) == 400
 
 
+@pytest.mark.parametrize("k,d,block", [(3000, 3, 100), (700, 8, 1024), (2, 2, 1024), (1, 2, 1024)])
+def test_worst_ratios_of_many_clusters_without_all_pairs(spark, k, d, block):
+    r = np.random.default_rng(k)
+    c, s = r.uniform(0, 100, (k, d)), r.gamma(2, 1, k)
+    c[1:k // 50] = c[0]                                             # some centroids coincide
+    off = np.sqrt(((c[:, None] - c[None]) ** 2).sum(-1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        want = np.where(off > 0, (s[:, None] + s[None]) / off, 0).max(1)
+    df = spark.createDataFrame([(i, float(s[i]), c[i].tolist()) for i in range(k)], "segment_id int, spread double, centre array<double>")
+    got = worst_ratios(df.repartition(6), "segment_id", block).toPandas().sort_values("segment_id")
+    assert np.allclose(got.r, want, rtol=1e-12) and len(got) == k
+    if k == 3000:
+        assert got.compared.sum() < 0.3 * k * k
+
+
 def brute(x, eps, m):
     near = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)) <= eps
     core = near.sum(1) >= m

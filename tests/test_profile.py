@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hexcohort import constants as K
 from hexcohort.operators import recommend as R
 from hexcohort.operators.analysis import correlation_matrix, low_variance, mutual_information, top_correlations
-from hexcohort.operators.density import segment_density
+from hexcohort.operators.density import cell_shares, distinct_over, distinct_sketches, segment_density
 from hexcohort.operators.drift import drift
 from hexcohort.operators.profile import (label_segments, match_archetype, name_segments, profile_segments,
                                          segment_zscores)
@@ -85,6 +85,30 @@ def test_density_mode_tie_entropy_and_having(spark):
     assert got["c1"]["pct_seg_2"] == 0.4 and got["c1"]["pct_seg_0"] == 0.0 and got["c1"]["avg_monthly_charges"] == 10.0
 
 
+def test_density_of_many_labels_and_of_some(spark):
+    schema = "home_h3 string, segment_id int, monthly_charges double, data_usage_gb double, home_zone_rsrq double"
+    rows = [(f"c{i % 3}", i * 7 % 2000, float(i % 5), None, -1.0) for i in range(6000)] + [("c0", 1234, 1.0, 1.0, 1.0)] * 3000
+    df = spark.createDataFrame(rows, schema).repartition(6)
+    got = {r["home_h3"]: r for r in cell_shares(df).collect()}
+    assert got["c0"]["dominant_segment"] == 1234 and got["c0"]["n_subscribers"] == 5000 and got["c0"]["shares"][1234] == 0.6
+    assert len(got["c1"]["shares"]) == len({i * 7 % 2000 for i in range(1, 6000, 3)}) and got["c1"]["avg_data_usage_gb"] is None
+    with pytest.raises(ValueError, match="cell_shares"):
+        segment_density(df)
+    some = {r["home_h3"]: r for r in segment_density(df, segments=[7, 1234, 5]).collect()}
+    assert some["c0"]["dominant_segment"] == 1234 and some["c0"]["n_subscribers"] == 5000 and some["c0"]["pct_seg_1234"] == 0.6
+
+
+def test_sketches_merge_over_any_span(spark):
+    days = spark.range(200_000).selectExpr("id % 10 AS day", "id % 60000 AS who", "id % 7 AS place")
+    sketches = distinct_sketches(days, ["day", "place"], "who")
+    assert sketches.count() == 70
+    for df, keys in ((sketches, []), (sketches.filter("day < 3"), []), (sketches, ["place"])):
+        left = days.filter("day < 3") if df is not sketches else days
+        exact = {tuple(r[k] for k in keys): r["n"] for r in left.groupBy(*keys).agg(F.countDistinct("who").alias("n")).collect()}
+        got = {tuple(r[k] for k in keys): r["n_distinct"] for r in distinct_over(df, keys).collect()}
+        assert got.keys() == exact.keys() and all(abs(got[k] / exact[k] - 1) < 4 * 0.0082 for k in got)
+
+
 # --- plans ------------------------------------------------------------------------
 def test_rule_plans(spark):
     df = spark.createDataFrame([("Social Hub 2", None), ("Mystery", ["p1", "p2", "p3", "p4"]), (None, None)], "n string, stored array<string>")
