@@ -9,6 +9,8 @@ from hexcohort import constants as K
 from hexcohort.functions.expr import out
 from hexcohort.functions.joins import join_small
 from hexcohort.operators import recommend as R
+from hexcohort.operators.name_rules import first_rules
+from hexcohort.operators.numbering import number_rows
 from hexcohort.registry import sql as Q
 from hexcohort.registry.core import dimension, query
 from hexcohort.sources.derive import subscribers, table
@@ -120,3 +122,16 @@ def als_topn(spark: SparkSession, sf: str) -> DataFrame:
     """Three plans per subscriber from implicit factorisation of all given interactions."""
     top = R.collaborative_top_n(R.given_interactions(purchases(spark, sf)), subscribers(spark, sf))
     return top.select("subscriber_id", F.array_join("cf_plans", ",").alias("plans"))
+
+
+_BRANDS = "SELECT p_brand AS pattern, row_number() OVER (ORDER BY max(p_retailprice), p_brand) AS place FROM part GROUP BY p_brand"
+
+
+@query("name_rules", f"WITH r AS ({_BRANDS}), n AS (SELECT DISTINCT p_name || ' ' || p_brand || p_size || ' ' || p_type AS name FROM part) "
+       "SELECT name, min(place) AS place, arg_min(pattern, place) AS pattern FROM n JOIN r ON contains(name, pattern) GROUP BY name")
+def name_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Which brand a product name belongs to; brands that begin other brands are settled by the order of the rules."""
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    rules = number_rows(part.groupBy("p_brand").agg(F.max("p_retailprice").alias("top")), "at", ["top", "p_brand"])
+    names = part.select(F.concat("p_name", F.lit(" "), "p_brand", F.col("p_size").cast("string"), F.lit(" "), "p_type").alias("name"))
+    return first_rules(names, rules.select(F.col("p_brand").alias("pattern"), (F.col("at") + 1).alias("place")))
