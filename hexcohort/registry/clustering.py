@@ -19,7 +19,7 @@ from hexcohort.plans.scoring import Scorer, scorer_from
 from hexcohort.registry import sql as Q
 from hexcohort.registry.core import query, stored_subscribers
 from hexcohort.sources.derive import subscribers
-from hexcohort.sources.scratch import materialize
+from hexcohort.sources.scratch import materialize, scratch_path
 
 # Measured on five raw columns of comparable size, with the labels given.
 _M = ["pct_time_at_home", "pct_time_at_work", "evening_data_ratio", "weekend_data_ratio", "poi_mall_score"]
@@ -223,3 +223,12 @@ SCORE_SQL = (Q.sub(**SCORE_CTES) + "SELECT c.subscriber_id, c.segment_id, coales
 def score_subscribers(spark: SparkSession, sf: str) -> DataFrame:
     scored = labelled_scorer(spark, sf).score(subscribers(spark, sf))
     return scored.withColumn("recommended_plans", F.array_join("recommended_plans", ","))
+
+
+@query("score_loaded", SCORE_SQL)
+def score_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    """The same scores from a scorer that was saved and loaded again."""
+    path = scratch_path(spark, "model")
+    labelled_scorer(spark, sf).save(spark, path)
+    scored = Scorer.load(spark, path).score(subscribers(spark, sf))
+    return scored.withColumn("recommended_plans", F.array_join("recommended_plans", ","))
