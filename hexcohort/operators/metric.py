@@ -15,6 +15,7 @@ Tasks write no pairs: a count per visitor, or the links that join two parts of t
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -54,17 +55,30 @@ def _within(x: np.ndarray, y: np.ndarray, dx: np.ndarray, dy: np.ndarray, eps: f
 class MetricTiles:
     """The points of a table in tiles: a block of a ring and a block of its visitors."""
 
-    def __init__(self, df: DataFrame, features: Sequence[str], eps: float, block: int = BLOCK):
-        """Rows with a null or non-finite coordinate take no part; equal rows are one point with a weight."""
-        self.eps, self.features = float(eps), list(features)
+    def __init__(self, df: DataFrame, features: Sequence[str], eps: float | None, block: int = BLOCK):
+        """Rows with a null or non-finite coordinate take no part; equal rows are one point with a weight.  Without a radius the
+        tiles are made by ``at``.
+        """
+        self.features, self.block = list(features), block
         xs = F.array(*[F.col(f"`{f}`").cast("double") + F.lit(0.0) for f in features])
         finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
         folded = df.select(xs.alias("x")).filter(finite).groupBy("x").agg(F.count(F.lit(1)).alias("w"))
         self.points = materialize(folded.withColumn("pid", F.monotonically_increasing_id()), "points")
         n = self.points.count()
         wanted = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, n ** 0.5 / 2)))
-        pivots = np.array([r[0] for r in self.points.orderBy(F.xxhash64("x"), "pid").limit(wanted).select("x").collect()])     # bounded
-        width = self.eps
+        self.pivots = np.array([r[0] for r in self.points.orderBy(F.xxhash64("x"), "pid").limit(wanted).select("x").collect()])     # bounded
+        if eps is not None:
+            self._place(float(eps))
+
+    def at(self, eps: float, visitors: DataFrame | None = None) -> MetricTiles:
+        """The same points and pivots for another radius; only the points of ``visitors(pid)`` look for neighbours."""
+        other = copy.copy(self)
+        other._place(float(eps), visitors)
+        return other
+
+    def _place(self, eps: float, visitors: DataFrame | None = None) -> None:
+        self.eps = width = eps
+        pivots, block = self.pivots, self.block
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -89,28 +103,37 @@ class MetricTiles:
         self.placed = materialize(self.points.select("pid", "x", "w").mapInArrow(place, spec), "placed")
         members = self.placed.groupBy("cell", "ring").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("mb"))
         v = F.explode("visits").alias("v")
-        visits = (self.placed.select("pid", v).select("pid", F.col("v.cell").alias("cell"), F.explode(F.sequence("v.low", "v.high")).alias("ring"))
+        looking = self.placed if visitors is None else self.placed.join(visitors.select("pid"), "pid", "left_semi")
+        visits = (looking.select("pid", v).select("pid", F.col("v.cell").alias("cell"), F.explode(F.sequence("v.low", "v.high")).alias("ring"))
                   .join(members, ["cell", "ring"]))                     # rings that have members
         visits = materialize(visits, "visits")
         blocks = visits.groupBy("cell", "ring").agg(F.first("mb").alias("mb"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("vb"))
         self.blocks = materialize(blocks, "rings")
         self.visits = visits.drop("mb")
 
-    def _run(self, fn, out: str, extra: DataFrame | None = None) -> DataFrame:
-        """``fn(members, visitors)`` per tile; both are dicts of numpy arrays.  ``extra(pid, core)`` adds a column."""
+    def run(self, fn, out: str, extra: DataFrame | None = None, part: str | None = None) -> DataFrame:
+        """``fn(members, visitors)`` per tile; both are dicts of numpy arrays.
+
+        ``extra(pid, ...)`` adds columns and names the points that take part.  With ``part``, one of these columns, a visit to a
+        ring that holds nothing but the visitor's own part is left out.
+        """
         width, columns = len(self.features), ["pid", "x", "w", "d"]
         points = self.placed.select("pid", "x", "w", "d", "cell", "ring")
         if extra is not None:
-            points, columns = points.join(extra, "pid"), [*columns, "core"]
+            points, columns = points.join(extra, "pid"), [*columns, *[c for c in extra.columns if c != "pid"]]
+        rings, other = self.blocks, F.lit(True)
+        if part is not None:
+            rings = rings.join(points.groupBy("cell", "ring").agg(F.min(part).alias("low_"), F.max(part).alias("high_")), ["cell", "ring"])
+            other = (F.col("low_") != F.col("high_")) | (F.col("low_") != F.col(part))
         of = F.pmod(F.xxhash64("pid"), F.col("mb")).cast("int")
         member = (points.join(self.blocks, ["cell", "ring"]).withColumn("m", of).withColumn("v", F.explode(F.sequence(F.lit(0), F.col("vb") - 1)))
                   .select(*columns, "cell", "ring", "m", "v", F.lit(True).alias("is_member")))
         seen = F.pmod(F.xxhash64("pid"), F.col("vb")).cast("int")
-        visitor = (self.visits.join(points.drop("cell", "ring").hint("merge"), "pid").join(self.blocks, ["cell", "ring"]).withColumn("v", seen)
+        visitor = (self.visits.join(points.drop("cell", "ring").hint("merge"), "pid").join(rings, ["cell", "ring"]).filter(other).withColumn("v", seen)
                    .withColumn("m", F.explode(F.sequence(F.lit(0), F.col("mb") - 1)))
                    .select(*columns, "cell", "ring", "m", "v", F.lit(False).alias("is_member")))
 
-        def run(group: pa.Table) -> pa.Table:
+        def tile(group: pa.Table) -> pa.Table:
             flag = group.column("is_member").to_numpy()
             sides = []
             for part in (flag, ~flag):
@@ -124,8 +147,8 @@ class MetricTiles:
             return fn(*sides)
 
         names = [c.split(" ") for c in out.split(", ")]
-        empty = pa.table({n: pa.array([], {"long": pa.int64(), "boolean": pa.bool_()}[t]) for n, t in names})
-        return member.unionByName(visitor).groupBy("cell", "ring", "m", "v").applyInArrow(run, out)
+        empty = pa.table({n: pa.array([], {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[t]) for n, t in names})
+        return member.unionByName(visitor).groupBy("cell", "ring", "m", "v").applyInArrow(tile, out)
 
     def counts(self) -> DataFrame:
         """``(pid, near, compared)``: rows within the radius of each point, itself included, and pairs that were compared."""
@@ -138,7 +161,7 @@ class MetricTiles:
             share[0] = compared
             return pa.table({"pid": pa.array(visitors["pid"]), "near": pa.array(near), "compared": pa.array(share)})
 
-        found = self._run(run, "pid long, near long, compared long")
+        found = self.run(run, "pid long, near long, compared long")
         return found.groupBy("pid").agg(F.sum("near").alias("near"), F.sum("compared").alias("compared"))
 
     def links(self, cores: DataFrame) -> DataFrame:
@@ -167,7 +190,7 @@ class MetricTiles:
                         part[np.isin(part, parts)] = part[v_at[v]]
             return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "border": pa.array(border, pa.bool_())})
 
-        return self._run(run, "a long, b long, border boolean", cores).distinct()
+        return self.run(run, "a long, b long, border boolean", cores).distinct()
 
 
 def dbscan_metric(df: DataFrame, features: Sequence[str], eps: float, min_samples: int, label: str = "segment_id", block: int = BLOCK) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from hexcohort import constants as K
 from hexcohort.functions.hexgrid import hex_cell
-from hexcohort.operators.dbscan import dbscan, hdb_flat
+from hexcohort.operators.dbscan import dbscan
+from hexcohort.operators.hierarchy import hdbscan
 from hexcohort.operators.density import segment_density
 from hexcohort.operators.kmeans import Segmentation, fit_kmeans, tune_k
 from hexcohort.operators.metrics import cluster_metrics, quality_gate
@@ -65,8 +66,8 @@ def run(subs: DataFrame, pois: DataFrame | None = None, algorithm: str = "kmeans
         if algorithm == "dbscan":
             labelled = dbscan(scaled, cols, eps or K.DBSCAN_PARAMS["eps"], min_samples or K.DBSCAN_PARAMS["min_samples"])
         else:
-            labelled = hdb_flat(scaled, cols, epsilon=eps or K.HDB_PARAMS["epsilon"],
-                                min_samples=min_samples or K.HDB_PARAMS["min_samples"])
+            labelled = hdbscan(scaled, cols, epsilon=K.HDB_PARAMS["epsilon"] if eps is None else eps,
+                               min_samples=min_samples or K.HDB_PARAMS["min_samples"])
         labelled = labelled.drop(*cols)
     segmented = materialize(labelled, "segmented")
     vectors = segmented.select("subscriber_id", "segment_id", *[arr[i].alias(c) for i, c in enumerate(cols)])

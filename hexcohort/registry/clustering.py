@@ -11,6 +11,7 @@ from hexcohort.functions.expr import out
 from hexcohort.functions.joins import join_small
 from hexcohort.operators import metrics
 from hexcohort.operators.dbscan import dbscan, hdb_flat, project_km
+from hexcohort.operators.hierarchy import Hierarchy, hdbscan
 from hexcohort.operators.kmeans import fit_kmeans, pca_2d, tune_k
 from hexcohort.operators.metric import dbscan_metric
 from hexcohort.operators.profile import segment_dimension
@@ -195,6 +196,35 @@ def dbscan_features(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("subscriber_id", (F.col("segment_id") < 0).alias("is_noise"), F.lit(n).cast("long").alias("n_clusters"))
 
 
+# Density hierarchy: its spanning tree in the scaled features, its labels by work positions (brute force in the tests).
+_TREE = {**Q.feature_ctes(),
+         "gap": "SELECT a.subscriber_id AS i, b.subscriber_id AS j, sqrt("
+                + "+".join(f"(a.s_{c}-b.s_{c})*(a.s_{c}-b.s_{c})" for c in Q.FEATURES35) + ") AS d FROM scaled a JOIN scaled b ON a.subscriber_id <> b.subscriber_id",
+         "core": "SELECT i, max(d) AS core FROM (SELECT i, d FROM gap QUALIFY row_number() OVER (PARTITION BY i ORDER BY d) <= 10) GROUP BY i",
+         "link": "SELECT gap.i, min(greatest(d, a.core, b.core)) AS link FROM gap JOIN core a ON a.i = gap.i JOIN core b ON b.i = gap.j GROUP BY gap.i"}
+
+
+@query("hdbscan_tree", Q.sub(**_TREE) + " SELECT core.i AS subscriber_id, round(core, 6) AS core, round(link, 6) AS link, "
+       "(SELECT count(*) - 1 FROM (SELECT DISTINCT " + ", ".join(f"s_{c}" for c in Q.FEATURES35) + " FROM scaled)) AS n_edges FROM core JOIN link ON link.i = core.i")
+def hdbscan_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Core distance of every subscriber and its shortest edge of the tree: no other row may be nearer by mutual reachability."""
+    _, table = fit_features(stored_subscribers(spark, sf))
+    x, width = vector_to_array("features"), len(Q.FEATURES35)
+    columns = materialize(table.select("subscriber_id", *[x[i].alias(f"f{i}") for i in range(width)]), "features")
+    h = Hierarchy(columns, [f"f{i}" for i in range(width)], 50, 10)
+    ends = h.tree.select(F.col("a").alias("pid"), "w").unionByName(h.tree.select(F.col("b").alias("pid"), "w"))
+    link = ends.groupBy("pid").agg(F.min("w").alias("edge"))
+    near = (h.points.withColumnRenamed("w", "n").join(h.cores, "pid").join(link, "pid", "left")
+            .select("x", "core", F.when(F.col("n") > 1, F.col("core")).otherwise(F.col("edge")).alias("link")))
+    of = columns.select("subscriber_id", F.array(*[F.col(f"f{i}") + F.lit(0.0) for i in range(width)]).alias("x"))
+    return of.join(near, "x").select("subscriber_id", F.round("core", 6).alias("core"), F.round("link", 6).alias("link"), F.lit(h.tree.count()).alias("n_edges"))
+
+
+@query("hdbscan_segments")
+def hdbscan_segments(spark: SparkSession, sf: str) -> DataFrame:
+    return hdbscan(_work_km(spark, sf), ["x_km", "y_km"], 15, 5, 0.0).select("subscriber_id", "segment_id")
+
+
 # --- scoring with centroids taken from the given labels -----------------------------
 def labelled_scorer(spark: SparkSession, sf: str) -> Scorer:
     """Feature numbers, per-segment centroids and segment metadata learned from the labelled table."""
