@@ -10,6 +10,7 @@ from hexcohort.functions.expr import out
 from hexcohort.operators import analysis
 from hexcohort.operators.density import dominant_value
 from hexcohort.operators.drift import drift, transitions
+from hexcohort.operators.information import neighbour_information
 from hexcohort.operators.features import PoiAffinity, TemporalUsage
 from hexcohort.operators.profile import (label_segments, list_segments, match_archetype, profile_features,
                                          profile_segments, segment_moments, segment_zscores)
@@ -316,6 +317,24 @@ def mi_features(spark: SparkSession, sf: str) -> DataFrame:
     return _out(analysis.mutual_information(subscribers(spark, sf), K.CLUSTERING_FEATURES, _PERSONA), "mi")
 
 
+# Neighbours in one dimension, all pairs of a feature in SQL; digamma(n) = 1 + 1/2 + ... + 1/(n-1) - Euler's constant.
+_MI_NEAR = Q.sub(
+    l=" UNION ALL ".join(f"SELECT '{c}' AS feature, subscriber_id AS i, {_PERSONA} AS y, cast({c} AS DOUBLE) AS x FROM sub WHERE {c} IS NOT NULL AND {_PERSONA} IS NOT NULL" for c in K.CLUSTERING_FEATURES),
+    r="SELECT *, count(*) OVER (PARTITION BY feature, y) AS n_y FROM l QUALIFY n_y > 1",
+    dist="SELECT a.feature, a.i, abs(a.x - b.x) AS d FROM r a JOIN r b ON a.feature = b.feature AND a.y = b.y AND a.i <> b.i",
+    near="SELECT feature, i, max(d) AS d, count(*) AS k FROM (SELECT * FROM dist QUALIFY row_number() OVER (PARTITION BY feature, i ORDER BY d) <= 3) GROUP BY 1, 2",
+    m="SELECT a.feature, a.i, a.n_y, n.k, count(*) AS m FROM r a JOIN near n ON n.feature = a.feature AND n.i = a.i JOIN r b ON b.feature = a.feature "
+      "AND ((b.x > a.x - n.d AND b.x < a.x + n.d) OR (n.d = 0 AND b.x = a.x)) GROUP BY 1, 2, 3, 4",
+    psi="SELECT n, coalesce(sum(1e0/(n-1)) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0e0) - 0.5772156649015329e0 AS p "
+        "FROM (SELECT cast(unnest AS BIGINT) AS n FROM unnest(range(2, 20001))) UNION ALL SELECT 1, -0.5772156649015329e0",
+    t="SELECT m.feature, count(*) AS n, avg(pk.p) - avg(py.p) - avg(pm.p) AS v FROM m JOIN psi pk ON pk.n = m.k JOIN psi py ON py.n = m.n_y JOIN psi pm ON pm.n = m.m GROUP BY 1")
+
+
+@query("mi_neighbours", _MI_NEAR + f"SELECT feature, {Q.out('greatest(psi.p + v, 0e0)')} AS mi FROM t JOIN psi ON psi.n = t.n")
+def mi_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return _out(neighbour_information(subscribers(spark, sf), K.CLUSTERING_FEATURES, _PERSONA), "mi")
+
+
 _TINY = "data_usage_gb"
 
 
