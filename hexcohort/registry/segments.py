@@ -9,7 +9,7 @@ from hexcohort import constants as K
 from hexcohort.functions.expr import out
 from hexcohort.operators import analysis
 from hexcohort.operators.density import dominant_value
-from hexcohort.operators.drift import drift, transitions
+from hexcohort.operators.drift import drift, match_labels, match_segments, transitions
 from hexcohort.operators.information import neighbour_information
 from hexcohort.operators.features import PoiAffinity, TemporalUsage
 from hexcohort.operators.profile import (label_segments, list_segments, match_archetype, profile_features,
@@ -18,7 +18,7 @@ from hexcohort.operators.sampling import hash_sample
 from hexcohort.plans import reports
 from hexcohort.plans.scoring import metadata
 from hexcohort.registry import sql as Q
-from hexcohort.registry.core import dimension, query
+from hexcohort.registry.core import dimension, query, stored_subscribers
 from hexcohort.sources import sinks
 from hexcohort.sources.derive import previous_labels, subscribers
 from hexcohort.sources.readers import read_subscribers
@@ -98,6 +98,30 @@ def segment_drift(spark: SparkSession, sf: str) -> DataFrame:
     return _out(drift(subs, previous_labels(subs)), "drift_pct")
 
 
+# The new fit numbers its segments anew: every pairing of old and new ones is tried in SQL.
+_MATCH = Q.sub(prev=Q.PREVIOUS, cur="SELECT subscriber_id, CASE WHEN segment_id >= 0 THEN (segment_id*3+2)%7 ELSE segment_id END AS segment_id FROM sub",
+               t="SELECT p.segment_id AS previous, c.segment_id AS current, count(*) AS n FROM cur c JOIN prev p USING (subscriber_id) GROUP BY 1, 2",
+               olds="SELECT previous, row_number() OVER (ORDER BY previous) AS r FROM (SELECT DISTINCT previous FROM t WHERE previous >= 0)",
+               news="SELECT DISTINCT current FROM t WHERE current >= 0")
+_WALK = ("walk(r, used, total) AS (SELECT cast(0 AS BIGINT), cast([] AS BIGINT[]), cast(0 AS BIGINT) UNION ALL SELECT w.r+1, list_append(w.used, cast(c.current AS BIGINT)), "
+         "w.total + coalesce(t.n, 0) FROM walk w JOIN olds o ON o.r = w.r+1 JOIN news c ON NOT list_contains(w.used, c.current) "
+         "LEFT JOIN t ON t.previous = o.previous AND t.current = c.current), best AS (SELECT used FROM walk WHERE r = (SELECT count(*) FROM olds) ORDER BY total DESC LIMIT 1), "
+         "pairs AS (SELECT o.previous, t.current, t.n FROM olds o, best JOIN t ON t.previous = o.previous AND t.current = best.used[o.r]), "
+         "d AS (SELECT sum(t.n) FILTER (pairs.n IS NULL AND NOT (t.previous < 0 AND t.current < 0)) AS n_changed, sum(t.n) AS n_matched FROM t LEFT JOIN pairs USING (previous, current))")
+
+
+@query("drift_matched", "WITH RECURSIVE " + _MATCH.rstrip()[5:] + ", " + _WALK + " SELECT cast(previous AS BIGINT) AS previous, cast(current AS BIGINT) AS current, n AS n_shared, "
+       f"cast(coalesce(n_changed, 0) AS BIGINT) AS n_changed, {Q.out('100e0*coalesce(n_changed, 0)/n_matched')} AS drift_pct FROM pairs, d")
+def drift_matched(spark: SparkSession, sf: str) -> DataFrame:
+    """Drift against a fit whose ids are permuted: segments are paired by the rows they share."""
+    subs = stored_subscribers(spark, sf)
+    moved = F.when(F.col("segment_id") >= 0, (F.col("segment_id") * 3 + 2) % 7).otherwise(F.col("segment_id"))
+    current, previous = subs.select("subscriber_id", moved.alias("segment_id")), previous_labels(subs)
+    found = _out(drift(match_labels(current, previous), previous), "drift_pct").first()
+    pairs = match_segments(transitions(current, previous)).withColumnRenamed("n", "n_shared")
+    return pairs.withColumns({"n_changed": F.lit(found["n_changed"]).cast("long"), "drift_pct": F.lit(found["drift_pct"])})
+
+
 # --- folded tables -----------------------------------------------------------------
 @query("value_counts", Q.sub() + "SELECT internet_service, count(*) AS n FROM sub GROUP BY 1")
 def value_counts(spark: SparkSession, sf: str) -> DataFrame:
