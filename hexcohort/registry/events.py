@@ -112,6 +112,40 @@ def stream_time_buckets(spark: SparkSession, sf: str) -> DataFrame:
                        *[out(F.col(f"s.{c}")).alias(c) for c in shares])
 
 
+# Events arrive in three parts by time; every tenth comes one part later, another tenth in the last part.  A row is too late if
+# its day ended five days or more before the newest row of the parts before; a day is final five days after its end.
+_ARRIVAL = Q.with_(
+    span="SELECT min(epoch_us(ts)) AS lo, (max(epoch_us(ts)) - min(epoch_us(ts))) // 3 + 1 AS third FROM events",
+    e=f"SELECT *, {_PART} AS part, (epoch_us(ts) - lo) // third AS p, epoch_us(time_bucket(INTERVAL 1 DAY, ts)) + 86400000000 AS ends FROM events, span",
+    a="SELECT *, CASE event_id % 10 WHEN 0 THEN least(p + 1, 2) WHEN 1 THEN 2 ELSE p END AS arrives FROM e",
+    seen="SELECT arrives, max(max(epoch_us(ts))) OVER (ORDER BY arrives) - 432000000000 AS mark FROM a GROUP BY arrives",
+    kept="SELECT a.* FROM a LEFT JOIN seen ON seen.arrives = a.arrives - 1 WHERE seen.mark IS NULL OR a.ends > seen.mark")
+
+
+@query("stream_late_events", _ARRIVAL + f"SELECT (ends - 86400000000) // 1000000 AS window_start, user_id, {_RATIOS} FROM kept "
+       "WHERE ends <= (SELECT max(mark) FROM seen) GROUP BY ends, user_id")
+def stream_late_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Final daily shares of a stream that is stopped and restarted twice while late and too late rows come in.
+
+    Each part is written, taken by a new run of the query on the same checkpoint, and followed by the next.  State of a day
+    leaves when the watermark passes its end, and its shares are appended once.
+    """
+    src, out_, ckpt = (scratch_path(spark, n) for n in ("late_in", "late_out", "ckpt"))
+    e = table(spark, sf, "events")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = e.agg(F.min(us), F.max(us)).first()
+    part = F.floor((us - F.lit(lo)) / F.lit((hi - lo) // 3 + 1))
+    late = F.col("event_id") % 10
+    arrives = F.when(late == 0, F.least(part + 1, F.lit(2))).when(late == 1, F.lit(2)).otherwise(part)
+    shares = [f"{p}_data_ratio" for p in _PARTS]
+    for number in range(3):
+        e.filter(arrives == number).write.mode("append").parquet(src)
+        agg = time_bucket_stream(spark.readStream.schema(e.schema).parquet(src), "1 day", "5 days")
+        (agg.writeStream.outputMode("append").format("parquet").option("path", out_).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(out_).select(F.unix_seconds("window_start").alias("window_start"), "user_id", *[out(F.col(c)).alias(c) for c in shares])
+
+
 @query("distinct_users_span", "SELECT count(DISTINCT user_id) AS n_users, true AS sketch_is_close FROM events")
 def distinct_users_span(spark: SparkSession, sf: str) -> DataFrame:
     """Users of all days together from one sketch per day, next to the exact number: within four standard errors of it."""
