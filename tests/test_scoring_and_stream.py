@@ -130,10 +130,11 @@ def test_whole_job(spark, sample, tmp_path):
 
 
 def test_whole_job_by_the_density_hierarchy(spark, sample):
-    """Two copies of the sample far apart in every usage column are two groups; the job ends with their profiles and scores."""
-    usage = ["call_minutes_monthly", "data_usage_gb", "monthly_charges", "sms_count_monthly"]
-    far = sample.withColumn("subscriber_id", F.concat(F.lit("far_"), "subscriber_id")).withColumns({c: F.col(c) * 50 + 5000 for c in usage if c in sample.columns})
-    subs = sample.unionByName(far).drop("same_h3_zone", "home_h3")
+    """Two copies of the sample, each drawn together and far from the other, are two groups; the job ends with their scores."""
+    numbers = [c for c in sample.columns if c not in ("subscriber_id", "same_h3_zone")]
+    near = sample.withColumns({c: F.col(c) * 0.01 for c in numbers})
+    far = near.withColumn("subscriber_id", F.concat(F.lit("far_"), "subscriber_id")).withColumns({c: F.col(c) + 0.5 for c in numbers})
+    subs = near.unionByName(far).drop("same_h3_zone")
     res = run(subs, algorithm="hdbscan", eps=0.0, check=False)
     labels = {(r.subscriber_id.startswith("far_"), r.segment_id) for r in res.segmented.filter("segment_id >= 0").select("subscriber_id", "segment_id").collect()}
     assert labels and res.segmented.count() == 400 and len({seg for _, seg in labels}) == len(labels)      # no segment mixes the two
