@@ -4,6 +4,10 @@ defaults -> checks -> features -> scaling -> nearest centroid -> names and
 plans.  Every lookup (centroids, names, plans, scaling numbers) is a literal in
 the projection, so scoring neither joins nor shuffles.  Names and plans of more
 than ``MAX_SEGMENTS`` segments stay a table that is joined.
+
+More than ``MAX_CENTRES`` centroids, and the core points of a DBSCAN model, are
+a table of ``references`` that rows look up through an index; streams do so per
+micro-batch (``foreachBatch``).
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from hexcohort.functions.hexgrid import hex_cell
 from hexcohort.functions.joins import join_small
 from hexcohort.operators.features import mobility_columns, poi_columns, temporal_columns
 from hexcohort.operators.kmeans import assign
+from hexcohort.operators.nearest import NearestIndex, assign_nearest
 from hexcohort.operators.profile import label_segments
 from hexcohort.operators.quality import request_errors
 from hexcohort.operators.scaling import ScaleModel
@@ -27,6 +32,8 @@ from hexcohort.sources.scratch import materialize, small_table
 
 #: Segments whose names and plans are inlined; more of them are joined.
 MAX_SEGMENTS = 10_000
+#: Centroids that are inlined as literals; more of them are a table.
+MAX_CENTRES = 256
 DIMENSION = ("segment_name", "segment_description", "plans")
 ALGORITHMS = ("kmeans", "dbscan", "hdbscan")   # order in which saved models are looked for
 
@@ -43,6 +50,18 @@ class Scorer:
     fill: str = "median"        # or "zero": absent and missing model inputs count as 0
     res: int = 8
     dimension: DataFrame | None = None      # names, descriptions and plans as a table, where they are too many to inline
+    references: DataFrame | None = None     # (segment_id, centre): many centroids, or the core points of a density model
+    radius: float | None = None             # how far a core point reaches; rows beyond are noise (-1)
+    _index: NearestIndex | None = field(default=None, repr=False)
+
+    def _assigned(self, df: DataFrame) -> DataFrame:
+        scaled = self.scale.scaled()
+        columns = [scaled[c] for c in self.features]
+        if self.references is None:
+            return assign(df, columns, self.centers)
+        if self._index is None:
+            self._index = NearestIndex(self.references, "segment_id", "centre", self.radius)
+        return assign_nearest(df.withColumn("vector_", F.array(*columns)), "vector_", self._index).drop("vector_")
 
     def score(self, requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         df = poi_columns(temporal_columns(mobility_columns(fill_defaults(requests), self.median_distance)))
@@ -51,8 +70,7 @@ class Scorer:
                 df = df.withColumn(c, F.lit(0.0 if self.fill == "zero" else None).cast("double"))
         if self.fill == "zero":
             df = df.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in self.features})
-        scaled = self.scale.scaled()
-        df = assign(df, [scaled[c] for c in self.features], self.centers)
+        df = self._assigned(df)
         df = label_segments(df, self.names, self.descriptions, self.plans)
         if self.dimension is not None:
             df = joined_labels(df, self.dimension)
@@ -63,12 +81,14 @@ class Scorer:
     def save(self, spark: SparkSession, path: str, algorithm: str = "kmeans") -> None:
         """Model numbers and segment metadata as small Parquet tables."""
         self.scale.write().overwrite().save(f"{path}/scale")
-        spark.createDataFrame([(self.features, float(self.median_distance), self.fill, self.res)],
-                              "features array<string>, median_distance double, fill string, res int") \
+        spark.createDataFrame([(self.features, float(self.median_distance), self.fill, self.res, self.radius)],
+                              "features array<string>, median_distance double, fill string, res int, radius double") \
             .write.mode("overwrite").parquet(f"{path}/settings")
         cen = [(i, [float(v) for v in c]) for i, c in enumerate(self.centers or [])]
-        spark.createDataFrame(cen, "segment_id int, centre array<double>") \
-            .write.mode("overwrite").parquet(f"{path}/centers_{algorithm}")
+        table = spark.createDataFrame(cen, "segment_id int, centre array<double>") if self.references is None else self.references.select(
+            F.col("segment_id").cast("int").alias("segment_id"), F.col("centre").cast("array<double>").alias("centre"))
+        # written elsewhere first: it may have been read from the same path
+        materialize(table, "centres").write.mode("overwrite").parquet(f"{path}/centers_{algorithm}")
         if self.dimension is not None:
             # written elsewhere first: it may have been read from the same path
             materialize(self.dimension, "segments").write.mode("overwrite").parquet(f"{path}/segments")
@@ -92,11 +112,20 @@ class Scorer:
         if found is None:
             raise FileNotFoundError(f"no saved model below {path}")
         s = spark.read.parquet(f"{path}/settings").first()
-        centers = [r["centre"] for r in spark.read.parquet(f"{path}/centers_{found}").orderBy("segment_id").collect()]
-        return cls(list(s["features"]), ScaleModel.load(f"{path}/scale"), s["median_distance"], centers or None,
+        return cls(list(s["features"]), ScaleModel.load(f"{path}/scale"), s["median_distance"],
+                   **centres(spark.read.parquet(f"{path}/centers_{found}"), s.asDict().get("radius")),
                    fill=s["fill"], res=s["res"], **lookups(spark.read.parquet(f"{path}/segments")))
 
 
+def centres(table: DataFrame, radius: float | None = None) -> dict:
+    """Centroids as a scorer takes them: literals if they are few and numbered from 0, else the table ``(segment_id, centre)``."""
+    rows, fits = small_table(table.select("segment_id", "centre"), MAX_CENTRES)
+    rows = sorted(rows, key=lambda r: r["segment_id"])
+    if radius is None and fits and [r["segment_id"] for r in rows] == list(range(len(rows))):
+        return {"centers": [list(r["centre"]) for r in rows] or None}
+    return {"centers": None, "references": table.select("segment_id", "centre"), "radius": radius}
+
+
 def lookups(dim: DataFrame) -> dict:
     """The segment dimension as a scorer takes it: fixed lookups, or a table if there are more than ``MAX_SEGMENTS``."""
     dim = dim.select("segment_id", *DIMENSION)

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from hexcohort import constants as K
 from hexcohort.functions.hexgrid import hex_cell
-from hexcohort.operators.dbscan import dbscan
 from hexcohort.operators.hierarchy import hdbscan
 from hexcohort.operators.density import segment_density
 from hexcohort.operators.kmeans import Segmentation, fit_kmeans, tune_k
+from hexcohort.operators.metric import dbscan_metric
 from hexcohort.operators.metrics import cluster_metrics, quality_gate
+from hexcohort.operators.nearest import core_points
 from hexcohort.operators.profile import profile_segments, segment_dimension
 from hexcohort.operators.quality import subscriber_rules
 from hexcohort.operators.recommend import scored_recommendations
@@ -43,7 +44,8 @@ def run(subs: DataFrame, pois: DataFrame | None = None, algorithm: str = "kmeans
     """Segment a subscriber table with ``kmeans``, ``dbscan`` or ``hdbscan``.
 
     The feature table is written once; every later step reads it.  A missing
-    ``home_h3`` is derived from the home position.
+    ``home_h3`` is derived from the home position.  The scorer of a DBSCAN run
+    holds its core points: a new row joins the nearest within the radius.
     """
     if "home_h3" not in subs.columns and {"home_lat", "home_lon"} <= set(subs.columns):
         subs = subs.withColumn("home_h3", hex_cell(F.col("home_lat"), F.col("home_lon"), 8))
@@ -54,7 +56,7 @@ def run(subs: DataFrame, pois: DataFrame | None = None, algorithm: str = "kmeans
     feats = selected_features(table.columns)
     cols = [f"s_{c}" for c in feats]
     arr = vector_to_array("features")
-    seg, centers = None, None
+    seg, centers, model_of = None, None, {}
     if algorithm == "kmeans":
         if tune:
             k = tune_k(table).filter("is_best").first()["k"]
@@ -64,7 +66,10 @@ def run(subs: DataFrame, pois: DataFrame | None = None, algorithm: str = "kmeans
     else:
         scaled = table.select("*", *[arr[i].alias(c) for i, c in enumerate(cols)])
         if algorithm == "dbscan":
-            labelled = dbscan(scaled, cols, eps or K.DBSCAN_PARAMS["eps"], min_samples or K.DBSCAN_PARAMS["min_samples"])
+            reach, least = eps or K.DBSCAN_PARAMS["eps"], min_samples or K.DBSCAN_PARAMS["min_samples"]
+            labelled = materialize(dbscan_metric(materialize(scaled, "scaled"), cols, reach, least), "labelled")
+            cores = core_points(labelled, cols, reach, least).withColumnRenamed("x", "centre")
+            model_of = {"references": materialize(cores, "cores"), "radius": reach}
         else:
             labelled = hdbscan(scaled, cols, epsilon=K.HDB_PARAMS["epsilon"] if eps is None else eps,
                                min_samples=min_samples or K.HDB_PARAMS["min_samples"])
@@ -75,7 +80,7 @@ def run(subs: DataFrame, pois: DataFrame | None = None, algorithm: str = "kmeans
     dim = materialize(segment_dimension(segmented), "segments")
     return Result(model, seg, segmented, metrics, profile_segments(segmented, feats), dim, scored_recommendations(dim),
                   segment_density(segmented) if "home_h3" in segmented.columns else None,
-                  scorer_from(model, centers, dim))
+                  scorer_from(model, centers, dim, **model_of))
 
 
 def write_outputs(result: Result, path: str, refresh: str | None = None) -> None:

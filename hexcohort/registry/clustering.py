@@ -14,6 +14,7 @@ from hexcohort.operators.dbscan import dbscan, hdb_flat, project_km
 from hexcohort.operators.hierarchy import Hierarchy, hdbscan
 from hexcohort.operators.kmeans import fit_kmeans, pca_2d, tune_k
 from hexcohort.operators.metric import dbscan_metric
+from hexcohort.operators.nearest import NearestIndex, core_points
 from hexcohort.operators.profile import segment_dimension
 from hexcohort.plans.feature_pipeline import fit_features
 from hexcohort.plans.scoring import Scorer, scorer_from
@@ -262,3 +263,49 @@ def score_loaded(spark: SparkSession, sf: str) -> DataFrame:
     labelled_scorer(spark, sf).save(spark, path)
     scored = Scorer.load(spark, path).score(subscribers(spark, sf))
     return scored.withColumn("recommended_plans", F.array_join("recommended_plans", ","))
+
+
+# --- many references as a table --------------------------------------------------------
+_NEAR = {"ref": "SELECT CAST(c_custkey AS BIGINT) AS id, CAST(c_acctbal AS DOUBLE) / 1000e0 AS a, CAST(c_nationkey AS DOUBLE) AS b FROM customer",
+         "q": "SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, CAST(s_acctbal AS DOUBLE) / 1000e0 AS a, CAST(s_nationkey AS DOUBLE) AS b FROM supplier",
+         "d": "SELECT s_suppkey, id, sqrt((q.a-ref.a)*(q.a-ref.a)+(q.b-ref.b)*(q.b-ref.b)) AS d FROM q, ref"}
+
+
+@query("nearest_reference", "WITH ref AS (" + _NEAR["ref"] + "), q AS (" + _NEAR["q"] + "), d AS (" + _NEAR["d"] + ") "
+       "SELECT s_suppkey, arg_min(id, (d, id)) AS id, round(min(d), 6) AS near, round(max(d), 6) AS far FROM d GROUP BY s_suppkey")
+def nearest_reference(spark: SparkSession, sf: str) -> DataFrame:
+    """The nearest customer of every supplier by balance and nation, and the distance to the farthest, through the index."""
+    def place(table: str, p: str, key: str) -> DataFrame:
+        balance = F.col(f"{p}_acctbal").cast("double") / 1000
+        return spark.read.parquet(f"{sf}/{table}.parquet").select(F.col(f"{p}_{table[:4]}key").cast("long").alias(key), F.array(balance, F.col(f"{p}_nationkey").cast("double")).alias("x"))
+
+    found = NearestIndex(place("customer", "c", "id"), "id", "x").search(place("supplier", "s", "key"), "x", farthest=True)
+    return found.select(F.col("key").alias("s_suppkey"), "id", F.round("near", 6).alias("near"), F.round("far", 6).alias("far"))
+
+
+@query("score_references", SCORE_SQL)
+def score_references(spark: SparkSession, sf: str) -> DataFrame:
+    """The scores of the labelled centroids, held as a table."""
+    scorer = labelled_scorer(spark, sf)
+    rows = [(i, c) for i, c in enumerate(scorer.centers)]
+    scorer.centers, scorer.references = None, spark.createDataFrame(rows, "segment_id int, centre array<double>")
+    scored = scorer.score(subscribers(spark, sf))
+    return scored.withColumn("recommended_plans", F.array_join("recommended_plans", ","))
+
+
+_REACH = {**_WIDE, "far": "SELECT a.subscriber_id, min(sqrt(" + "+".join(f"(a.s_{c}-b.s_{c})*(a.s_{c}-b.s_{c})" for c in Q.FEATURES35)
+          + ")) AS near FROM scaled a JOIN core ON true JOIN scaled b ON b.subscriber_id = core.i GROUP BY 1"}
+
+
+@query("score_density", Q.sub(**_REACH) + " SELECT s.subscriber_id, coalesce(near, 1e9) > " + str(_WIDE_EPS) + " AS is_noise, CASE WHEN near <= "
+       + str(_WIDE_EPS) + f" THEN {Q.rnd(f'greatest(0e0, least(1e0, 1e0-near/({_WIDE_EPS}e0+1e-6)))', 3)} ELSE 0e0 END AS confidence FROM scaled s LEFT JOIN far USING (subscriber_id)")
+def score_density(spark: SparkSession, sf: str) -> DataFrame:
+    """Every subscriber scored by a DBSCAN model of the table: nearest core point within the radius, else noise."""
+    model, table = fit_features(stored_subscribers(spark, sf))
+    x, width = vector_to_array("features"), len(Q.FEATURES35)
+    cols = [f"f{i}" for i in range(width)]
+    columns = materialize(table.select("subscriber_id", *[x[i].alias(c) for i, c in enumerate(cols)]), "features")
+    labelled = materialize(dbscan_metric(columns, cols, _WIDE_EPS, _WIDE_MIN), "labelled")
+    cores = core_points(labelled, cols, _WIDE_EPS, _WIDE_MIN).withColumnRenamed("x", "centre")
+    scored = scorer_from(model, None, references=materialize(cores, "cores"), radius=_WIDE_EPS).score(subscribers(spark, sf))
+    return scored.select("subscriber_id", (F.col("segment_id") < 0).alias("is_noise"), "confidence")

@@ -140,3 +140,21 @@ def test_whole_job_by_the_density_hierarchy(spark, sample):
     assert labels and res.segmented.count() == 400 and len({seg for _, seg in labels}) == len(labels)      # no segment mixes the two
     assert res.scorer.score(subs).count() == 400
     assert res.metrics.first()["n_clusters"] == len(labels)
+
+
+def test_whole_job_by_density_scores_new_rows_by_their_nearest_core_point(spark, sample, tmp_path):
+    numbers = [c for c in sample.columns if c not in ("subscriber_id", "same_h3_zone")]
+    near = sample.withColumns({c: F.col(c) * 0.01 for c in numbers})
+    far = near.withColumn("subscriber_id", F.concat(F.lit("far_"), "subscriber_id")).withColumns({c: F.col(c) + 0.5 for c in numbers})
+    subs = near.unionByName(far).drop("same_h3_zone")
+    res = run(subs, algorithm="dbscan", eps=3.0, min_samples=4, check=False)
+    was = res.segmented.select("subscriber_id", F.col("segment_id").alias("was"))
+    got = res.scorer.score(subs).persist()
+    assert was.filter("was >= 0").count() > 0
+    assert got.join(was, "subscriber_id").filter("(segment_id < 0) <> (was < 0)").count() == 0
+    res.scorer.save(spark, str(tmp_path / "m"), "dbscan")
+    again = Scorer.load(spark, str(tmp_path / "m"))
+    assert again.centers is None and again.radius == 3.0
+    assert again.score(subs).exceptAll(got).isEmpty()
+    again.save(spark, str(tmp_path / "m"), "dbscan")                                      # read from the same path
+    assert Scorer.load(spark, str(tmp_path / "m")).references.count() == res.scorer.references.count()
