@@ -42,7 +42,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
     return hosts.judged(pages).select("page_id", "host", "path", "rule", "verdict", "bad_low")
 
 

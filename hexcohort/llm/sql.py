@@ -127,14 +127,18 @@ def _shrunk(level: str, units: str, key: str) -> str:
 OP7 = rf"""
 WITH parsed AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    NOT contains(html, '</html>') OR length(regexp_replace(html, '<[^>]*>', '', 'g')) < 0.6 * length(html) AS bad FROM pages),
 rules(rule, rhost, rpath, verdict) AS (VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
   ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
-ruled AS (SELECT p.page_id, p.host, p.path, (SELECT arg_max(r.rule, length(r.rule)) FROM rules AS r
+ruled AS (SELECT p.page_id, p.host, p.path, p.bad, regexp_replace(p.host, ':[0-9]*$', '') AS bare, (SELECT arg_max(r.rule, length(r.rule)) FROM rules AS r
             WHERE (p.host = r.rhost OR ends_with(p.host, '.' || r.rhost)) AND starts_with(p.path, r.rpath)) AS rule FROM parsed AS p),
 fixed AS (SELECT u.*, r.verdict AS given FROM ruled AS u LEFT JOIN rules AS r ON u.rule = r.rule),
-hosts AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix,
-            count(given)::DOUBLE AS n, count(*) FILTER (given = 'block')::DOUBLE AS bad FROM fixed GROUP BY host),
+labels AS (SELECT bare, string_split(bare, '.') AS l, array_to_string(string_split(bare, '.')[-2:], '.') IN ('ac.uk', 'co.uk', 'gov.uk', 'org.uk', 'com.au', 'net.au',
+            'org.au', 'com.br', 'com.cn', 'co.in', 'ac.jp', 'co.jp', 'ne.jp', 'or.jp', 'co.kr', 'com.mx', 'co.nz', 'com.sg', 'com.tr', 'com.tw', 'co.za') AS two, bad FROM fixed),
+hosts AS (SELECT bare AS host, any_value(array_to_string(CASE WHEN two THEN l[-3:] ELSE l[-2:] END, '.')) AS domain,
+            any_value(array_to_string(CASE WHEN two THEN l[-2:] ELSE l[-1:] END, '.')) AS suffix,
+            count(bad)::DOUBLE AS n, count(*) FILTER (bad)::DOUBLE AS bad FROM labels GROUP BY bare),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix),
 suffix_units AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM hosts) AS mean, (SELECT sum(n) + 2 FROM hosts) AS known FROM domains GROUP BY suffix),
 {_shrunk('top', 'suffix_units', 'suffix')},
@@ -144,7 +148,7 @@ host_units AS (SELECT h.host, h.n, h.bad, m.rate AS mean, m.weight AS known FROM
 {_shrunk('low', 'host_units', 'host')}
 SELECT f.page_id, f.host, f.path, f.rule, coalesce(f.given, CASE WHEN round(l.rate - 1.0 * sqrt(l.rate * (1 - l.rate) / (l.weight + 1)), 6) > 0.5
     THEN 'block' ELSE 'allow' END) AS verdict, round(l.rate - 1.0 * sqrt(l.rate * (1 - l.rate) / (l.weight + 1)), 6) AS bad_low
-FROM fixed AS f LEFT JOIN low AS l ON f.host = l.host
+FROM fixed AS f LEFT JOIN low AS l ON f.bare = l.host
 """
 
 OP10 = rf"""

@@ -89,6 +89,20 @@ def test_urls_and_rules(spark):
     assert hosts.judged(df.limit(0)).collect() == []
 
 
+def test_hosts_are_judged_by_their_pages(spark):
+    """Broken and markup-heavy pages block their host whatever the suffix; ports and suffixes of two labels are understood."""
+    good, cut, thin = "<html><p>" + "plain words here " * 9 + "</html>", "<html><p>" + "plain words here " * 9, "<html>" + "<a href='x'></a>" * 9 + "</html>"
+    rows = ([("http://junk.net:8080/x", h) for h in (cut, thin) * 15] + [("http://fine.net/x", good)] * 40 + [("http://a.shop.co.uk/", cut)] * 30
+            + [("http://b.shop.co.uk/", None), ("http://junk.net/", None), ("http://new.co.uk", None), (None, None), ("http://fine.net/es/", cut)])
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string").withColumn("BAD", F.lit(1))
+    got = {(r["url"] or "", r["html"] is None): r["verdict"] for r in hosts.judged(pages).collect()}
+    assert {got[k] for k in got if "junk" in k[0] or "shop" in k[0]} == {"block"}
+    assert got["http://fine.net/x", False] == "allow" and got["http://fine.net/es/", False] == "block" and got["", True] == "allow"
+    cases = {"a.shop.co.uk": ("shop.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.y.net": ("y.net", "net"), "localhost": ("localhost", "localhost"), "": ("", "")}
+    df = spark.createDataFrame([(h,) for h in cases], "host string")
+    assert {r[0]: (r[1], r[2]) for r in df.select("host", hosts.domain_of(F.col("host")), hosts.suffix_of(F.col("host"))).collect()} == cases
+
+
 def test_shrinkage_follows_the_evidence(spark):
     rows = [("bad.spam.org", 1)] * 40 + [("new.spam.org", None)] + [(f"h{i}.good.org", 0) for i in range(30)] + [("one.good.org", 1)] + [("lonely.net", None)]
     rates = {r["host"]: r for r in hosts.reputation(spark.createDataFrame(rows, "host string, bad int")).collect()}
