@@ -3,10 +3,13 @@
 Each rule is a regex for the scanner plus, where the length of a part decides, an exact check of what was matched; a match
 that fails its check is dropped but still uses up its text, as with a regex search followed by a test.
 
-The span of a private key is its BEGIN marker, as in the SQL; ``redact`` goes on to the end of the key behind it.
+The span of a private key is its BEGIN marker, the long runs of base64 behind it (blanks or line ends between, also written as
+``\\n``), and the END marker where it follows, after at most one short run.  ``redact`` also knows header fields, quotes and
+comment marks between the lines, and goes on to the end of such keys.
 
 Defined cases: a null text has no spans and stays null when redacted; an empty text has none; very long texts are read in
-one linear pass; overlapping spans of different kinds are redacted as one; rows are independent of each other.
+one linear pass; overlapping spans of different kinds are redacted as one; rows are independent of each other, repeated ones
+too; new columns get underscores where a table has their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -47,7 +50,8 @@ RULES = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", True, _assigned, True),
     Rule("access", r"AKIA[A-Z0-9]+", check=lambda m: len(m) >= 18, base=True),
     Rule("hex", r"[0-9a-f]{16,}", base=True),
-    Rule("private_key", r"-----BEGIN\x20([A-Z]+\x20)*PRIVATE\x20KEY-----"),
+    Rule("private_key", r"-----BEGIN\x20([A-Z]+\x20)*PRIVATE\x20KEY-----(([\x20\x09\x0D\x0A]|\x5C[nr])*[A-Za-z0-9+/=]{16,})*"
+                        r"((([\x20\x09\x0D\x0A]|\x5C[nr])+[A-Za-z0-9+/=]+)?([\x20\x09\x0D\x0A]|\x5C[nr])*-----END\x20([A-Z]+\x20)*PRIVATE\x20KEY-----)?"),
     Rule("hosting", r"gh[pousr]_[A-Za-z0-9]+", check=lambda m: len(m) >= 40),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]+", check=lambda m: len(m) >= 15),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
@@ -108,7 +112,7 @@ def cleaned(text: str, mask: str) -> str:
     for a, rule, b in spans(text):
         if a >= ends:
             parts += [text[at:a], mask]
-        ends = max(ends, key_end(text, b) if RULES[rule].kind == "private_key" else b)
+        ends = max(ends, b, key_end(text, _MARKER.match(text, a).end()) if RULES[rule].kind == "private_key" else b)
         at = ends
     return "".join([*parts, text[at:]]) if parts else text
 

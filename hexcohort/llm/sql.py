@@ -82,6 +82,11 @@ FROM (SELECT * EXCLUDE (n), unnest(range(1, CAST(n AS BIGINT) + 1)) AS copy FROM
 """
 
 
+_GAP = r"([ \t\r\n]|\\[nr])"
+_KEY = (f"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----({_GAP}*[A-Za-z0-9+/=]{{16,}})*"
+        f"(({_GAP}+[A-Za-z0-9+/=]+)?{_GAP}*-----END ([A-Z]+ )*PRIVATE KEY-----)?")
+
+
 def _spans(kind: str, number: int, pattern: str, flags: str, test: str) -> str:
     """Spans of one kind: matches and the texts between them add up to the places."""
     options = f", '{flags}'" if flags else ""
@@ -102,7 +107,7 @@ spans AS (
   {_spans('assign', 0, _ASSIGN, 'i', f"length(regexp_extract(s.m, '{_VALUE}', 1)) >= 12")}
   UNION ALL {_spans('access', 1, 'AKIA[A-Z0-9]+', '', 'length(s.m) >= 18')}
   UNION ALL {_spans('hex', 2, '[0-9a-f]{16,}', '', 'true')}
-  UNION ALL {_spans('private_key', 3, '-----BEGIN ([A-Z]+ )*PRIVATE KEY-----', '', 'true')}
+  UNION ALL {_spans('private_key', 3, _KEY, '', 'true')}
   UNION ALL {_spans('hosting', 4, 'gh[pousr]_[A-Za-z0-9]+', '', 'length(s.m) >= 40')}
   UNION ALL {_spans('chat', 5, 'xox[abprs]-[A-Za-z0-9-]+', '', 'length(s.m) >= 15')}
   UNION ALL {_spans('web_token', 6, 'eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+', '', 'true')}),

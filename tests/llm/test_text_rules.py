@@ -78,11 +78,15 @@ def test_quality_keeps_clashing_columns(spark, docs_of):
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
+KEY = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:(?:[ \t\r\n]|\\[nr])*[A-Za-z0-9+/=]{16,})*"
+                 r"(?:(?:(?:[ \t\r\n]|\\[nr])+[A-Za-z0-9+/=]+)?(?:[ \t\r\n]|\\[nr])*-----END (?:[A-Z]+ )*PRIVATE KEY-----)?")
+
+
 def plain_spans(text):
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
     found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
     found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
-    found += [(m.start(), 3, m.end()) for m in re.finditer("-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", text)]
+    found += [(m.start(), 3, m.end()) for m in KEY.finditer(text)]
     found += [(m.start(), 4, m.end()) for m in re.finditer("gh[pousr]_[A-Za-z0-9]+", text) if len(m[0]) >= 40]
     found += [(m.start(), 5, m.end()) for m in re.finditer("xox[abprs]-[A-Za-z0-9-]+", text) if len(m[0]) >= 15]
     found += [(m.start(), 6, m.end()) for m in re.finditer(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", text)]
@@ -96,6 +100,14 @@ def test_spans_match_a_regex_search():
     for _ in range(3000):
         text = "".join(rng.choices(parts, k=rng.randint(1, 14)))
         assert secrets.spans(text) == plain_spans(text), text
+    parts = ["-----BEGIN ", "-----END ", "RSA ", "PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----", "A" * 15, "b+/", "Q" * 64, "==",
+             "\n", "\r\n", "\\n", " ", "\\", ",", "-", "é"]
+    for _ in range(3000):
+        text = "-----BEGIN PRIVATE KEY-----" + "".join(rng.choices(parts, k=rng.randint(1, 14)))
+        assert secrets.spans(text) == plain_spans(text), text
+    body = "\n".join(["M" * 64] * 30) + "\nQ5w=\n"
+    key = f"-----BEGIN RSA PRIVATE KEY-----\n{body}-----END RSA PRIVATE KEY-----"
+    assert secrets.spans(f"é {key} end") == [(2, 3, 2 + len(key))]
     for text in [t for t in ODD if t]:
         assert secrets.spans(text) == plain_spans(text)
 
