@@ -18,8 +18,9 @@ from hexcohort.operators.nearest import NearestIndex, core_points
 from hexcohort.operators.profile import segment_dimension
 from hexcohort.plans.feature_pipeline import fit_features
 from hexcohort.plans.scoring import Scorer, scorer_from
+from hexcohort.plans.segmentation import run, write_outputs
 from hexcohort.registry import sql as Q
-from hexcohort.registry.core import query, stored_subscribers
+from hexcohort.registry.core import SQL, query, stored_subscribers
 from hexcohort.sources.derive import subscribers
 from hexcohort.sources.scratch import materialize, scratch_path
 
@@ -309,3 +310,14 @@ def score_density(spark: SparkSession, sf: str) -> DataFrame:
     cores = core_points(labelled, cols, _WIDE_EPS, _WIDE_MIN).withColumnRenamed("x", "centre")
     scored = scorer_from(model, None, references=materialize(cores, "cores"), radius=_WIDE_EPS).score(subscribers(spark, sf))
     return scored.select("subscriber_id", (F.col("segment_id") < 0).alias("is_noise"), "confidence")
+
+
+@query("batch_job", SQL["dbscan_features"])
+def batch_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job by density: noise flags from its written labels, the number of clusters from its measures."""
+    result = run(stored_subscribers(spark, sf), algorithm="dbscan", eps=_WIDE_EPS, min_samples=_WIDE_MIN, check=False)
+    path = scratch_path(spark, "job")
+    write_outputs(result, path)
+    n = result.metrics.first()["n_clusters"]
+    labels = spark.read.parquet(f"{path}/segment_labels")
+    return labels.select("subscriber_id", (F.col("segment_id") < 0).alias("is_noise"), F.lit(n).cast("long").alias("n_clusters"))
