@@ -150,22 +150,28 @@ def fit_narrow(prefs: DataFrame, factors: int = 32, iterations: int = 30, reg: f
 
 def narrow_top_n(items: np.ndarray, patterns: DataFrame, prefs: DataFrame, subscribers: DataFrame, n: int = 3,
                  reg: float = 0.1, catalog: Sequence[str] = K.PLAN_IDS) -> DataFrame:
-    """``(subscriber_id, cf_plans)`` for a narrow catalog; unknown subscribers get the first catalog plans."""
+    """``(subscriber_id, cf_plans)`` for a narrow catalog; unknown subscribers get the first catalog plans.
+
+    Each row of ``prefs`` solves its own factors, equal weights of a batch once.  ``patterns`` are not joined back: there can be
+    nearly as many of them as subscribers, and a popular one would hold a large share of the rows.
+    """
     names = list(catalog)
 
     def best(batches):
         for pdf in batches:
             w = np.array(pdf["weights"].tolist(), dtype=float).reshape(len(pdf), len(names))
+            w, at = np.unique(w, axis=0, return_inverse=True)
             order = np.argsort(-(_user_factors(w, items, reg) @ items.T), axis=1, kind="stable")[:, :n]
-            yield pd.DataFrame({"weights": pdf["weights"], "cf_plans": [[names[i] for i in row] for row in order]})
+            yield pd.DataFrame({"subscriber_id": pdf["subscriber_id"], "cf_plans": [[names[i] for i in order[k]] for k in at.ravel()]})
 
-    top = patterns.mapInPandas(best, "weights array<double>, cf_plans array<string>")
-    known = join_small(prefs, top, "weights").select("subscriber_id", "cf_plans")
+    known = prefs.select("subscriber_id", "weights").mapInPandas(
+        best, f"subscriber_id {prefs.schema['subscriber_id'].dataType.simpleString()}, cf_plans array<string>")
     return _with_fallback(subscribers, known, n, catalog)
 
 
 def _with_fallback(subscribers: DataFrame, known: DataFrame, n: int, catalog: Sequence[str]) -> DataFrame:
-    return (subscribers.select("subscriber_id").join(known, "subscriber_id", "left")
+    # by size of its file alone Spark would broadcast a long table of few distinct values
+    return (subscribers.select("subscriber_id").join(known.hint("merge"), "subscriber_id", "left")
             .withColumn("cf_plans", F.coalesce("cf_plans", _strings(list(catalog[:n])))))
 
 

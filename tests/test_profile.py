@@ -12,6 +12,7 @@ from hexcohort.operators.density import cell_shares, distinct_over, distinct_ske
 from hexcohort.operators.drift import drift
 from hexcohort.operators.profile import (label_segments, match_archetype, name_segments, profile_segments,
                                          segment_zscores)
+from hexcohort.sources.scratch import materialize
 
 
 def test_profiles(segmented):
@@ -179,6 +180,16 @@ def test_narrow_factorisation_equals_dense_least_squares(segmented, everyone):
     assert np.allclose(items, y, rtol=1e-6, atol=1e-9)
 
 
+def test_many_patterns_of_a_small_file_are_not_broadcast(spark):
+    """Some hundred kilobytes of Parquet, but a row per subscriber: by their size Spark would send them all to the driver."""
+    prefs = materialize(spark.range(20_000).selectExpr(
+        "concat('s', id) AS subscriber_id", f"transform(sequence(1, {len(K.PLAN_IDS)}), i -> cast(pmod(id, i * 7 + 90) AS double)) AS weights"), "preferences")
+    items, patterns = np.random.default_rng(1).normal(0, 1, (len(K.PLAN_IDS), 4)), prefs.select("weights", F.lit(1).alias("n"))
+    top = R.narrow_top_n(items, patterns, prefs, prefs.select("subscriber_id"))
+    assert "BroadcastHashJoin" not in top._jdf.queryExecution().executedPlan().toString()
+    assert top.count() == 20_000 and top.filter(F.size("cf_plans") != 3).isEmpty()
+
+
 def test_given_rows_catalog_and_dispatch(spark):
     rows = [("a", "x", 1.0), ("a", "x", 2.0), ("a", "old", 9.0), ("b", "y", 4.0), ("b", "z", 0.0), ("c", "x", 3.0), ("c", "y", 1.0)]
     given = R.given_interactions(spark.createDataFrame(rows, "subscriber_id string, plan_id string, weight double"), ["x", "y", "z"])
