@@ -140,3 +140,11 @@ def test_salted_join_of_a_table_with_nothing_but_its_key(spark):
     dim = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
     rows = sorted(map(tuple, join_small(df, dim, "k", max_rows=1).collect()), key=str)
     assert rows == [("a", 1), ("a", 1), (None, None)]
+
+
+def test_join_small_never_broadcasts_what_did_not_fit(spark):
+    df = spark.range(50).withColumnRenamed("id", "k")
+    dim = materialize(spark.range(20_000).selectExpr("id AS k", "id % 3 AS v"), "dim")
+    joined = join_small(df, dim, "k")
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.filter("v = k % 3").count() == 50
