@@ -56,10 +56,10 @@ def core_distances(tiles: MetricTiles, k: int) -> DataFrame:
     """``(pid, core)``: distance to the ``k``-th nearest other row of each point; needs more than ``k`` rows."""
     done, open_ = None, None
     while True:
-        eps = tiles.eps
+        eps, pivots = tiles.eps, tiles.tried
 
-        def run(members: dict, visitors: dict, eps: float = eps) -> pa.Table:
-            i, j, _ = _within(visitors["x"], members["x"], visitors["d"], members["d"], eps)
+        def run(members: dict, visitors: dict, eps: float = eps, pivots: np.ndarray | None = pivots) -> pa.Table:
+            i, j, _ = _within(visitors["x"], members["x"], eps, pivots)
             d = _lengths(visitors["x"], members["x"], i, j)
             rows = members["w"][j] - (visitors["pid"][i] == members["pid"][j])
             i, d, rows = i[rows > 0], d[rows > 0], rows[rows > 0]
@@ -161,12 +161,10 @@ def spanning_tree(tiles: MetricTiles, cores: DataFrame, task_edges: int = TASK_E
     comp = materialize(cores.withColumn("comp", F.col("pid")), "parts")
     tree, n = None, comp.count()
     while True:
-        eps = tiles.eps
+        eps, pivots = tiles.eps, tiles.tried
 
-        def run(members: dict, visitors: dict, eps: float = eps) -> pa.Table:
-            i, j, _ = _within(visitors["x"], members["x"], visitors["d"], members["d"], eps)
-            other = visitors["comp"][i] != members["comp"][j]
-            i, j = i[other], j[other]
+        def run(members: dict, visitors: dict, eps: float = eps, pivots: np.ndarray | None = pivots) -> pa.Table:
+            i, j, _ = _within(visitors["x"], members["x"], eps, pivots, (visitors["comp"], members["comp"]))
             w = np.maximum(_lengths(visitors["x"], members["x"], i, j), np.maximum(visitors["core"][i], members["core"][j]))
             a, b, ca, cb = visitors["pid"][i], members["pid"][j], visitors["comp"][i], members["comp"][j]
             a, b = np.minimum(a, b), np.maximum(a, b)
@@ -177,9 +175,11 @@ def spanning_tree(tiles: MetricTiles, cores: DataFrame, task_edges: int = TASK_E
         chosen, roots = spanning_forest(found.filter(F.col("w") <= eps), task_edges)
         tree = chosen if tree is None else tree.unionByName(chosen)
         comp = materialize(comp.join(roots, "comp", "left").select("pid", "core", F.coalesce("root", "comp").alias("comp")), "parts")
-        if comp.select("comp").distinct().limit(2).count() < 2:
+        largest = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "comp").limit(2).collect()
+        if len(largest) < 2:
             return materialize(tree, "tree")
-        tiles = tiles.at(eps * 2)
+        # an edge between two parts has an end outside the largest one
+        tiles = tiles.at(eps * 2, comp.filter(F.col("comp") != largest[0]["comp"]))
 
 
 class _Merging:

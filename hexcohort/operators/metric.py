@@ -7,10 +7,15 @@ as wide as the radius.  A point ``q`` has to look at a point ``p`` of another ce
 * half the difference of ``q``'s distances to that pivot and to its own is within the radius (``p`` is nearer to its pivot).
 
 Visits are copies of points at such borders.  A ring is cut into blocks of members, and its visitors into blocks as well, so a
-task compares two bounded blocks whatever the size of a ring.  Inside the task a pair is compared exactly only if its distances
-to all pivots differ by no more than the radius.
+task compares two bounded blocks whatever the size of a ring.  Where the pivots cut so little that a point would be copied to more
+rings than there are wide blocks of all points (``WIDE``), every wide block of visitors meets every wide block of points instead,
+which copies a point less often.  Only coordinates are shuffled; distances to pivots are taken inside the tasks.
 
-Tasks write no pairs: a count per visitor, or the links that join two parts of the block (fewer than it has points).
+Tasks write no pairs: a count per visitor, or one link for two parts that meet in the block.
+
+DBSCAN needs few of these visits.  Points that have enough rows in their own block are core points, the others look around; core
+points of a block are joined inside it, then one point of every part looks around, then the points outside the largest part do
+(two parts meet at a point that is not in the largest), and so do the points that are no core points.
 """
 
 from __future__ import annotations
@@ -27,87 +32,173 @@ from hexcohort.operators.components import connected_components
 from hexcohort.operators.numbering import number_rows
 from hexcohort.sources.scratch import materialize
 
-#: Pivots grow with the square root of the points, between these bounds; points of a block.
-LEAST_PIVOTS, MOST_PIVOTS, BLOCK = 16, 512, 1024
+#: Pivots grow with the square root of the points, between these bounds; points of a block, and of a block where pivots cut little.
+LEAST_PIVOTS, MOST_PIVOTS, BLOCK, WIDE = 16, 512, 1024, 4096
+#: Pairs that a task looks at together; pivots that all of them are tried by, and the most that are tried on those left.
+PAIRS, FIRST_PIVOTS, TRIED_PIVOTS = 1 << 22, 4, 32
 
 
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum((x * x).sum(1)[:, None] - 2 * x @ y.T + (y * y).sum(1), 0))
+    """All distances by one product of the matrices; small ones, which that rounds most, by differences."""
+    centre = y.mean(0) if len(y) else 0.0
+    x, y = x - centre, y - centre
+    xx, yy = (x * x).sum(1), (y * y).sum(1)
+    d = np.maximum(xx[:, None] - 2 * x @ y.T + yy, 0)
+    i, j = np.nonzero(d <= 1e-4 * (xx.max(initial=0) + yy.max(initial=0)))
+    for at in range(0, len(i), 1 << 16):
+        s = slice(at, at + (1 << 16))
+        d[i[s], j[s]] = ((x[i[s]] - y[j[s]]) ** 2).sum(1)
+    return np.sqrt(d)
 
 
-def _within(x: np.ndarray, y: np.ndarray, dx: np.ndarray, dy: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray, int]:
+def _within(x: np.ndarray, y: np.ndarray, eps: float, pivots: np.ndarray | None = None,
+            others: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """(i, j) of all pairs with a distance of at most ``eps``, and how many pairs the pivots left to compare.
 
-    ``dx`` and ``dy`` are distances to the pivots.  Compared by plain differences: no pair depends on what else is there.
+    A pair counts by its plain difference, so none depends on what else is there: the product of the matrices settles the pairs
+    that rounding cannot turn.  With ``others``, a part per row of ``x`` and of ``y``, pairs of one part are left out.
     """
-    open_ = np.ones((len(x), len(y)), bool)
-    slack = eps * (1 + 1e-9) + 1e-9 * (1 + np.abs(dx).max(initial=0))
-    for k in range(dx.shape[1]):
-        open_ &= np.abs(dx[:, k][:, None] - dy[:, k][None, :]) <= slack
-    i, j = np.nonzero(open_)
-    near = np.zeros(len(i), bool)
+    step = max(1, PAIRS // max(1, len(y)))
+    dy = None if pivots is None else _distances(y, pivots[:TRIED_PIVOTS])
+    found_i, found_j, compared = [], [], 0
+    for at in range(0, len(x), step):
+        own = None if others is None else (others[0][at:at + step], others[1])
+        i, j, n = _some_within(x[at:at + step], y, eps, pivots, dy, own)
+        found_i.append(i + at)
+        found_j.append(j)
+        compared += n
+    empty = np.zeros(0, np.int64)
+    return np.concatenate([empty, *found_i]), np.concatenate([empty, *found_j]), compared
+
+
+def _some_within(x: np.ndarray, y: np.ndarray, eps: float, pivots: np.ndarray | None, dy: np.ndarray | None,
+                 others: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray, int]:
+    open_ = None
+    if others is not None:
+        open_ = others[0][:, None] != others[1][None, :]
+    if pivots is not None:
+        dx = _distances(x, pivots[:TRIED_PIVOTS])
+        slack = eps * (1 + 1e-9) + 1e-9 * (1 + max(dx.max(initial=0), dy.max(initial=0)))
+        for k in range(min(FIRST_PIVOTS, dx.shape[1])):
+            left = np.abs(dx[:, k][:, None] - dy[:, k][None, :]) <= slack
+            open_ = left if open_ is None else open_ & left
+    compared = x.shape[0] * y.shape[0] if open_ is None else int(np.count_nonzero(open_))
+    if pivots is not None and compared * 10 < len(x) * len(y):
+        i, j = np.nonzero(open_)
+        for k in range(FIRST_PIVOTS, dx.shape[1]):
+            left = np.abs(dx[i, k] - dy[j, k]) <= slack
+            i, j = i[left], j[left]
+        compared, near = len(i), np.zeros(len(i), bool)
+    else:
+        centre = y.mean(0) if len(y) else 0.0
+        xc, yc = x - centre, y - centre
+        xx, yy = (xc * xc).sum(1), (yc * yc).sum(1)
+        square = xx[:, None] - 2 * xc @ yc.T + yy
+        doubt = 1e-12 * (x.shape[1] + 8) * (xx.max(initial=0) + yy.max(initial=0) + eps * eps)
+        reach = square <= eps * eps + doubt
+        i, j = np.nonzero(reach if open_ is None else reach & open_)
+        near = square[i, j] < eps * eps - doubt
     for at in range(0, len(i), 1 << 16):
-        a, b = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
-        near[at:at + (1 << 16)] = np.sqrt(((x[a] - y[b]) ** 2).sum(1)) <= eps
-    return i[near], j[near], len(i)
+        s = at + np.flatnonzero(~near[at:at + (1 << 16)])
+        near[s] = np.sqrt(((x[i[s]] - y[j[s]]) ** 2).sum(1)) <= eps
+    return i[near], j[near], compared
+
+
+def _spans(x: np.ndarray, pivots: np.ndarray, top: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and the cells they visit, with the first and the last ring there; ``top`` has the last ring of every cell."""
+    d = _distances(x, pivots)
+    slack = 1e-9 * (1 + d.max())
+    q, c = np.nonzero((d - d.min(1)[:, None]) / 2 <= width + slack)
+    low = np.floor(np.maximum(d[q, c] - width - slack, 0) / width).astype(np.int64)
+    high = np.minimum(np.floor((d[q, c] + width + slack) / width).astype(np.int64), top[c])
+    some = low <= high
+    return q[some], c[some], low[some], high[some]
 
 
 class MetricTiles:
     """The points of a table in tiles: a block of a ring and a block of its visitors."""
 
-    def __init__(self, df: DataFrame, features: Sequence[str], eps: float | None, block: int = BLOCK):
+    dense = False       # whether wide blocks meet instead of rings and their visitors
+
+    def __init__(self, df: DataFrame, features: Sequence[str], eps: float | None, block: int = BLOCK, wide: int = WIDE):
         """Rows with a null or non-finite coordinate take no part; equal rows are one point with a weight.  Without a radius the
         tiles are made by ``at``.
         """
-        self.features, self.block = list(features), block
+        self.features, self.block, self.wide = list(features), block, wide
         xs = F.array(*[F.col(f"`{f}`").cast("double") + F.lit(0.0) for f in features])
         finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
         folded = df.select(xs.alias("x")).filter(finite).groupBy("x").agg(F.count(F.lit(1)).alias("w"))
         self.points = materialize(folded.withColumn("pid", F.monotonically_increasing_id()), "points")
-        n = self.points.count()
-        wanted = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, n ** 0.5 / 2)))
+        self.n = self.points.count()
+        wanted = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, self.n ** 0.5 / 2)))
         self.pivots = np.array([r[0] for r in self.points.orderBy(F.xxhash64("x"), "pid").limit(wanted).select("x").collect()])     # bounded
         if eps is not None:
             self._place(float(eps))
+            self._look(None)
 
     def at(self, eps: float, visitors: DataFrame | None = None) -> MetricTiles:
         """The same points and pivots for another radius; only the points of ``visitors(pid)`` look for neighbours."""
         other = copy.copy(self)
-        other._place(float(eps), visitors)
+        other._place(float(eps))
+        other._look(visitors)
+        return other
+
+    def seen_by(self, visitors: DataFrame) -> MetricTiles:
+        """The same tiles for the points of ``visitors(pid)`` alone."""
+        other = copy.copy(self)
+        other._look(visitors)
         return other
 
-    def _place(self, eps: float, visitors: DataFrame | None = None) -> None:
+    def _place(self, eps: float) -> None:
         self.eps = width = eps
         pivots, block = self.pivots, self.block
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                if not b.num_rows:
-                    continue
-                x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-                d = _distances(x, pivots)
-                cell = d.argmin(1)
-                own = d[np.arange(len(x)), cell]
-                slack = 1e-9 * (1 + d.max())
-                q, c = np.nonzero((d - own[:, None]) / 2 <= width + slack)
-                low = np.floor(np.maximum(d[q, c] - width - slack, 0) / width).astype(np.int64)
-                high = np.floor((d[q, c] + width + slack) / width).astype(np.int64)
-                edge = np.concatenate([[0], np.cumsum(np.bincount(q, minlength=len(x)))]).astype(np.int32)
-                visits = pa.ListArray.from_arrays(pa.array(edge), pa.StructArray.from_arrays([pa.array(c), pa.array(low), pa.array(high)], names=["cell", "low", "high"]))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), b.column(2), pa.array(cell), pa.array(np.floor(own / width).astype(np.int64)), visits,
-                     pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * d.shape[1]), pa.array(d.ravel()))],
-                    names=["pid", "x", "w", "cell", "ring", "visits", "d"])
-
-        spec = "pid long, x array<double>, w long, cell long, ring long, visits array<struct<cell:long,low:long,high:long>>, d array<double>"
+                if b.num_rows:
+                    d = _distances(b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1), pivots)
+                    cell = d.argmin(1)
+                    ring = np.floor(d[np.arange(len(d)), cell] / width).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(ring)], names=["pid", "x", "w", "cell", "ring"])
+
+        spec = "pid long, x array<double>, w long, cell long, ring long"
         self.placed = materialize(self.points.select("pid", "x", "w").mapInArrow(place, spec), "placed")
-        members = self.placed.groupBy("cell", "ring").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("mb"))
-        v = F.explode("visits").alias("v")
+        self.rings = materialize(self.placed.groupBy("cell", "ring").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("mb")), "rings")
+        self.top = np.full(len(pivots), -1)
+        for cell, ring in self.rings.groupBy("cell").agg(F.max("ring")).collect():      # one row per pivot
+            self.top[cell] = ring
+
+    def _look(self, visitors: DataFrame | None) -> None:
         looking = self.placed if visitors is None else self.placed.join(visitors.select("pid"), "pid", "left_semi")
-        visits = (looking.select("pid", v).select("pid", F.col("v.cell").alias("cell"), F.explode(F.sequence("v.low", "v.high")).alias("ring"))
-                  .join(members, ["cell", "ring"]))                     # rings that have members
+        looking = looking.select("pid", "x")
+        self.wide_members = max(1, -(-self.n // self.wide))
+        pivots, top, width = self.pivots, self.top, self.eps
+
+        def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = visits = 0
+            for b in batches:
+                if b.num_rows:
+                    _, _, low, high = _spans(b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1), pivots, top, width)
+                    rows, visits = rows + b.num_rows, visits + int((high - low + 1).sum())
+            yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([visits])], names=["rows", "visits"])
+
+        rows, visits = looking.mapInArrow(number, "rows long, visits long").agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("visits"), F.lit(0))).first()
+        self.dense = visits > rows * max(8, self.wide_members)
+        self.wide_visitors = max(1, -(-rows // self.wide))
+        if self.dense:
+            self.looking = looking.select("pid")
+            return
+
+        def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    q, c, low, high = _spans(b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1), pivots, top, width)
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(q)), pa.array(c), pa.array(low), pa.array(high)], names=["pid", "cell", "low", "high"])
+
+        visits = looking.mapInArrow(visit, "pid long, cell long, low long, high long")
+        visits = visits.select("pid", "cell", F.explode(F.sequence("low", "high")).alias("ring")).join(self.rings, ["cell", "ring"])     # rings that have members
         visits = materialize(visits, "visits")
-        blocks = visits.groupBy("cell", "ring").agg(F.first("mb").alias("mb"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("vb"))
+        blocks = visits.groupBy("cell", "ring").agg(F.first("mb").alias("mb"), F.ceil(F.count(F.lit(1)) / self.block).cast("int").alias("vb"))
         self.blocks = materialize(blocks, "rings")
         self.visits = visits.drop("mb")
 
@@ -117,98 +208,169 @@ class MetricTiles:
         ``extra(pid, ...)`` adds columns and names the points that take part.  With ``part``, one of these columns, a visit to a
         ring that holds nothing but the visitor's own part is left out.
         """
-        width, columns = len(self.features), ["pid", "x", "w", "d"]
-        points = self.placed.select("pid", "x", "w", "d", "cell", "ring")
+        columns = ["pid", "x", "w"]
+        points = self.placed.select("pid", "x", "w", "cell", "ring")
         if extra is not None:
             points, columns = points.join(extra, "pid"), [*columns, *[c for c in extra.columns if c != "pid"]]
+        if self.dense:
+            slot = lambda n: F.pmod(F.xxhash64("pid"), F.lit(n)).cast("int")        # noqa: E731
+            every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))         # noqa: E731
+            whole = [F.lit(0).cast("long").alias("cell"), F.lit(0).cast("long").alias("ring")]
+            member = points.withColumn("m", slot(self.wide_members)).withColumn("v", every(self.wide_visitors))
+            visitor = points.join(self.looking.hint("merge"), "pid", "left_semi").withColumn("v", slot(self.wide_visitors)).withColumn("m", every(self.wide_members))
+            return self._tiles(fn, out, member.select(*columns, *whole, "m", "v"), visitor.select(*columns, *whole, "m", "v"), columns)
         rings, other = self.blocks, F.lit(True)
         if part is not None:
             rings = rings.join(points.groupBy("cell", "ring").agg(F.min(part).alias("low_"), F.max(part).alias("high_")), ["cell", "ring"])
             other = (F.col("low_") != F.col("high_")) | (F.col("low_") != F.col(part))
         of = F.pmod(F.xxhash64("pid"), F.col("mb")).cast("int")
         member = (points.join(self.blocks, ["cell", "ring"]).withColumn("m", of).withColumn("v", F.explode(F.sequence(F.lit(0), F.col("vb") - 1)))
-                  .select(*columns, "cell", "ring", "m", "v", F.lit(True).alias("is_member")))
+                  .select(*columns, "cell", "ring", "m", "v"))
         seen = F.pmod(F.xxhash64("pid"), F.col("vb")).cast("int")
         visitor = (self.visits.join(points.drop("cell", "ring").hint("merge"), "pid").join(rings, ["cell", "ring"]).filter(other).withColumn("v", seen)
                    .withColumn("m", F.explode(F.sequence(F.lit(0), F.col("mb") - 1)))
-                   .select(*columns, "cell", "ring", "m", "v", F.lit(False).alias("is_member")))
+                   .select(*columns, "cell", "ring", "m", "v"))
+        return self._tiles(fn, out, member, visitor, columns)
+
+    def own_blocks(self, fn, out: str, extra: DataFrame | None = None) -> DataFrame:
+        """``fn(members, members)`` per block of a ring: what points find without any copy."""
+        columns = ["pid", "x", "w"]
+        points = self.placed
+        if extra is not None:
+            points, columns = points.join(extra, "pid"), [*columns, *[c for c in extra.columns if c != "pid"]]
+        of = F.pmod(F.xxhash64("pid"), F.col("mb")).cast("int")
+        member = points.join(self.rings, ["cell", "ring"]).select(*columns, "cell", "ring", of.alias("m"), F.lit(0).alias("v"))
+        return self._tiles(fn, out, member, None, columns)
+
+    def _tiles(self, fn, out: str, member: DataFrame, visitor: DataFrame | None, columns: list[str]) -> DataFrame:
+        width, alone = len(self.features), visitor is None
+
+        def side(t: pa.Table) -> dict:
+            arrays = {c: t.column(c).to_numpy() for c in columns if c != "x"}
+            arrays["x"] = t.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            return arrays
 
         def tile(group: pa.Table) -> pa.Table:
+            if alone:
+                own = side(group)
+                return fn(own, own)
             flag = group.column("is_member").to_numpy()
-            sides = []
-            for part in (flag, ~flag):
-                t = group.filter(pa.array(part))
-                side = {c: t.column(c).to_numpy() for c in columns if c not in ("x", "d")}
-                side["x"] = t.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-                side["d"] = t.column("d").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(t), -1 if len(t) else 1)
-                sides.append(side)
-            if not len(sides[0]["pid"]) or not len(sides[1]["pid"]):
-                return empty
-            return fn(*sides)
+            members, visitors = side(group.filter(pa.array(flag))), side(group.filter(pa.array(~flag)))
+            return fn(members, visitors) if len(members["pid"]) and len(visitors["pid"]) else empty
 
         names = [c.split(" ") for c in out.split(", ")]
         empty = pa.table({n: pa.array([], {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[t]) for n, t in names})
-        return member.unionByName(visitor).groupBy("cell", "ring", "m", "v").applyInArrow(tile, out)
+        both = member.withColumn("is_member", F.lit(True))
+        if visitor is not None:
+            both = both.unionByName(visitor.withColumn("is_member", F.lit(False)))
+        return both.groupBy("cell", "ring", "m", "v").applyInArrow(tile, out)
 
-    def counts(self) -> DataFrame:
-        """``(pid, near, compared)``: rows within the radius of each point, itself included, and pairs that were compared."""
-        eps = self.eps
+    @property
+    def tried(self) -> np.ndarray | None:
+        """Pivots that are worth trying on the pairs of a tile."""
+        return None if self.dense else self.pivots
+
+    def _counted(self):
+        eps, pivots = self.eps, self.tried
 
         def run(members: dict, visitors: dict) -> pa.Table:
-            i, j, compared = _within(visitors["x"], members["x"], visitors["d"], members["d"], eps)
+            i, j, compared = _within(visitors["x"], members["x"], eps, pivots)
             near = np.bincount(i, members["w"][j], minlength=len(visitors["pid"])).astype(np.int64)
             share = np.zeros(len(near), np.int64)
             share[0] = compared
             return pa.table({"pid": pa.array(visitors["pid"]), "near": pa.array(near), "compared": pa.array(share)})
 
-        found = self.run(run, "pid long, near long, compared long")
+        return run, "pid long, near long, compared long"
+
+    def counts(self) -> DataFrame:
+        """``(pid, near, compared)``: rows within the radius of each visitor, itself included, and pairs that were compared."""
+        found = self.run(*self._counted())
         return found.groupBy("pid").agg(F.sum("near").alias("near"), F.sum("compared").alias("compared"))
 
-    def links(self, cores: DataFrame) -> DataFrame:
-        """``(a, b, border)`` for ``cores(pid, core)``: links that join core points, and a core point of each part a border point reaches."""
-        eps = self.eps
+    def cores(self, min_samples: int) -> DataFrame:
+        """``(pid, core)``: whether a point has ``min_samples`` rows within the radius, itself included.
 
-        def run(members: dict, visitors: dict) -> pa.Table:
-            i, j, _ = _within(visitors["x"], members["x"], visitors["d"], members["d"], eps)
-            keep = members["core"][j]
-            i, j = i[keep], j[keep]
-            pids, at = np.unique(np.concatenate([members["pid"], visitors["pid"]]), return_inverse=True)
-            m_at, v_at = at[:len(members["pid"])], at[len(members["pid"]):]
-            part, a, b, border = np.arange(len(pids)), [], [], []
-            edge = np.searchsorted(i, np.arange(len(v_at) + 1))
-            for core in (True, False):                      # border points when all parts are joined
-                for v in np.flatnonzero(visitors["core"] == core):
-                    reached = m_at[j[edge[v]:edge[v + 1]]]
-                    parts, first = np.unique(part[reached], return_index=True)
-                    if core:
-                        parts = parts[parts != part[v_at[v]]]
-                    for p in parts:
-                        a.append(pids[v_at[v]])
-                        b.append(pids[reached[np.flatnonzero(part[reached] == p)[0]]])
-                        border.append(not core)
-                    if core:
-                        part[np.isin(part, parts)] = part[v_at[v]]
-            return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "border": pa.array(border, pa.bool_())})
-
-        return self.run(run, "a long, b long, border boolean", cores).distinct()
-
-
-def dbscan_metric(df: DataFrame, features: Sequence[str], eps: float, min_samples: int, label: str = "segment_id", block: int = BLOCK) -> DataFrame:
+        Most have them in their own block; only the others look around.
+        """
+        first = materialize(self.own_blocks(*self._counted()).select("pid", (F.col("near") >= min_samples).alias("core")), "cores")
+        rest = self.seen_by(first.filter("NOT core")).counts().select("pid", (F.col("near") >= min_samples).alias("core"))
+        return materialize(first.filter("core").unionByName(rest), "cores")
+
+    def parts(self, cores: DataFrame) -> DataFrame:
+        """``(node, comp)`` of the core points of ``cores(pid, core)``: what steps of at most the radius join."""
+        eps = self.eps
+        alone = cores.filter("core").select("pid")
+
+        def join(members: dict, _: dict) -> pa.Table:
+            pid, x = members["pid"], members["x"]
+            part, left = np.full(len(pid), -1), np.argsort(pid, kind="stable")
+            while len(left):
+                least, new = pid[left[0]], left[:1]
+                part[new], left = least, left[1:]
+                while len(new) and len(left):
+                    _, j, _ = _within(x[new], x[left], eps)
+                    hit = np.zeros(len(left), bool)
+                    hit[j] = True
+                    new, left = left[hit], left[~hit]
+                    part[new] = least
+            return pa.table({"pid": pa.array(pid), "comp": pa.array(part)})
+
+        comp = materialize(self.own_blocks(join, "pid long, comp long", alone), "parts")
+        one = comp.groupBy("comp").agg(F.min("pid").alias("pid"))
+        comp = self._joined(comp, one)
+        sizes = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "comp").limit(2).collect()
+        if len(sizes) > 1:
+            comp = self._joined(comp, comp.filter(F.col("comp") != sizes[0]["comp"]))
+        return comp.select(F.col("pid").alias("node"), "comp")
+
+    def _joined(self, comp: DataFrame, visitors: DataFrame) -> DataFrame:
+        """Parts ``(pid, comp)`` after the points of ``visitors(pid)`` have looked for other parts."""
+        tiles = self.seen_by(visitors)
+        eps, pivots = self.eps, tiles.tried
+
+        def meet(members: dict, visitors: dict) -> pa.Table:
+            i, j, _ = _within(visitors["x"], members["x"], eps, pivots, (visitors["comp"], members["comp"]))
+            a, b = visitors["comp"][i], members["comp"][j]
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+            return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+        links = materialize(tiles.run(meet, "a long, b long", comp, "comp").distinct(), "links")
+        top = connected_components(comp.select(F.col("comp").alias("node")).distinct(), links)
+        return materialize(comp.join(top.select(F.col("node").alias("comp"), F.col("comp").alias("top_")), "comp").select("pid", F.col("top_").alias("comp")), "parts")
+
+    def border(self, cores: DataFrame, of_core: DataFrame) -> DataFrame:
+        """``(node, seg)``: the smallest ``seg`` of ``of_core(node, seg)`` in reach of the points that are no core points."""
+        tiles = self.seen_by(cores.filter("NOT core"))
+        eps, pivots = self.eps, tiles.tried
+        seg = cores.select("pid", "core").join(of_core.select(F.col("node").alias("pid"), F.col("seg").cast("long").alias("seg")), "pid", "left")
+
+        def least(members: dict, visitors: dict) -> pa.Table:
+            core = members["core"].astype(bool)
+            i, j, _ = _within(visitors["x"], members["x"][core], eps, pivots)
+            best = np.full(len(visitors["pid"]), np.iinfo(np.int64).max)
+            np.minimum.at(best, i, members["seg"][core][j].astype(np.int64))
+            some = np.unique(i)
+            return pa.table({"node": pa.array(visitors["pid"][some]), "seg": pa.array(best[some])})
+
+        found = tiles.run(least, "node long, seg long", seg.withColumn("seg", F.coalesce("seg", F.lit(-1).cast("long"))))
+        return found.groupBy("node").agg(F.min("seg").cast("int").alias("seg"))
+
+
+def dbscan_metric(df: DataFrame, features: Sequence[str], eps: float, min_samples: int, label: str = "segment_id", block: int = BLOCK, wide: int = WIDE) -> DataFrame:
     """DBSCAN in many dimensions: adds ``label``, clusters numbered from 0 by falling size of their core, noise -1.
 
     A point counts itself.  A border point in reach of several clusters joins the one with the smallest number.  Rows with a
     null or non-finite feature are noise.
     """
-    tiles = MetricTiles(df, features, eps, block)
-    cores = materialize(tiles.counts().select("pid", (F.col("near") >= min_samples).alias("core")), "cores")
-    found = materialize(tiles.links(cores), "links")
-    nodes = cores.filter("core").select(F.col("pid").alias("node"))
-    comp = connected_components(nodes, found.filter("NOT border").select("a", "b"))
+    tiles = MetricTiles(df, features, None, block, wide)
+    tiles._place(float(eps))
+    cores = tiles.cores(min_samples)
+    comp = tiles.parts(cores)
     weights = tiles.points.select(F.col("pid").alias("node"), "w")
     sizes = comp.join(weights, "node").groupBy("comp").agg(F.sum("w").alias("size"), F.min("node").alias("first"))
     ids = number_rows(sizes, "seg", [F.desc("size"), "first"]).select("comp", F.col("seg").cast("int").alias("seg"))
     of_core = materialize(comp.join(ids, "comp").select("node", "seg"), "segments")
-    loose = (found.filter("border").join(of_core.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("seg").alias("seg")))
+    loose = tiles.border(cores, of_core)
     of_point = tiles.points.withColumnRenamed("pid", "node").join(of_core.unionByName(loose), "node").select("x", "seg")
     of_point = materialize(of_point, "labels")
     xs = F.array(*[F.col(f"`{f}`").cast("double") + F.lit(0.0) for f in features])

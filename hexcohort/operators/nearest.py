@@ -160,8 +160,9 @@ class NearestIndex:
 
 def core_points(df: DataFrame, features: list[str], eps: float, min_samples: int, label: str = "segment_id") -> DataFrame:
     """``(label, x)``: the distinct core points of a table that DBSCAN has labelled, the references of its model."""
-    tiles = MetricTiles(df, features, eps)
-    cores = tiles.counts().filter(F.col("near") >= min_samples).join(tiles.points, "pid").select("x")
+    tiles = MetricTiles(df, features, None)
+    tiles._place(float(eps))
+    cores = tiles.cores(min_samples).filter("core").join(tiles.points, "pid").select("x")
     xs = F.array(*[F.col(f"`{f}`").cast("double") + F.lit(0.0) for f in features])
     labels = df.select(xs.alias("x"), label).groupBy("x").agg(F.min(label).alias(label))       # equal rows have one label
     return cores.join(labels, "x").select(label, "x")
