@@ -3,8 +3,9 @@
 The references are a table.  A bounded number of them are pivots; a reference belongs to the cell of its nearest pivot and to a
 ring of it by its distance.  Per cell a task knows the span of these distances only.  A row looks into a ring if the triangle
 inequality leaves room for something nearer than what is known already: its nearest pivot, then the best of the ring it falls
-into, then all rings still open.  Rings are cut into blocks of references, their visitors into blocks as well, so a task compares
-two bounded blocks and writes one row per visitor.  No references reach the driver but the pivots.
+into, then all rings still open; a radius is one more bound, but a wide one leaves most rings open.  References of a single block
+go to the tasks of the rows instead.  Rings are cut into blocks of references, their visitors into blocks as well, so a task compares
+two bounded blocks and writes one row per visitor.  No references reach the driver but the pivots, or the single block.
 
 Distances are sums over the coordinates in their order, so a result does not depend on blocks or partitions.  Of references at
 the same distance the smallest id is taken.
@@ -53,9 +54,16 @@ class NearestIndex:
         self.radius, self.block = radius, block
         rows = references.select(F.col(label).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x")).filter(_usable("x"))
         rows = materialize(rows.withColumn("x", F.transform("x", lambda v: v + F.lit(0.0))).groupBy("x").agg(F.min("id").alias("id")), "references")
-        wanted = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, -(-rows.count() * 2 // block))))
+        n = rows.count()
+        wanted = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, -(-n * 2 // block))))
         self.pivots = pivots = np.array([r[0] for r in rows.orderBy(F.xxhash64("x"), "x").limit(wanted).select("x").collect()])      # bounded
 
+        self.one = None
+        if n <= block:                  # bounded: one block, which goes to every task instead of rows to it
+            few = rows.orderBy("id").collect()
+            self.one = np.array([r["id"] for r in few], np.int64), np.array([r["x"] for r in few])
+            return
+
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if b.num_rows:
@@ -84,17 +92,33 @@ class NearestIndex:
         rows = df.select("key", F.col(vector).cast("array<double>").alias("x")).filter(_usable("x"))
         if not len(self.pivots):
             return rows.select("key", F.lit(0).cast("long").alias("id"), F.lit(0.0).alias("near"), F.lit(0.0).alias("far")).limit(0)
-        bound = rows.select("key", "x", F.lit(float("inf") if self.radius is None else self.radius).alias("bound"))
-        first = None
-        if self.radius is None:         # a radius is bound enough
+        if self.one is not None:
+            found = self._in_place(rows, farthest)
+        else:
+            reach = F.lit(float("inf") if self.radius is None else float(self.radius))
+            bound = rows.select("key", "x", reach.alias("bound"))
             first = materialize(self._compare(self._visits(bound, own=True), False), "near")
-            bound = rows.join(first.select("key", "near"), "key", "left").select("key", "x", F.coalesce("near", F.lit(float("inf"))).alias("bound"))
-        found = self._compare(self._visits(bound, farthest=farthest), farthest)
-        found = found if first is None else found.unionByName(first)
+            bound = rows.join(first.select("key", "near"), "key", "left").select("key", "x", F.least("near", reach).alias("bound"))
+            found = self._compare(self._visits(bound, farthest=farthest), farthest).unionByName(first)
         best = found.groupBy("key").agg(F.min(F.struct("near", "id")).alias("best"), F.max("far").alias("far"))
         best = best.select("key", "best.id", "best.near", "far")
         return best if self.radius is None else best.filter(F.col("near") <= self.radius)
 
+    def _in_place(self, rows: DataFrame, farthest: bool) -> DataFrame:
+        """``(key, id, near, far)`` of all rows where all references are one block: every task holds it, no vector is shuffled."""
+        ids, x, radius = *self.one, self.radius
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for at in range(0, b.num_rows, BLOCK):
+                    part = b.slice(at, BLOCK)
+                    gaps = _gaps(_vectors(part.column(1)), x)
+                    far = pa.array(gaps.max(1)) if farthest else pa.nulls(len(gaps), pa.float64())
+                    found = pa.RecordBatch.from_arrays([part.column(0), pa.array(ids[gaps.argmin(1)]), pa.array(gaps.min(1)), far], names=["key", "id", "near", "far"])
+                    yield found if radius is None else found.filter(pa.array(gaps.min(1) <= radius))
+
+        return rows.mapInArrow(compare, "key long, id long, near double, far double")
+
     def _visits(self, rows: DataFrame, own: bool = False, farthest: bool = False) -> DataFrame:
         """``(key, x, cell, ring)`` of the rings that ``rows(key, x, bound)`` have to look into; ``own``: the one they fall into."""
         pivots, low, high, width = self.pivots, self.low, self.high, self.width
