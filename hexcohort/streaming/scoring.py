@@ -79,16 +79,15 @@ def run_to_files(raw: DataFrame, scorer: Scorer, out: str, dead: str, checkpoint
     overwrites its own folder.  Counters are taken in the same pass.
     """
     def write(batch: DataFrame, number: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)     # read the source once for both sinks
+        decoded = decode(batch).persist(StorageLevel.MEMORY_AND_DISK)       # read and parse the source once for both sinks
         try:
-            decoded = decode(batch)
             seen = Observation()
             counted = decoded.observe(seen, F.count(F.lit(1)).alias("processed"), F.count_if("is_bad").alias("errors"))
             score_events(events_of(counted), scorer).write.mode("overwrite").parquet(f"{out}/batch={number}")
             dead_letters(decoded).write.mode("overwrite").parquet(f"{dead}/batch={number}")
             progress.append({"batch": number, **seen.get})
         finally:
-            batch.unpersist()
+            decoded.unpersist()
 
     progress: list[dict] = []
     writer = raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
