@@ -356,15 +356,21 @@ class MetricTiles:
         return found.groupBy("node").agg(F.min("seg").cast("int").alias("seg"))
 
 
-def dbscan_metric(df: DataFrame, features: Sequence[str], eps: float, min_samples: int, label: str = "segment_id", block: int = BLOCK, wide: int = WIDE) -> DataFrame:
+def core_flags(df: DataFrame, features: Sequence[str], eps: float, min_samples: int, block: int = BLOCK, wide: int = WIDE) -> tuple[MetricTiles, DataFrame]:
+    """The tiles of a table and ``(pid, core)`` of their points; the labels and the model of one DBSCAN run share them."""
+    tiles = MetricTiles(df, features, None, block, wide)
+    tiles._place(float(eps))
+    return tiles, tiles.cores(min_samples)
+
+
+def dbscan_metric(df: DataFrame, features: Sequence[str], eps: float, min_samples: int, label: str = "segment_id", block: int = BLOCK, wide: int = WIDE,
+                  known: tuple[MetricTiles, DataFrame] | None = None) -> DataFrame:
     """DBSCAN in many dimensions: adds ``label``, clusters numbered from 0 by falling size of their core, noise -1.
 
     A point counts itself.  A border point in reach of several clusters joins the one with the smallest number.  Rows with a
-    null or non-finite feature are noise.
+    null or non-finite feature are noise.  ``known`` is what ``core_flags`` found for the same table and numbers.
     """
-    tiles = MetricTiles(df, features, None, block, wide)
-    tiles._place(float(eps))
-    cores = tiles.cores(min_samples)
+    tiles, cores = known or core_flags(df, features, eps, min_samples, block, wide)
     comp = tiles.parts(cores)
     weights = tiles.points.select(F.col("pid").alias("node"), "w")
     sizes = comp.join(weights, "node").groupBy("comp").agg(F.sum("w").alias("size"), F.min("node").alias("first"))

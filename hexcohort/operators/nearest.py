@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexcohort.functions.expr import clip, rnd
-from hexcohort.operators.metric import MetricTiles
+from hexcohort.operators.metric import MetricTiles, core_flags
 from hexcohort.sources.scratch import materialize
 
 #: References and visitors of a block; bounds of the number of pivots, which are one for every half block of references.
@@ -182,11 +182,14 @@ class NearestIndex:
         return both.groupBy("cell", "ring", "m", "v").applyInArrow(tile, "key long, id long, near double, far double")
 
 
-def core_points(df: DataFrame, features: list[str], eps: float, min_samples: int, label: str = "segment_id") -> DataFrame:
-    """``(label, x)``: the distinct core points of a table that DBSCAN has labelled, the references of its model."""
-    tiles = MetricTiles(df, features, None)
-    tiles._place(float(eps))
-    cores = tiles.cores(min_samples).filter("core").join(tiles.points, "pid").select("x")
+def core_points(df: DataFrame, features: list[str], eps: float, min_samples: int, label: str = "segment_id",
+                known: tuple[MetricTiles, DataFrame] | None = None) -> DataFrame:
+    """``(label, x)``: the distinct core points of a table that DBSCAN has labelled, the references of its model.
+
+    ``known`` is what ``core_flags`` found for the same table and numbers; without it the neighbours are counted here.
+    """
+    tiles, flags = known or core_flags(df, features, eps, min_samples)
+    cores = flags.filter("core").join(tiles.points, "pid").select("x")
     xs = F.array(*[F.col(f"`{f}`").cast("double") + F.lit(0.0) for f in features])
     labels = df.select(xs.alias("x"), label).groupBy("x").agg(F.min(label).alias(label))       # equal rows have one label
     return cores.join(labels, "x").select(label, "x")

@@ -14,7 +14,7 @@ from hexcohort.functions.hexgrid import hex_cell
 from hexcohort.operators.hierarchy import hdbscan
 from hexcohort.operators.density import segment_density
 from hexcohort.operators.kmeans import Segmentation, fit_kmeans, tune_k
-from hexcohort.operators.metric import dbscan_metric
+from hexcohort.operators.metric import core_flags, dbscan_metric
 from hexcohort.operators.metrics import cluster_metrics, quality_gate
 from hexcohort.operators.nearest import core_points
 from hexcohort.operators.profile import profile_segments, segment_dimension
@@ -67,8 +67,10 @@ def run(subs: DataFrame, pois: DataFrame | None = None, algorithm: str = "kmeans
         scaled = table.select("*", *[arr[i].alias(c) for i, c in enumerate(cols)])
         if algorithm == "dbscan":
             reach, least = eps or K.DBSCAN_PARAMS["eps"], min_samples or K.DBSCAN_PARAMS["min_samples"]
-            labelled = materialize(dbscan_metric(materialize(scaled, "scaled"), cols, reach, least), "labelled")
-            cores = core_points(labelled, cols, reach, least).withColumnRenamed("x", "centre")
+            scaled = materialize(scaled, "scaled")
+            known = core_flags(scaled, cols, reach, least)
+            labelled = materialize(dbscan_metric(scaled, cols, reach, least, known=known), "labelled")
+            cores = core_points(labelled, cols, reach, least, known=known).withColumnRenamed("x", "centre")
             model_of = {"references": materialize(cores, "cores"), "radius": reach}
         else:
             labelled = hdbscan(scaled, cols, epsilon=K.HDB_PARAMS["epsilon"] if eps is None else eps,

@@ -13,7 +13,7 @@ from hexcohort.operators import metrics
 from hexcohort.operators.dbscan import dbscan, hdb_flat, project_km
 from hexcohort.operators.hierarchy import Hierarchy, hdbscan
 from hexcohort.operators.kmeans import fit_kmeans, pca_2d, tune_k
-from hexcohort.operators.metric import dbscan_metric
+from hexcohort.operators.metric import core_flags, dbscan_metric
 from hexcohort.operators.nearest import NearestIndex, core_points
 from hexcohort.operators.profile import segment_dimension
 from hexcohort.plans.feature_pipeline import fit_features
@@ -306,8 +306,9 @@ def score_density(spark: SparkSession, sf: str) -> DataFrame:
     x, width = vector_to_array("features"), len(Q.FEATURES35)
     cols = [f"f{i}" for i in range(width)]
     columns = materialize(table.select("subscriber_id", *[x[i].alias(c) for i, c in enumerate(cols)]), "features")
-    labelled = materialize(dbscan_metric(columns, cols, _WIDE_EPS, _WIDE_MIN), "labelled")
-    cores = core_points(labelled, cols, _WIDE_EPS, _WIDE_MIN).withColumnRenamed("x", "centre")
+    known = core_flags(columns, cols, _WIDE_EPS, _WIDE_MIN)
+    labelled = materialize(dbscan_metric(columns, cols, _WIDE_EPS, _WIDE_MIN, known=known), "labelled")
+    cores = core_points(labelled, cols, _WIDE_EPS, _WIDE_MIN, known=known).withColumnRenamed("x", "centre")
     scored = scorer_from(model, None, references=materialize(cores, "cores"), radius=_WIDE_EPS).score(subscribers(spark, sf))
     return scored.select("subscriber_id", (F.col("segment_id") < 0).alias("is_noise"), "confidence")
 

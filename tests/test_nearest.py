@@ -7,8 +7,9 @@ import pandas as pd
 import pytest
 from test_clustering import brute
 
-from hexcohort.operators.metric import dbscan_metric
+from hexcohort.operators.metric import MetricTiles, core_flags, dbscan_metric
 from hexcohort.operators.nearest import NearestIndex, assign_nearest, core_points
+from hexcohort.plans.segmentation import run
 
 
 def table(spark, x, name):
@@ -70,3 +71,22 @@ def test_rows_and_references_without_a_place(spark):
         assert {r.n: r.segment_id for r in assign_nearest(df, "x", index).collect()} == {1: 0, 2: -1, 3: -1, 4: -1}
         assert assign_nearest(df.limit(0), "x", index).collect() == []
     assert [r.segment_id for r in assign_nearest(df, "x", NearestIndex(ref.limit(0), "segment_id", "x")).collect()] == [-1] * 4
+
+
+def test_shared_core_flags_give_the_same_labels_and_model(spark):
+    """Copies, nulls, a border point and a lone one: what the labels and the model share changes neither."""
+    rows = [(0.0, 0.0)] * 3 + [(0.4, 0.0), (0.9, 0.0), (9.0, 9.0), (5.0, 5.0), (5.0, 5.1), (5.1, 5.0), (None, 0.0), (float("nan"), 0.0)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, a double, b double").repartition(3)
+    known = core_flags(df, ["a", "b"], 0.5, 3)
+    shared = dbscan_metric(df, ["a", "b"], 0.5, 3, known=known).persist()
+    assert shared.exceptAll(dbscan_metric(df, ["a", "b"], 0.5, 3)).isEmpty() and shared.count() == len(rows)
+    model = {(r.segment_id, *r.x) for r in core_points(shared, ["a", "b"], 0.5, 3, known=known).collect()}
+    assert model == {(r.segment_id, *r.x) for r in core_points(shared, ["a", "b"], 0.5, 3).collect()}
+    assert model == {(0, 0.0, 0.0), (0, 0.4, 0.0), (1, 5.0, 5.0), (1, 5.0, 5.1), (1, 5.1, 5.0)}
+
+
+def test_the_job_by_density_counts_neighbours_once(spark, sample, monkeypatch):
+    counted, cores = [], MetricTiles.cores
+    monkeypatch.setattr(MetricTiles, "cores", lambda self, least: counted.append(least) or cores(self, least))
+    result = run(sample.drop("same_h3_zone"), algorithm="dbscan", eps=6.0, min_samples=4, check=False)
+    assert counted == [4] and result.scorer.references.count() > 0
