@@ -200,3 +200,16 @@ def test_numbers_are_consecutive_and_ordered(spark):
     df = spark.range(1000).repartition(7)
     rows = number_rows(df, "no", [F.desc("id")]).collect()
     assert all(r["id"] + r["no"] == 999 for r in rows) and len(rows) == 1000
+
+
+def test_starts_of_one_step_match_their_own_steps():
+    """Several starts at once, with a tie, an empty centroid and counts, as one after the other."""
+    r = np.random.default_rng(0)
+    x, n = np.round(r.normal(0, 2, (900, 3)), 1), r.integers(1, 4, 900).astype(float)
+    starts = {0: x[:4].copy(), 1: np.array([x[5], x[5], x[6], [99.0, 99, 99]]), 2: x[10:14].copy()}
+    group = kmeans._Group(4, [0, 1, 2], starts, 3)
+    for at in (0, 300):
+        group.add(np.concatenate([n[:, None], x], axis=1)[at:300 if at == 0 else None])
+    for s, m in group.sums():
+        want = kmeans._folded_step(x, n, starts[s])
+        assert np.allclose(m[:, :-1], want[:, :-1]) and m[:, -1].sum() == pytest.approx(want[:, -1].sum())
