@@ -1,10 +1,10 @@
 """Hierarchical density clustering: spanning tree of mutual reachability, condensed tree, selection by excess of mass.
 
 * **Core distance** of a row: the distance to its ``min_samples``-th nearest other row.  Found exactly in tiles of a radius;
-  points with too few rows in reach look again with twice the radius.
+  points with too few rows in reach look again with a longer radius.
 * **Spanning tree.**  Two points are as far apart as the largest of their distance and both core distances.  Of the pairs within
   a radius a tile keeps its own spanning forest (an edge that closes a circle in a tile closes one everywhere), so tiles write
-  fewer edges than they have points.  Borůvka rounds make one forest of them; while it has several parts the radius doubles,
+  fewer edges than they have points.  Borůvka rounds make one forest of them; while it has several parts the radius grows,
   and places that hold a single part are not visited again.
 * **Condensed tree.**  Edges are taken in order of length, in stages of a bounded number.  All edges of one length count at
   once, so the tree does not depend on the order of equal lengths.  Parts below ``min_cluster_size`` rows fall out of the part
@@ -31,10 +31,16 @@ from hexcohort.sources.scratch import materialize
 
 #: Edges that one task may hold: of a contracted forest, and of a stage of the condensed tree.
 TASK_EDGES = 2_000_000
+#: How much longer the next radius is in up to three dimensions, and in more, where pairs in reach grow with a high power of it.
+GROWTH, WIDE_GROWTH = 2.0, 2 ** 0.5
 #: Lengths below this count as this, so copies have a finite density.
 LEAST_LENGTH = 1e-12
 
 
+def _longer(tiles: MetricTiles) -> float:
+    return tiles.eps * (GROWTH if len(tiles.features) <= 3 else WIDE_GROWTH)
+
+
 def _first_radius(tiles: MetricTiles, k: int) -> float:
     """Median of the distances from a pivot to its ``k``-th nearest row: a pass that keeps ``k`` rows per pivot and batch."""
     pivots = tiles.pivots
@@ -56,10 +62,10 @@ def core_distances(tiles: MetricTiles, k: int) -> DataFrame:
     """``(pid, core)``: distance to the ``k``-th nearest other row of each point; needs more than ``k`` rows."""
     done, open_ = None, None
     while True:
-        eps, pivots = tiles.eps, tiles.tried
+        eps, pivots, chunks = tiles.eps, tiles.tried, tiles.dense
 
-        def run(members: dict, visitors: dict, eps: float = eps, pivots: np.ndarray | None = pivots) -> pa.Table:
-            i, j, _ = _within(visitors["x"], members["x"], eps, pivots)
+        def run(members: dict, visitors: dict, eps: float = eps, pivots: np.ndarray | None = pivots, chunks: bool = chunks) -> pa.Table:
+            i, j, _ = _within(visitors["x"], members["x"], eps, pivots, chunks=chunks)
             d = _lengths(visitors["x"], members["x"], i, j)
             rows = members["w"][j] - (visitors["pid"][i] == members["pid"][j])
             i, d, rows = i[rows > 0], d[rows > 0], rows[rows > 0]
@@ -78,7 +84,7 @@ def core_distances(tiles: MetricTiles, k: int) -> DataFrame:
         open_ = materialize(open_, "open")
         if open_.isEmpty():
             return done
-        tiles = tiles.at(eps * 2, open_)
+        tiles = tiles.at(_longer(tiles), open_)
 
 
 def _lengths(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -161,10 +167,10 @@ def spanning_tree(tiles: MetricTiles, cores: DataFrame, task_edges: int = TASK_E
     comp = materialize(cores.withColumn("comp", F.col("pid")), "parts")
     tree, n = None, comp.count()
     while True:
-        eps, pivots = tiles.eps, tiles.tried
+        eps, pivots, chunks = tiles.eps, tiles.tried, tiles.dense
 
-        def run(members: dict, visitors: dict, eps: float = eps, pivots: np.ndarray | None = pivots) -> pa.Table:
-            i, j, _ = _within(visitors["x"], members["x"], eps, pivots, (visitors["comp"], members["comp"]))
+        def run(members: dict, visitors: dict, eps: float = eps, pivots: np.ndarray | None = pivots, chunks: bool = chunks) -> pa.Table:
+            i, j, _ = _within(visitors["x"], members["x"], eps, pivots, (visitors["comp"], members["comp"]), chunks)
             w = np.maximum(_lengths(visitors["x"], members["x"], i, j), np.maximum(visitors["core"][i], members["core"][j]))
             a, b, ca, cb = visitors["pid"][i], members["pid"][j], visitors["comp"][i], members["comp"][j]
             a, b = np.minimum(a, b), np.maximum(a, b)
@@ -179,7 +185,7 @@ def spanning_tree(tiles: MetricTiles, cores: DataFrame, task_edges: int = TASK_E
         if len(largest) < 2:
             return materialize(tree, "tree")
         # an edge between two parts has an end outside the largest one
-        tiles = tiles.at(eps * 2, comp.filter(F.col("comp") != largest[0]["comp"]))
+        tiles = tiles.at(_longer(tiles), comp.filter(F.col("comp") != largest[0]["comp"]))
 
 
 class _Merging:

@@ -8,8 +8,7 @@ as wide as the radius.  A point ``q`` has to look at a point ``p`` of another ce
 
 Visits are copies of points at such borders.  A ring is cut into blocks of members, and its visitors into blocks as well, so a
 task compares two bounded blocks whatever the size of a ring.  Where the pivots cut so little that a point would be copied to more
-rings than there are wide blocks of all points (``WIDE``), every wide block of visitors meets every wide block of points instead,
-which copies a point less often.  Only coordinates are shuffled; distances to pivots are taken inside the tasks.
+than ``VISITS`` rings, wide blocks meet instead (``operators/blocks.py``): a point is written once, and no copy of it is shuffled.
 
 Tasks write no pairs: a count per visitor, or one link for two parts that meet in the block.
 
@@ -28,12 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hexcohort.operators.blocks import CHUNK, Layout, discard, meet
 from hexcohort.operators.components import connected_components
 from hexcohort.operators.numbering import number_rows
 from hexcohort.sources.scratch import materialize
 
 #: Pivots grow with the square root of the points, between these bounds; points of a block, and of a block where pivots cut little.
 LEAST_PIVOTS, MOST_PIVOTS, BLOCK, WIDE = 16, 512, 1024, 4096
+#: Rings that a point may visit on average before wide blocks meet instead; more where all points are one wide block.
+VISITS, VISITS_OF_ONE = 4, 8
 #: Pairs that a task looks at together; pivots that all of them are tried by, and the most that are tried on those left.
 PAIRS, FIRST_PIVOTS, TRIED_PIVOTS = 1 << 22, 4, 32
 
@@ -51,13 +53,64 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(d)
 
 
+def _boxes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest coordinates of every ``CHUNK`` rows."""
+    at = np.arange(0, len(x), CHUNK)
+    return np.minimum.reduceat(x, at), np.maximum.reduceat(x, at)
+
+
+def _gap(low: np.ndarray, high: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Distance of every row to a box."""
+    off = np.maximum(np.maximum(low - x, x - high), 0)
+    return np.sqrt(np.einsum("ij,ij->i", off, off))
+
+
+def _within_chunks(x: np.ndarray, y: np.ndarray, eps: float, others: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray, int]:
+    """What ``_within`` finds where neighbouring rows lie together: a chunk of ``x`` meets the rows of ``y`` in reach of its box."""
+    empty = np.zeros(0, np.int64)
+    if not len(x) or not len(y):
+        return empty, empty, 0
+    (low, high), (y_low, y_high) = _boxes(x), _boxes(y)
+    found_i, found_j, compared = [empty], [empty], 0
+    reach = eps * (1 + 1e-9) + 1e-9 * (1 + max(np.abs(x).max(), np.abs(y).max()))
+    for k in range(len(low)):
+        own = slice(k * CHUNK, (k + 1) * CHUNK)
+        off = np.maximum(np.maximum(y_low - high[k], low[k] - y_high), 0)
+        near = np.flatnonzero((off * off).sum(1) <= reach * reach)
+        if not len(near):
+            continue
+        rows = (near[:, None] * CHUNK + np.arange(CHUNK)).ravel()
+        rows = rows[rows < len(y)]
+        if others is not None and (others[0][own] == others[0][own.start]).all():
+            rows = rows[others[1][rows] != others[0][own.start]]
+        rows = rows[_gap(low[k], high[k], y[rows]) <= reach]
+        if not len(rows):
+            continue
+        mine = np.arange(own.start, min(own.stop, len(x)))
+        mine = mine[_gap(y[rows].min(0), y[rows].max(0), x[mine]) <= reach]
+        if not len(mine):
+            continue
+        i, j, n = _within(x[mine], y[rows], eps)
+        i, j = mine[i], rows[j]
+        if others is not None:
+            other = others[0][i] != others[1][j]
+            i, j = i[other], j[other]
+        found_i.append(i)
+        found_j.append(j)
+        compared += n
+    return np.concatenate(found_i), np.concatenate(found_j), compared
+
+
 def _within(x: np.ndarray, y: np.ndarray, eps: float, pivots: np.ndarray | None = None,
-            others: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+            others: tuple[np.ndarray, np.ndarray] | None = None, chunks: bool = False) -> tuple[np.ndarray, np.ndarray, int]:
     """(i, j) of all pairs with a distance of at most ``eps``, and how many pairs the pivots left to compare.
 
     A pair counts by its plain difference, so none depends on what else is there: the product of the matrices settles the pairs
-    that rounding cannot turn.  With ``others``, a part per row of ``x`` and of ``y``, pairs of one part are left out.
+    that rounding cannot turn.  With ``others``, a part per row of ``x`` and of ``y``, pairs of one part are left out.  ``chunks``
+    says that the rows are in the order of a ``Layout``.
     """
+    if chunks:
+        return _within_chunks(x, y, eps, others)
     step = max(1, PAIRS // max(1, len(y)))
     dy = None if pivots is None else _distances(y, pivots[:TRIED_PIVOTS])
     found_i, found_j, compared = [], [], 0
@@ -92,12 +145,13 @@ def _some_within(x: np.ndarray, y: np.ndarray, eps: float, pivots: np.ndarray |
     else:
         centre = y.mean(0) if len(y) else 0.0
         xc, yc = x - centre, y - centre
-        xx, yy = (xc * xc).sum(1), (yc * yc).sum(1)
-        square = xx[:, None] - 2 * xc @ yc.T + yy
+        xx, yy = (xc * xc).sum(1)[:, None], (yc * yc).sum(1)[:, None]
+        square = np.concatenate([-2 * xc, xx, np.ones_like(xx)], axis=1) @ np.concatenate([yc, np.ones_like(yy), yy], axis=1).T
         doubt = 1e-12 * (x.shape[1] + 8) * (xx.max(initial=0) + yy.max(initial=0) + eps * eps)
         reach = square <= eps * eps + doubt
-        i, j = np.nonzero(reach if open_ is None else reach & open_)
-        near = square[i, j] < eps * eps - doubt
+        at = np.flatnonzero(reach if open_ is None else reach & open_)
+        i, j = np.divmod(at, max(1, len(y)))
+        near = square.ravel()[at] < eps * eps - doubt
     for at in range(0, len(i), 1 << 16):
         s = at + np.flatnonzero(~near[at:at + (1 << 16)])
         near[s] = np.sqrt(((x[i[s]] - y[j[s]]) ** 2).sum(1)) <= eps
@@ -132,6 +186,7 @@ class MetricTiles:
         self.n = self.points.count()
         wanted = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, self.n ** 0.5 / 2)))
         self.pivots = np.array([r[0] for r in self.points.orderBy(F.xxhash64("x"), "pid").limit(wanted).select("x").collect()])     # bounded
+        self.layout, self.cells = Layout(self.points, self.n, wide), None
         if eps is not None:
             self._place(float(eps))
             self._look(None)
@@ -150,7 +205,7 @@ class MetricTiles:
         return other
 
     def _place(self, eps: float) -> None:
-        self.eps = width = eps
+        self.eps = eps
         pivots, block = self.pivots, self.block
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,11 +213,12 @@ class MetricTiles:
                 if b.num_rows:
                     d = _distances(b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1), pivots)
                     cell = d.argmin(1)
-                    ring = np.floor(d[np.arange(len(d)), cell] / width).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(ring)], names=["pid", "x", "w", "cell", "ring"])
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(d[np.arange(len(d)), cell])], names=["pid", "x", "w", "cell", "off"])
 
-        spec = "pid long, x array<double>, w long, cell long, ring long"
-        self.placed = materialize(self.points.select("pid", "x", "w").mapInArrow(place, spec), "placed")
+        if self.cells is None:      # the same for every radius
+            spec = "pid long, x array<double>, w long, cell long, off double"
+            self.cells = materialize(self.points.select("pid", "x", "w").mapInArrow(place, spec), "placed")
+        self.placed = self.cells.select("pid", "x", "w", "cell", F.floor(F.col("off") / F.lit(eps)).cast("long").alias("ring"))
         self.rings = materialize(self.placed.groupBy("cell", "ring").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("mb")), "rings")
         self.top = np.full(len(pivots), -1)
         for cell, ring in self.rings.groupBy("cell").agg(F.max("ring")).collect():      # one row per pivot
@@ -171,7 +227,6 @@ class MetricTiles:
     def _look(self, visitors: DataFrame | None) -> None:
         looking = self.placed if visitors is None else self.placed.join(visitors.select("pid"), "pid", "left_semi")
         looking = looking.select("pid", "x")
-        self.wide_members = max(1, -(-self.n // self.wide))
         pivots, top, width = self.pivots, self.top, self.eps
 
         def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,10 +238,9 @@ class MetricTiles:
             yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([visits])], names=["rows", "visits"])
 
         rows, visits = looking.mapInArrow(number, "rows long, visits long").agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("visits"), F.lit(0))).first()
-        self.dense = visits > rows * max(8, self.wide_members)
-        self.wide_visitors = max(1, -(-rows // self.wide))
+        self.dense = visits > rows * (VISITS if self.n > self.wide else VISITS_OF_ONE)
         if self.dense:
-            self.looking = looking.select("pid")
+            self.looking = None if visitors is None else looking.select("pid")
             return
 
         def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,12 +267,7 @@ class MetricTiles:
         if extra is not None:
             points, columns = points.join(extra, "pid"), [*columns, *[c for c in extra.columns if c != "pid"]]
         if self.dense:
-            slot = lambda n: F.pmod(F.xxhash64("pid"), F.lit(n)).cast("int")        # noqa: E731
-            every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))         # noqa: E731
-            whole = [F.lit(0).cast("long").alias("cell"), F.lit(0).cast("long").alias("ring")]
-            member = points.withColumn("m", slot(self.wide_members)).withColumn("v", every(self.wide_visitors))
-            visitor = points.join(self.looking.hint("merge"), "pid", "left_semi").withColumn("v", slot(self.wide_visitors)).withColumn("m", every(self.wide_members))
-            return self._tiles(fn, out, member.select(*columns, *whole, "m", "v"), visitor.select(*columns, *whole, "m", "v"), columns)
+            return self._blocks(fn, out, points.select(*columns), columns)
         rings, other = self.blocks, F.lit(True)
         if part is not None:
             rings = rings.join(points.groupBy("cell", "ring").agg(F.min(part).alias("low_"), F.max(part).alias("high_")), ["cell", "ring"])
@@ -242,14 +291,38 @@ class MetricTiles:
         member = points.join(self.rings, ["cell", "ring"]).select(*columns, "cell", "ring", of.alias("m"), F.lit(0).alias("v"))
         return self._tiles(fn, out, member, None, columns)
 
-    def _tiles(self, fn, out: str, member: DataFrame, visitor: DataFrame | None, columns: list[str]) -> DataFrame:
-        width, alone = len(self.features), visitor is None
+    def _blocks(self, fn, out: str, points: DataFrame, columns: list[str]) -> DataFrame:
+        """``fn(members, visitors)`` per two wide blocks of ``points`` that are in reach of each other."""
+        side, empty, reach = self._side(columns), self._empty(out), self.eps
+        members = self.layout.packed(points, columns)
+        visitors = members if self.looking is None else self.layout.packed(points.join(self.looking.hint("merge"), "pid", "left_semi"), columns)
+
+        def tile(m: pa.Table, v: pa.Table) -> pa.Table:
+            return fn(side(m), side(v)) if m.num_rows and v.num_rows else empty
+
+        found = meet(members, visitors, reach, tile, out)
+        discard(members)
+        if visitors is not members:
+            discard(visitors)
+        return found
+
+    def _side(self, columns: list[str]):
+        width = len(self.features)
 
         def side(t: pa.Table) -> dict:
             arrays = {c: t.column(c).to_numpy() for c in columns if c != "x"}
             arrays["x"] = t.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
             return arrays
 
+        return side
+
+    @staticmethod
+    def _empty(out: str) -> pa.Table:
+        return pa.table({n: pa.array([], {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[t]) for n, t in (c.split(" ") for c in out.split(", "))})
+
+    def _tiles(self, fn, out: str, member: DataFrame, visitor: DataFrame | None, columns: list[str]) -> DataFrame:
+        side, empty, alone = self._side(columns), self._empty(out), visitor is None
+
         def tile(group: pa.Table) -> pa.Table:
             if alone:
                 own = side(group)
@@ -258,8 +331,6 @@ class MetricTiles:
             members, visitors = side(group.filter(pa.array(flag))), side(group.filter(pa.array(~flag)))
             return fn(members, visitors) if len(members["pid"]) and len(visitors["pid"]) else empty
 
-        names = [c.split(" ") for c in out.split(", ")]
-        empty = pa.table({n: pa.array([], {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[t]) for n, t in names})
         both = member.withColumn("is_member", F.lit(True))
         if visitor is not None:
             both = both.unionByName(visitor.withColumn("is_member", F.lit(False)))
@@ -270,11 +341,11 @@ class MetricTiles:
         """Pivots that are worth trying on the pairs of a tile."""
         return None if self.dense else self.pivots
 
-    def _counted(self):
-        eps, pivots = self.eps, self.tried
+    def _counted(self, own: bool = False):
+        eps, pivots, chunks = self.eps, self.tried, self.dense and not own
 
         def run(members: dict, visitors: dict) -> pa.Table:
-            i, j, compared = _within(visitors["x"], members["x"], eps, pivots)
+            i, j, compared = _within(visitors["x"], members["x"], eps, pivots, chunks=chunks)
             near = np.bincount(i, members["w"][j], minlength=len(visitors["pid"])).astype(np.int64)
             share = np.zeros(len(near), np.int64)
             share[0] = compared
@@ -292,7 +363,7 @@ class MetricTiles:
 
         Most have them in their own block; only the others look around.
         """
-        first = materialize(self.own_blocks(*self._counted()).select("pid", (F.col("near") >= min_samples).alias("core")), "cores")
+        first = materialize(self.own_blocks(*self._counted(own=True)).select("pid", (F.col("near") >= min_samples).alias("core")), "cores")
         rest = self.seen_by(first.filter("NOT core")).counts().select("pid", (F.col("near") >= min_samples).alias("core"))
         return materialize(first.filter("core").unionByName(rest), "cores")
 
@@ -326,27 +397,27 @@ class MetricTiles:
     def _joined(self, comp: DataFrame, visitors: DataFrame) -> DataFrame:
         """Parts ``(pid, comp)`` after the points of ``visitors(pid)`` have looked for other parts."""
         tiles = self.seen_by(visitors)
-        eps, pivots = self.eps, tiles.tried
+        eps, pivots, chunks = self.eps, tiles.tried, tiles.dense
 
-        def meet(members: dict, visitors: dict) -> pa.Table:
-            i, j, _ = _within(visitors["x"], members["x"], eps, pivots, (visitors["comp"], members["comp"]))
+        def link(members: dict, visitors: dict) -> pa.Table:
+            i, j, _ = _within(visitors["x"], members["x"], eps, pivots, (visitors["comp"], members["comp"]), chunks)
             a, b = visitors["comp"][i], members["comp"][j]
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
             return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-        links = materialize(tiles.run(meet, "a long, b long", comp, "comp").distinct(), "links")
+        links = materialize(tiles.run(link, "a long, b long", comp, "comp").distinct(), "links")
         top = connected_components(comp.select(F.col("comp").alias("node")).distinct(), links)
         return materialize(comp.join(top.select(F.col("node").alias("comp"), F.col("comp").alias("top_")), "comp").select("pid", F.col("top_").alias("comp")), "parts")
 
     def border(self, cores: DataFrame, of_core: DataFrame) -> DataFrame:
         """``(node, seg)``: the smallest ``seg`` of ``of_core(node, seg)`` in reach of the points that are no core points."""
         tiles = self.seen_by(cores.filter("NOT core"))
-        eps, pivots = self.eps, tiles.tried
+        eps, pivots, chunks = self.eps, tiles.tried, tiles.dense
         seg = cores.select("pid", "core").join(of_core.select(F.col("node").alias("pid"), F.col("seg").cast("long").alias("seg")), "pid", "left")
 
         def least(members: dict, visitors: dict) -> pa.Table:
             core = members["core"].astype(bool)
-            i, j, _ = _within(visitors["x"], members["x"][core], eps, pivots)
+            i, j, _ = _within(visitors["x"], members["x"][core], eps, pivots, chunks=chunks)
             best = np.full(len(visitors["pid"]), np.iinfo(np.int64).max)
             np.minimum.at(best, i, members["seg"][core][j].astype(np.int64))
             some = np.unique(i)

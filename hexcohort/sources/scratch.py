@@ -44,6 +44,15 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Removes the files of a materialized table that nothing reads any more."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def small_table(df: DataFrame, max_rows: int = 10_000) -> tuple[list, bool]:
     """Rows of a table meant to be small, and whether it really is.
 

@@ -6,7 +6,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from hexcohort.operators.hierarchy import Hierarchy, hdbscan
+from hexcohort.operators import metric
+from hexcohort.operators.hierarchy import Hierarchy, core_distances, hdbscan, spanning_tree
 from hexcohort.registry import QUERIES
 from hexcohort.registry.clustering import _work_km
 
@@ -153,3 +154,21 @@ def test_query_matches_a_plain_hierarchy(spark):
     got = QUERIES["hdbscan_segments"](spark, sf).toPandas().sort_values("subscriber_id")
     at = _work_km(spark, sf).select("subscriber_id", "x_km", "y_km").toPandas().sort_values("subscriber_id")
     assert same_groups(got.segment_id.to_numpy(), plain(at[["x_km", "y_km"]].to_numpy() + 0.0, 15, 5)[3])
+
+
+def test_tree_by_wide_blocks(spark, monkeypatch):
+    """The same core distances and tree where blocks of 50 points meet."""
+    monkeypatch.setattr(metric, "VISITS", -1)
+    x = blobs(12, 250, 4)
+    cols = [f"f{i}" for i in range(12)]
+    tiles = metric.MetricTiles(spark.createDataFrame(pd.DataFrame(x, columns=cols)).repartition(3), cols, None, wide=50)
+    tiles = tiles.at(2.0)
+    assert tiles.dense
+    cores = core_distances(tiles, 3)
+    core, reach, _, _ = plain(x, 8, 3)
+    place = {tuple(r.x): r.pid for r in tiles.points.collect()}
+    pid = np.array([place[tuple(v)] for v in x + 0.0])
+    of = {r.pid: r.core for r in cores.collect()}
+    assert np.allclose([of[p] for p in pid], core, rtol=1e-12, atol=1e-12)
+    first = np.unique(pid, return_index=True)[1]
+    assert np.allclose(sorted(r.w for r in spanning_tree(tiles, cores).collect()), sorted(prim(reach[np.ix_(first, first)])), rtol=1e-12)

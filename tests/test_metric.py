@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from test_clustering import brute
 
+from hexcohort.operators import blocks, metric
 from hexcohort.operators.metric import MetricTiles, dbscan_metric
 
 
@@ -54,3 +55,29 @@ def test_rows_without_a_place_are_noise(spark):
     got = {r.id: r.segment_id for r in dbscan_metric(df, ["a", "b"], 0.5, 3).collect()}
     assert got == {1: 0, 2: 0, 3: -1, 4: -1, 5: 0}
     assert dbscan_metric(df.limit(0), ["a", "b"], 0.5, 3).collect() == []
+
+
+@pytest.mark.parametrize("d", [2, 12])
+def test_wide_blocks_meet_only_in_reach_and_match_brute_force(spark, monkeypatch, d):
+    """Twelve far groups and blocks of 64 points: a block meets its neighbours, no copy of a point is dealt out."""
+    monkeypatch.setattr(metric, "VISITS", -1)
+    monkeypatch.setattr(blocks, "CHUNK", 16)
+    monkeypatch.setattr(metric, "CHUNK", 16)
+    r = np.random.default_rng(d)
+    x = r.normal(0, 30, (12, d)).repeat(60, axis=0) + r.normal(0, 1, (720, d))
+    df, cols = frame(spark, x)
+    tiles = MetricTiles(df.repartition(5), cols, 1.5, wide=64)
+    assert tiles.dense and tiles.layout.depth > 3
+    counts = tiles.counts().join(tiles.points, "pid").toPandas()
+    want = {tuple(v): n for v, n in zip(x + 0.0, (np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) <= 1.5).sum(1))}
+    assert len(counts) == 720 and all(want[tuple(v)] == n for v, n in zip(counts.x, counts.near))
+    assert counts.compared.sum() < 720 * 720 / 4
+    seen = tiles.seen_by(tiles.points.filter("pid % 7 = 0")).counts().join(tiles.points, "pid").toPandas()
+    assert 0 < len(seen) < 720 and all(want[tuple(v)] == n for v, n in zip(seen.x, seen.near))
+    got = dbscan_metric(df, cols, 1.5, 4, wide=64).toPandas().sort_values("id").segment_id.to_numpy()
+    near, core, lab = brute(x, 1.5, 4)
+    number = {lab[i]: got[i] for i in np.flatnonzero(core)}
+    assert len(set(number.values())) == len(number)
+    for i in range(len(x)):
+        reach = [number[lab[k]] for k in np.flatnonzero(near[i] & core)]
+        assert got[i] == (number[lab[i]] if core[i] else min(reach, default=-1))
