@@ -1,7 +1,8 @@
 """Nearest reference of every row, for references too many to inline: many centroids, or the core points of a density model.
 
 The references are a table.  A bounded number of them are pivots; a reference belongs to the cell of its nearest pivot and to a
-ring of it by its distance.  Per cell a task knows the span of these distances only.  A row looks into a ring if the triangle
+ring of it by its distance.  Per cell a task knows the span of these distances only.  A row that is a reference itself is settled by
+an equality join, unless the farthest one is asked for.  Another row looks into a ring if the triangle
 inequality leaves room for something nearer than what is known already: its nearest pivot, then the best of the ring it falls
 into, then all rings still open; a radius is one more bound, but a wide one leaves most rings open.  References of a single block
 go to the tasks of the rows instead.  Rings are cut into blocks of references, their visitors into blocks as well, so a task compares
@@ -54,7 +55,7 @@ class NearestIndex:
         self.radius, self.block = radius, block
         rows = references.select(F.col(label).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x")).filter(_usable("x"))
         rows = materialize(rows.withColumn("x", F.transform("x", lambda v: v + F.lit(0.0))).groupBy("x").agg(F.min("id").alias("id")), "references")
-        n = rows.count()
+        self.references, n = rows, rows.count()
         wanted = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, -(-n * 2 // block))))
         self.pivots = pivots = np.array([r[0] for r in rows.orderBy(F.xxhash64("x"), "x").limit(wanted).select("x").collect()])      # bounded
 
@@ -76,7 +77,7 @@ class NearestIndex:
         self.low, self.high, self.width = (np.full(len(pivots), v) for v in (np.inf, -np.inf, 1.0))
         for cell, low, high, n in spans:
             self.low[cell], self.high[cell] = low, high
-            self.width[cell] = radius or max((high - low) / max(1, -(-n // block)), 1e-6 * (1 + high))
+            self.width[cell] = min(radius or np.inf, max((high - low) / max(1, -(-n // block)), 1e-6 * (1 + high)))
         low = F.element_at(F.array(*[F.lit(float(v)) for v in self.low]), (F.col("cell") + 1).cast("int")) if len(pivots) else F.lit(0.0)
         width = F.element_at(F.array(*[F.lit(float(v)) for v in self.width]), (F.col("cell") + 1).cast("int")) if len(pivots) else F.lit(1.0)
         self.members = materialize(placed.select("id", "x", "cell", F.floor((F.col("off") - low) / width).alias("ring")), "rings")
@@ -90,16 +91,23 @@ class NearestIndex:
         if farthest and self.radius is not None:
             raise ValueError("the farthest reference has no radius")
         rows = df.select("key", F.col(vector).cast("array<double>").alias("x")).filter(_usable("x"))
+        rows = rows.withColumn("x", F.transform("x", lambda v: v + F.lit(0.0)))
         if not len(self.pivots):
             return rows.select("key", F.lit(0).cast("long").alias("id"), F.lit(0.0).alias("near"), F.lit(0.0).alias("far")).limit(0)
         if self.one is not None:
             found = self._in_place(rows, farthest)
         else:
+            same = None
+            if not farthest:            # a row that is a reference has nothing nearer
+                hit = materialize(rows.join(self.references.select("x", "id"), "x", "left").select("key", "x", "id"), "hits")
+                same = hit.filter("id IS NOT NULL").select("key", "id", F.lit(0.0).alias("near"), F.lit(None).cast("double").alias("far"))
+                rows = hit.filter("id IS NULL").select("key", "x")
             reach = F.lit(float("inf") if self.radius is None else float(self.radius))
             bound = rows.select("key", "x", reach.alias("bound"))
             first = materialize(self._compare(self._visits(bound, own=True), False), "near")
             bound = rows.join(first.select("key", "near"), "key", "left").select("key", "x", F.least("near", reach).alias("bound"))
             found = self._compare(self._visits(bound, farthest=farthest), farthest).unionByName(first)
+            found = found if same is None else found.unionByName(same)
         best = found.groupBy("key").agg(F.min(F.struct("near", "id")).alias("best"), F.max("far").alias("far"))
         best = best.select("key", "best.id", "best.near", "far")
         return best if self.radius is None else best.filter(F.col("near") <= self.radius)

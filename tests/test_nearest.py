@@ -90,3 +90,16 @@ def test_the_job_by_density_counts_neighbours_once(spark, sample, monkeypatch):
     monkeypatch.setattr(MetricTiles, "cores", lambda self, least: counted.append(least) or cores(self, least))
     result = run(sample.drop("same_h3_zone"), algorithm="dbscan", eps=6.0, min_samples=4, check=False)
     assert counted == [4] and result.scorer.references.count() > 0
+
+
+def test_rows_that_are_references_visit_no_ring(spark, monkeypatch):
+    looked, visits = [], NearestIndex._visits
+    monkeypatch.setattr(NearestIndex, "_visits", lambda self, rows, *a, **b: looked.append(rows.count()) or visits(self, rows, *a, **b))
+    ref = points(3, 200, 1)
+    ref[0, 0] = -0.0
+    q = np.vstack([ref + 0.0, ref[:50] + 0.05])
+    index = NearestIndex(table(spark, ref, "segment_id"), "segment_id", "x", 1.0, block=32)
+    got = index.search(table(spark, q, "key").repartition(3), "x").toPandas().set_index("key").sort_index()
+    near = gaps(q, ref).min(1)
+    assert list(got.index) == np.flatnonzero(near <= 1).tolist() and np.allclose(got.near, near[near <= 1], atol=1e-12)
+    assert looked and max(looked) <= 50
