@@ -32,14 +32,13 @@ class Layout:
     def __init__(self, points: DataFrame, n: int, wide: int):
         self.wide = wide
         self.depth = int(np.ceil(np.log2(min(LEAVES, max(1, n / CHUNK)))))
-        self.shift = max(0, self.depth - int(np.ceil(np.log2(max(1, n / wide)))))
         if not self.depth:
             return
         every = max(1, n // (SAMPLED << self.depth))
         drawn = points.filter(F.pmod(F.xxhash64("pid"), F.lit(every)) == 0).select("x").toArrow()       # bounded
         x = drawn.column(0).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(drawn.num_rows, -1)
         if not len(x):
-            self.depth = self.shift = 0
+            self.depth = 0
             return
         self.axes = np.linalg.eigh(np.cov(x.T).reshape(x.shape[1], -1))[1] if len(x) > 1 else np.eye(x.shape[1])
         y, inner = x @ self.axes, (1 << self.depth) - 1
@@ -61,9 +60,10 @@ class Layout:
             node = 2 * node + 1 + (y[row, self.axis[node]] > self.cut[node])
         return node - ((1 << self.depth) - 1)
 
-    def packed(self, points: DataFrame, columns: list[str]) -> DataFrame:
-        """``(low, high, rows)``: the blocks of ``points`` with their boxes; ``columns`` include ``pid`` and ``x``."""
-        leaf_of, shift, wide = self.leaf, self.shift, self.wide
+    def packed(self, points: DataFrame, columns: list[str], n: int) -> DataFrame:
+        """``(low, high, rows)``: the blocks of ``points``, about ``n``, with their boxes; ``columns`` include ``pid`` and ``x``."""
+        leaf_of, wide = self.leaf, self.wide
+        shift = max(0, self.depth - int(np.ceil(np.log2(max(1, n / wide)))))
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:

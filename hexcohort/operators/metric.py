@@ -240,7 +240,7 @@ class MetricTiles:
         rows, visits = looking.mapInArrow(number, "rows long, visits long").agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("visits"), F.lit(0))).first()
         self.dense = visits > rows * (VISITS if self.n > self.wide else VISITS_OF_ONE)
         if self.dense:
-            self.looking = None if visitors is None else looking.select("pid")
+            self.looking, self.visitors = None if visitors is None else looking.select("pid"), rows
             return
 
         def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,8 +294,8 @@ class MetricTiles:
     def _blocks(self, fn, out: str, points: DataFrame, columns: list[str]) -> DataFrame:
         """``fn(members, visitors)`` per two wide blocks of ``points`` that are in reach of each other."""
         side, empty, reach = self._side(columns), self._empty(out), self.eps
-        members = self.layout.packed(points, columns)
-        visitors = members if self.looking is None else self.layout.packed(points.join(self.looking.hint("merge"), "pid", "left_semi"), columns)
+        members = self.layout.packed(points, columns, self.n)
+        visitors = members if self.looking is None else self.layout.packed(points.join(self.looking.hint("merge"), "pid", "left_semi"), columns, self.visitors)
 
         def tile(m: pa.Table, v: pa.Table) -> pa.Table:
             return fn(side(m), side(v)) if m.num_rows and v.num_rows else empty
